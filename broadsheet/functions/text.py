@@ -336,6 +336,23 @@ def capitalize_sentences(c):
         lambda s: F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s)))), " ")
 
 
+def pin(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
+    """Add columns that later filters must not recompute.
+
+    A filter on a projected column is pushed below the projection with a copy of its whole expression; a
+    one-row generator keeps the values where they were computed.
+    """
+    row = F.struct(*[c.alias(n) for n, c in cols.items()])
+    keep = [c for c in df.columns if c not in cols]
+    return df.select(*keep, F.inline(F.array(row)))
+
+
+def one_of(terms: Iterable[str]):
+    """Predicate for array filters: the element is in the list."""
+    known = list(terms)
+    return lambda t: t.isin(known)
+
+
 def contained(c: Column, terms: Sequence[str]) -> Column:
     """Array of the terms that occur in the (already lower-case) text, in list order."""
     return F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(c, t))

@@ -13,6 +13,7 @@ from broadsheet.functions.temporal import date_span, period
 from broadsheet.operators.relational import confidence_band, linear_trend, moving_average, sentiment_anomalies
 from broadsheet.plans.ordered import percentiles
 from broadsheet.plans.sized import attach, with_scalars
+from broadsheet.session import materialize
 
 NEGATION_FACTOR = -0.74
 NORMALIZER = 15.0
@@ -133,7 +134,7 @@ NEGATIVE_EMOTIONS = ("sadness", "anger", "fear", "disgust")
 def emotion_scores(df: DataFrame, tokens_col: str, lexicon: Mapping[str, Sequence[str]]) -> DataFrame:
     """Share of each emotion among the emotion words of the row, dominant one, intensity and sign sums."""
     t = F.col(tokens_col)
-    counts = {e: F.size(F.filter(t, lambda x, ws=tuple(words): x.isin(list(ws)))) for e, words in lexicon.items()}
+    counts = {e: F.size(F.filter(t, tx.one_of(words))) for e, words in lexicon.items()}
     df = df.withColumns({f"_n_{e}": c for e, c in counts.items()})
     total = sum((F.col(f"_n_{e}") for e in counts), F.lit(0))
     df = df.withColumns({e: tx.ratio(F.col(f"_n_{e}"), total) for e in counts}).drop(*[f"_n_{e}" for e in counts])
@@ -161,7 +162,7 @@ def analyze_sentiment(df: DataFrame, text_col: str = "text", lexicon: Mapping[st
     if model_score and model_label:
         scores.append(F.col(model_score))
         labels.append(F.col(model_label))
-    df = df.withColumn("_a", aggregate_sentiment(scores, labels)).withColumns(
+    df = tx.pin(df, {"_a": aggregate_sentiment(scores, labels)}).withColumns(
         {"weighted_score": F.col("_a.score"), "sentiment": F.col("_a.label"), "vote": F.col("_a.confidence")})
     model = F.col(model_confidence) if model_confidence else F.lit(None).cast("double")
     df = df.withColumn("confidence", sentiment_confidence(F.col("sentiment"), labels, F.length(text_col), F.col("compound"), model))
@@ -192,6 +193,7 @@ def sentiment_cube(df: DataFrame, date_col: str, category_col: str) -> DataFrame
 
 def sentiment_statistics(df: DataFrame, scores: Sequence[str] = ("compound", "polarity")) -> DataFrame:
     """One row per score: mean, std (population), min, max, exact median. Each score keeps its own statistics."""
+    df = materialize(df.select(*scores))
     out = None
     for name in scores:
         base = df.agg(F.lit(name).alias("score"), F.avg(name).alias("mean"), F.stddev_pop(name).alias("std"),
@@ -209,19 +211,28 @@ def label_shares(df: DataFrame, label_col: str = "sentiment", by: Sequence[str]
     return joined.withColumn("percentage", F.col("count") * 100.0 / F.col("_t")).drop("_t")
 
 
-def track_sentiment(df: DataFrame, date_col: str, category_col: str, id_col: str) -> dict[str, DataFrame]:
-    """Trends (overall and by category), weekly and monthly tables, moving averages, anomalies and the date range."""
+TRACKS = ("overall", "by_category", "weekly", "monthly", "moving_7", "moving_30", "anomalies", "range")
+
+
+def track_sentiment(df: DataFrame, date_col: str, category_col: str, id_col: str, parts: Sequence[str] = TRACKS) -> dict[str, DataFrame]:
+    """Trends (overall and by category), weekly and monthly tables, moving averages, anomalies and the date range.
+
+    The scored table is cut to the needed columns and written once; every part reads it from there.
+    """
+    df = materialize(df.select(id_col, date_col, category_col, "compound", "polarity", "sentiment"))
     order = [date_col, id_col]
-    return {
-        "overall": linear_trend(df, order, "compound"),
-        "by_category": linear_trend(df, order, "compound", [category_col]),
-        "weekly": sentiment_by_period(df, date_col, "week"),
-        "monthly": sentiment_by_period(df, date_col, "month"),
-        "moving_7": moving_average(df.select(*order, "compound"), order, "compound", 7),
-        "moving_30": moving_average(df.select(*order, "compound"), order, "compound", 30),
-        "anomalies": sentiment_anomalies(df.select(*order, "compound"), order, "compound"),
-        "range": date_span(df, date_col),
+    series = df.select(*order, "compound")
+    build = {
+        "overall": lambda: linear_trend(df, order, "compound"),
+        "by_category": lambda: linear_trend(df, order, "compound", [category_col]),
+        "weekly": lambda: sentiment_by_period(df, date_col, "week"),
+        "monthly": lambda: sentiment_by_period(df, date_col, "month"),
+        "moving_7": lambda: moving_average(series, order, "compound", 7),
+        "moving_30": lambda: moving_average(series, order, "compound", 30),
+        "anomalies": lambda: sentiment_anomalies(series, order, "compound"),
+        "range": lambda: date_span(df, date_col),
     }
+    return {name: build[name]() for name in parts}
 
 
 def sentiment_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:

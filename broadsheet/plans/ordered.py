@@ -91,7 +91,7 @@ def percentiles(df: DataFrame, value: str, shares: Mapping[str, float], by: Sequ
     Equal values are counted first, then numbered by running count, so a group is never held in one buffer.
     """
     by = list(by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialize(df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
     run = materialize(cumulative(counts, ["_v"], "_n", by, "_upto"))
     totals = run.groupBy(*by).agg(F.sum("_n").alias("_total"))
     placed = run.join(totals, by) if by else with_scalars(run, totals)
