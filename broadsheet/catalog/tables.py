@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from broadsheet.plans.sized import spread_small
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_small(df, "doc_id") if name == "documents" else df
 
 
 def articles(spark: SparkSession, sf: str, *extra: str) -> DataFrame:

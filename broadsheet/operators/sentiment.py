@@ -39,35 +39,45 @@ def negated(tokens: Column, i: Column, negations: Sequence[str], reach: int = 3)
 
 
 def valences(tokens: Column, lexicon: Mapping[str, float], negations: Sequence[str]) -> Column:
+    """Valence of every token; one hashed look-up settles the tokens the lexicon does not have."""
+    known = [w for w, v in lexicon.items() if v]
+
     def one(t, i):
-        v = valued(t, lexicon)
-        return F.when(v == 0, v).when(negated(tokens, i, negations), v * NEGATION_FACTOR).otherwise(v)
+        sign = F.when(negated(tokens, i, negations), F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
+        return F.when(t.isin(known), valued(t, lexicon) * sign).otherwise(F.lit(0.0))
+
     return F.transform(tokens, one)
 
 
 def compound_of(values: Column) -> Column:
     """struct<compound, pos, neg, neu> of an array of token valences."""
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("p"), F.lit(0.0).alias("n"), F.lit(0).alias("z"))
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("p"), F.lit(0.0).alias("n"))
+    hits = F.filter(values, lambda v: v != 0)
+    z = (F.size(values) - F.size(hits)).cast("double")
 
     def add(acc, v):
-        return F.struct((acc["s"] + v).alias("s"), (acc["p"] + F.when(v > 0, v + 1).otherwise(0.0)).alias("p"),
-                        (acc["n"] + F.when(v < 0, 1 - v).otherwise(0.0)).alias("n"),
-                        (acc["z"] + (v == 0).cast("int")).alias("z"))
+        return F.struct((acc["s"] + v).alias("s"), (acc["p"] + F.greatest(v + F.signum(v), F.lit(0.0))).alias("p"),
+                        (acc["n"] + F.greatest(-v - F.signum(v), F.lit(0.0))).alias("n"))
 
     def finish(acc):
+        return F.struct(acc["s"].alias("s"), acc["p"].alias("p"), acc["n"].alias("n"), z.alias("z"))
+
+    sums = F.aggregate(hits, zero, add, finish)
+
+    def shares(acc):
         total = acc["p"] + acc["n"] + acc["z"]
         share = lambda x: F.when(total > 0, x / total).otherwise(0.0)
         return F.struct((acc["s"] / F.sqrt(acc["s"] * acc["s"] + NORMALIZER)).alias("compound"),
                         share(acc["p"]).alias("pos"), share(acc["n"]).alias("neg"), share(acc["z"]).alias("neu"))
 
-    return F.aggregate(values, zero, add, finish)
+    return F.get(F.transform(F.array(sums), shares), F.lit(0))
 
 
 def lexicon_sentiment(df: DataFrame, tokens_col: str, lexicon: Mapping[str, float] = wl.VALENCE,
                       negations: Sequence[str] = wl.NEGATIONS) -> DataFrame:
     """Compound score and shares per row; no shuffle."""
-    s = compound_of(valences(F.col(tokens_col), lexicon, negations))
-    return df.withColumn("_s", s).withColumns(
+    df = df.withColumn("_v", valences(F.col(tokens_col), lexicon, negations))
+    return df.withColumn("_s", compound_of(F.col("_v"))).drop("_v").withColumns(
         {"compound": F.col("_s.compound"), "pos": F.col("_s.pos"), "neg": F.col("_s.neg"), "neu": F.col("_s.neu")}).drop("_s")
 
 

@@ -52,3 +52,13 @@ def bounded_rows(df: DataFrame, max_rows: int, what: str) -> list:
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a global aggregate (always exactly one row) to every row."""
     return df.join(F.broadcast(one_row.limit(1)))
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table with fewer scan splits than cores; a table with more splits is left as it is.
+
+    A small file may be one row group, which only one task can read. Fewer splits than cores also bounds
+    what is shuffled here: cores times the split size.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
