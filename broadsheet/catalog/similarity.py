@@ -114,7 +114,7 @@ def i04b(spark, sf):
 
 @query("I05_approximate_pairs")
 def i05(spark, sf):
-    return sm.approximate_pairs(emb(spark, sf), "vec_id", "embedding", 0.7)
+    return sm.approximate_pairs(emb(spark, sf), "vec_id", "embedding", 0.4, bucket=1.0)
 
 
 @query("I06_cluster_items")
@@ -136,7 +136,7 @@ def i08(spark, sf):
 
 
 @query("I09_cluster_coherence", f"""WITH e AS {UNIT} SELECT a.label, max(n) AS items, round(avg({DOT}), 6) AS coherence FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id
-JOIN (SELECT label, count(*) AS n FROM embeddings GROUP BY 1) USING (label) GROUP BY 1""")
+JOIN (SELECT label, count(*) AS n FROM embeddings GROUP BY 1) c ON c.label = a.label GROUP BY 1""")
 def i09(spark, sf):
     return rounded(sm.cluster_coherence(emb(spark, sf), "label", "embedding"))
 

@@ -160,13 +160,15 @@ def explode_sentences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def ngrams(tokens, lo: int, hi: int):
     """All n-grams of lo..hi tokens joined by a blank. Pass the tokens as a column: lambdas re-evaluate expressions."""
     t = col(tokens)
+    empty = F.array().cast("array<string>")
 
     def of(n: int) -> Column:
         if n == 1:
             return t
-        starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - (n - 1))).otherwise(
-            F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " "))
+        shorter = of(n - 1)
+        heads = F.slice(shorter, F.lit(1), F.size(t) - (n - 1))
+        tails = F.slice(t, F.lit(n), F.size(t) - (n - 1))
+        return F.when(F.size(t) >= n, F.zip_with(heads, tails, lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(empty)
 
     return of(lo) if lo == hi else F.concat(*[of(n) for n in range(lo, hi + 1)])
 

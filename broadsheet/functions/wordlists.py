@@ -173,18 +173,23 @@ LANGUAGE_NAMES = {
     "tr": "Turkish", "th": "Thai", "vi": "Vietnamese",
 }
 
+# (type, pattern with two groups, pattern that must occur for a match). A run of words is written
+# \w(?:[\w\s]*\w)? so that long runs need no recursion in the matcher.
 RELATION_PATTERNS = [
-    ("CEO_OF", r"(\w+(?:\s+\w+)*)\s+(?:is\s+)?(?:the\s+)?CEO\s+of\s+([A-Z][a-zA-Z\s&]+)"),
-    ("CEO_OF", r"CEO\s+(\w+(?:\s+\w+)*)\s+of\s+([A-Z][a-zA-Z\s&]+)"),
-    ("CEO_OF", r"([A-Z][a-zA-Z\s&]+)\s+CEO\s+(\w+(?:\s+\w+)*)"),
-    ("WORKS_FOR", r"(\w+(?:\s+\w+)*)\s+works?\s+(?:for|at)\s+([A-Z][a-zA-Z\s&]+)"),
-    ("WORKS_FOR", r"(\w+(?:\s+\w+)*)\s+(?:employee|staff|member)\s+(?:of|at)\s+([A-Z][a-zA-Z\s&]+)"),
-    ("LOCATED_IN", r"([A-Z][a-zA-Z\s&]+)\s+(?:in|located\s+in|based\s+in)\s+([A-Z][a-zA-Z\s,]+)"),
-    ("LOCATED_IN", r"([A-Z][a-zA-Z\s&]+),?\s+([A-Z][a-zA-Z]+(?:,\s+[A-Z]{2})?)"),
-    ("ACQUIRED_BY", r"([A-Z][a-zA-Z\s&]+)\s+(?:was\s+)?acquired\s+by\s+([A-Z][a-zA-Z\s&]+)"),
-    ("ACQUIRED_BY", r"([A-Z][a-zA-Z\s&]+)\s+purchase[ds]\s+([A-Z][a-zA-Z\s&]+)"),
-    ("PARTNERED_WITH", r"([A-Z][a-zA-Z\s&]+)\s+partner(?:ed|ship)?\s+with\s+([A-Z][a-zA-Z\s&]+)"),
-    ("PARTNERED_WITH", r"([A-Z][a-zA-Z\s&]+)\s+(?:and|&)\s+([A-Z][a-zA-Z\s&]+)\s+(?:announced|signed|agreed)"),
+    ("CEO_OF", r"(\w(?:[\w\s]*\w)?)\s+(?:is\s+)?(?:the\s+)?CEO\s+of\s+([A-Z][a-zA-Z\s&]+)", r"ceo\s+of\s"),
+    ("CEO_OF", r"CEO\s+(\w(?:[\w\s]*\w)?)\s+of\s+([A-Z][a-zA-Z\s&]+)", r"ceo\s"),
+    ("CEO_OF", r"([A-Z][a-zA-Z\s&]+)\s+CEO\s+(\w(?:[\w\s]*\w)?)", r"\sceo\s"),
+    ("WORKS_FOR", r"(\w(?:[\w\s]*\w)?)\s+works?\s+(?:for|at)\s+([A-Z][a-zA-Z\s&]+)", r"\sworks?\s+(?:for|at)\s"),
+    ("WORKS_FOR", r"(\w(?:[\w\s]*\w)?)\s+(?:employee|staff|member)\s+(?:of|at)\s+([A-Z][a-zA-Z\s&]+)",
+     r"\s(?:employee|staff|member)\s+(?:of|at)\s"),
+    ("LOCATED_IN", r"([A-Z][a-zA-Z\s&]+)\s+(?:in|located\s+in|based\s+in)\s+([A-Z][a-zA-Z\s,]+)", r"\sin\s"),
+    ("LOCATED_IN", r"([A-Z][a-zA-Z\s&]+),?\s+([A-Z][a-zA-Z]+(?:,\s+[A-Z]{2})?)", r"\w"),
+    ("ACQUIRED_BY", r"([A-Z][a-zA-Z\s&]+)\s+(?:was\s+)?acquired\s+by\s+([A-Z][a-zA-Z\s&]+)", r"\sacquired\s+by\s"),
+    ("ACQUIRED_BY", r"([A-Z][a-zA-Z\s&]+)\s+purchase[ds]\s+([A-Z][a-zA-Z\s&]+)", r"\spurchase[ds]\s"),
+    ("PARTNERED_WITH", r"([A-Z][a-zA-Z\s&]+)\s+partner(?:ed|ship)?\s+with\s+([A-Z][a-zA-Z\s&]+)",
+     r"\spartner(?:ed|ship)?\s+with\s"),
+    ("PARTNERED_WITH", r"([A-Z][a-zA-Z\s&]+)\s+(?:and|&)\s+([A-Z][a-zA-Z\s&]+)\s+(?:announced|signed|agreed)",
+     r"\s(?:announced|signed|agreed)"),
 ]
 LABEL_ALIASES = {"PER": "PERSON", "ORGANIZATION": "ORG", "LOCATION": "LOC", "GEOPOLITICAL": "GPE"}
 LEAD_WORDS = ["ceo", "chief", "president", "founder"]

@@ -25,62 +25,53 @@ CONFIDENCE = {"MONEY": 0.9, "PERCENT": 0.9, "DATE": 0.9, "TIME": 0.85, "ORDINAL"
 MENTION = "doc_id text label start end confidence source".split()
 
 
-def placed_matches(text: Column, found: Column) -> Column:
-    """Offsets of consecutive matches: array of struct<text, start, end> (0-based, end exclusive)."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<text:string,start:int,end:int>>").alias("out"))
+def measured(text: Column, pattern: str) -> Column:
+    """Matches of a pattern in order, each with the characters from the end of the match before to its own end.
 
-    def step(acc, m):
-        start = _locate(text, m, acc["at"])
-        end = start + F.length(m)
-        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(m.alias("text"), start.alias("start"), end.alias("end"))).alias("out"))
-
-    return F.aggregate(found, zero, step, lambda acc: acc["out"])
+    \\G ties every search to the end of the last match, so a text without (further) matches is read once.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    steps = F.regexp_extract_all(text, F.lit(rf"\G(?s:.*?)(?:{pattern})"), 0)
+    return F.zip_with(found, steps, lambda m, g: F.struct(m.alias("text"), F.length(g).alias("step")))
 
 
-def _locate(text: Column, part: Column, start: Column) -> Column:
-    """0-based place of `part` in `text` at or after `start`."""
-    return F.position(part, text, start + 1) - 1
+def with_offsets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """start and end (exclusive) from the running sum of steps. keys and pos identify a match; one text per group."""
+    end = F.sum("step").over(Window.partitionBy(*keys).orderBy("pos"))
+    return rows.withColumn("end", end.cast("int")).withColumn("start", F.col("end") - F.length("text")).drop("step")
 
 
 def pattern_mentions(df: DataFrame, id_col: str, text_col: str, patterns: Mapping[str, str] = MENTION_PATTERNS,
                      confidence: Mapping[str, float] = CONFIDENCE) -> DataFrame:
-    t = F.col(text_col)
-    arrays = [F.transform(placed_matches(t, F.regexp_extract_all(t, F.lit(p), 0)), _labelled(label, confidence[label]))
-              for label, p in patterns.items()]
-    return df.select(F.col(id_col).alias("doc_id"), F.inline(F.concat(*arrays))).select(*MENTION)
+    arrays = [F.transform(measured(F.col(text_col), p), _labelled(label, confidence[label])) for label, p in patterns.items()]
+    rows = df.select(F.col(id_col).alias("doc_id"), F.posexplode(F.concat(*arrays)).alias("pos", "m")).select("doc_id", "pos", "m.*")
+    return with_offsets(rows, ["doc_id", "label"]).select(*MENTION)
 
 
 def _labelled(label: str, confidence: float):
     def add(m):
-        return F.struct(m["text"].alias("text"), F.lit(label).alias("label"), m["start"].alias("start"), m["end"].alias("end"),
+        return F.struct(m["text"].alias("text"), m["step"].alias("step"), F.lit(label).alias("label"),
                         F.lit(confidence).alias("confidence"), F.lit("pattern").alias("source"))
     return add
 
 
 def gazetteer_mentions(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame, longest: int = 4, confidence: float = 0.95) -> DataFrame:
     """Names of a (name, label) table of any size, matched on 1..longest word n-grams with their offsets."""
-    t = F.col(text_col)
-    base = df.select(F.col(id_col).alias("doc_id"), t.alias("_t"), F.regexp_extract_all(t, F.lit(tx.WORD_TOKEN), 0).alias("_w"))
-    placed = base.select("doc_id", placed_matches(F.col("_t"), F.col("_w")).alias("_m"))
-    grams = None
+    rows = df.select(F.col(id_col).alias("doc_id"), F.posexplode(measured(F.col(text_col), tx.WORD_TOKEN)).alias("pos", "m")).select("doc_id", "pos", "m.*")
+    placed = with_offsets(rows, ["doc_id"])
+    doc = Window.partitionBy("doc_id").orderBy("pos")  # the words of one document
+    following = [F.struct(F.lead("text", i).over(doc).alias("text"), F.lead("end", i).over(doc).alias("end")) for i in range(longest)]
+    ahead = placed.withColumns({f"_w{i}": c for i, c in enumerate(following)})
+    grams = []
     for n in range(1, longest + 1):
-        starts = F.when(F.size("_m") >= n, F.sequence(F.lit(1), F.size("_m") - (n - 1))).otherwise(F.array().cast("array<int>"))
-        part = placed.select("doc_id", F.inline(F.transform(starts, _gram(n))))
-        grams = part if grams is None else grams.unionByName(part)
+        text = F.concat_ws(" ", *[F.col(f"_w{i}.text") for i in range(n)])
+        grams.append(F.when(F.col(f"_w{n - 1}.text").isNotNull(), F.struct(F.lower(text).alias("name"), text.alias("text"), F.col("start"), F.col(f"_w{n - 1}.end").alias("end"))))
+    long = ahead.select("doc_id", F.inline(F.array_compact(F.array(*grams))))
     names = gazetteer.select(F.lower("name").alias("name"), "label").dropDuplicates(["name"])
-    found = attach(grams, names, ["name"], ["doc_id", "start"])
+    found = attach(long, names, ["name"], ["doc_id", "start"])
     return found.select("doc_id", "text", "label", "start", "end", F.lit(confidence).alias("confidence"), F.lit("gazetteer").alias("source"))
 
 
-def _gram(n: int):
-    def make(i):
-        part = F.slice(F.col("_m"), i, n)
-        text = F.array_join(F.transform(part, lambda m: m["text"]), " ")
-        return F.struct(F.lower(text).alias("name"), text.alias("text"), F.get(part, F.lit(0))["start"].alias("start"),
-                        F.get(part, F.lit(n - 1))["end"].alias("end"))
-    return make
-
-
 def extract_mentions(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame | None = None, patterns: Mapping[str, str] = MENTION_PATTERNS) -> DataFrame:
     """All mentions of patterns and gazetteer, normalised and merged."""
     found = pattern_mentions(df, id_col, text_col, patterns)
@@ -128,23 +119,35 @@ def merge_mentions(mentions: DataFrame) -> DataFrame:
 RELATION = "doc_id type entity1 entity2 confidence source context start".split()
 
 
-def rule_relations(df: DataFrame, id_col: str, text_col: str, patterns: Sequence[tuple[str, str]] = tuple(wl.RELATION_PATTERNS), confidence: float = 0.8) -> DataFrame:
-    """Relations by patterns with two groups, matched without regard to case."""
-    t = F.col(text_col)
-    parts = []
-    for kind, p in patterns:
-        p = F.lit("(?i)" + p)
-        whole, one, two = (F.regexp_extract_all(t, p, g) for g in (0, 1, 2))
-        placed = placed_matches(t, whole)
-        rows = F.arrays_zip(placed.alias("m"), one.alias("entity1"), two.alias("entity2"))
-        parts.append(F.transform(rows, _relation(kind, confidence)))
-    return df.select(F.col(id_col).alias("doc_id"), F.inline(F.concat(*parts))).select(*RELATION)
+CLAUSE = r"(?U)[\w\s&,]+"
+
 
+def rule_relations(df: DataFrame, id_col: str, text_col: str, patterns: Sequence[tuple] = tuple(wl.RELATION_PATTERNS), confidence: float = 0.8) -> DataFrame:
+    """Relations by patterns with two groups, matched without regard to case: (type, pattern, guard word pattern).
 
-def _relation(kind: str, confidence: float):
+    The patterns hold only words, blanks, & and commas, so each match lies in one clause. Texts are cut into
+    clauses first and a pattern is tried only where its guard occurs.
+    """
+    clauses = df.select(F.col(id_col).alias("doc_id"), F.posexplode(measured(F.col(text_col), CLAUSE)).alias("pos", "m")).select("doc_id", "pos", "m.*")
+    clauses = with_offsets(clauses, ["doc_id"]).select("doc_id", F.col("text").alias("clause"), F.col("start").alias("clause_start"))
+    parts = []
+    for n, (kind, pattern, *guard) in enumerate(patterns):
+        c = F.col("clause")
+        full = "(?iU)" + pattern
+        one, two = (F.regexp_extract_all(c, F.lit(full), g) for g in (1, 2))
+        rows = F.transform(F.arrays_zip(measured(c, full).alias("m"), one.alias("entity1"), two.alias("entity2")), _relation(n, kind))
+        none = F.slice(rows, 1, 0)
+        parts.append(F.when(c.rlike("(?iU)" + guard[0]), rows).otherwise(none) if guard and guard[0] else rows)
+    long = clauses.select("doc_id", "clause_start", F.posexplode(F.concat(*parts)).alias("pos", "r")).select("doc_id", "clause_start", "pos", "r.*")
+    placed = with_offsets(long, ["doc_id", "clause_start", "rule"])
+    return placed.select("doc_id", "type", "entity1", "entity2", F.lit(confidence).alias("confidence"), F.lit("rule_based").alias("source"),
+                         F.col("text").alias("context"), (F.col("clause_start") + F.col("start")).alias("start"))
+
+
+def _relation(n: int, kind: str):
     def make(x):
-        return F.struct(F.lit(kind).alias("type"), tx.strip(x["entity1"]).alias("entity1"), tx.strip(x["entity2"]).alias("entity2"),
-                        F.lit(confidence).alias("confidence"), F.lit("rule_based").alias("source"), x["m"]["text"].alias("context"), x["m"]["start"].alias("start"))
+        return F.struct(F.lit(n).alias("rule"), F.lit(kind).alias("type"), tx.strip(x["entity1"]).alias("entity1"), tx.strip(x["entity2"]).alias("entity2"),
+                        x["m"]["text"].alias("text"), x["m"]["step"].alias("step"))
     return make
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from broadsheet.functions.text import ngrams
 from broadsheet.operators.relational import count_all, top_k_per_group
 from broadsheet.plans.sized import attach, bounded_rows, with_scalars
+from broadsheet.session import materialize
 
 MAX_FEATURES = 5000
 
@@ -38,7 +39,10 @@ class TfidfModel:
     sublinear: bool = True
 
     def transform(self, df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-        tf = _tf(df, [id_col], tokens_col, self.lo, self.hi)
+        return self.weigh(_tf(df, [id_col], tokens_col, self.lo, self.hi), id_col)
+
+    def weigh(self, tf: DataFrame, id_col: str) -> DataFrame:
+        """Weights of a counted table (id, term, tf)."""
         weight = (sublinear(F.col("tf")) if self.sublinear else F.col("tf").cast("double")) * F.col("idf")
         raw = tf.join(F.broadcast(self.vocabulary.select("term", "idf")), "term").withColumn("_w", weight)
         norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))  # one document
@@ -48,8 +52,11 @@ class TfidfModel:
 def fit_tfidf(df: DataFrame, id_col: str, tokens_col: str, max_features: int = MAX_FEATURES, min_df: int = 2,
               max_df: float = 0.95, lo: int = 1, hi: int = 2, sub: bool = True, small_corpus: bool = True) -> TfidfModel:
     """Vocabulary by total count (ties by term). With small_corpus, min_df and max_features shrink with the rows."""
-    tf = _tf(df, [id_col], tokens_col, lo, hi)
-    n_docs = df.count()
+    return _fit_counted(_tf(df, [id_col], tokens_col, lo, hi), df.count(), max_features, min_df, max_df, lo, hi, sub, small_corpus)
+
+
+def _fit_counted(tf: DataFrame, n_docs: int, max_features: int = MAX_FEATURES, min_df: int = 2, max_df: float = 0.95, lo: int = 1, hi: int = 2,
+                 sub: bool = True, small_corpus: bool = True) -> TfidfModel:
     if small_corpus:
         min_df, max_features = min(min_df, max(1, n_docs // 10)), min(max_features, 50 * max(n_docs, 1))
     stats = tf.groupBy("term").agg(count_all().alias("n_docs"), F.sum("tf").alias("total"))
@@ -60,13 +67,15 @@ def fit_tfidf(df: DataFrame, id_col: str, tokens_col: str, max_features: int = M
 
 
 def tfidf_long(df: DataFrame, id_col: str, tokens_col: str, **options) -> DataFrame:
-    return fit_tfidf(df, id_col, tokens_col, **options).transform(df, id_col, tokens_col)
+    """Fit and transform in one: the counts are made once and written, being read for both."""
+    tf = materialize(_tf(df, [id_col], tokens_col, options.get("lo", 1), options.get("hi", 2)))
+    return _fit_counted(tf, df.count(), **options).weigh(tf, id_col)
 
 
 def tfidf_by_corpus(df: DataFrame, corpus: str, id_col: str, tokens_col: str, max_features: int = 50, min_df: int = 2,
                     max_df: float = 0.8, lo: int = 1, hi: int = 2, sub: bool = False) -> DataFrame:
     """One vocabulary per corpus value (language, cluster, ...), each cut to its max_features terms."""
-    tf = _tf(df, [corpus, id_col], tokens_col, lo, hi)
+    tf = materialize(_tf(df, [corpus, id_col], tokens_col, lo, hi))
     sizes = df.groupBy(corpus).agg(count_all().alias("_n"))
     stats = tf.groupBy(corpus, "term").agg(count_all().alias("n_docs"), F.sum("tf").alias("total"))
     kept = attach(stats, sizes, [corpus], ["term"]).where(

@@ -94,6 +94,7 @@ def similar_pairs(weights: DataFrame, id_col: str, threshold: float, cell_rows:
     where both rows still have at least that much norm left, so only those prefixes are joined, frequent
     prefix terms in salted cells, and candidates are checked against the product of the norms left.
     """
+    weights = materialize(weights.select(id_col, "term", "tfidf"))
     freq = weights.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     left = Window.partitionBy(id_col).orderBy("_df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)  # one document
     placed = weights.join(freq, "term").withColumn("_left", F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf")).over(left)))

@@ -58,6 +58,7 @@ def fit_lda(df: DataFrame, tokens_col: str, k: int = 10, iterations: int = 20, s
 
 def document_rows(weights: DataFrame, id_col: str) -> tuple[DataFrame, list[str]]:
     """One row per document (id, term numbers, weights) and the bounded vocabulary."""
+    weights = materialize(weights.select(id_col, "term", "tfidf"))
     vocabulary = sorted(r[0] for r in bounded_rows(weights.select("term").distinct(), MAX_FEATURES, "vocabulary"))
     terms = weights.sparkSession.createDataFrame(list(enumerate(vocabulary)), "i int, term string")
     packed = weights.join(F.broadcast(terms), "term").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("i", F.col("tfidf").alias("v")))).alias("_p"))
