@@ -62,7 +62,7 @@ def c02(spark, sf):
 @query("C04_ensemble_predict")
 def c04(spark, sf):
     data, _, _ = prepared(spark, sf)
-    models = {n: m for n, (m, _) in trained(spark, sf, ["logistic_regression", "naive_bayes", "svm"]).items()}
+    models = {n: m for n, (m, _) in trained(spark, sf, ["logistic_regression", "naive_bayes", "random_forest"]).items()}
     return c.ensemble_predict(models, data, "doc_id", ["lang"])
 
 
@@ -226,7 +226,7 @@ def z07(spark, sf):
 
 @query("Z08_analyze_articles")
 def z08(spark, sf):
-    out = q.analyze_articles(articles(spark, sf), "doc_id", "text", ["category", "sentiment", "language", "readability"])
+    out = q.analyze_articles(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", ["category", "sentiment", "language", "readability"])
     return out.select("doc_id", *[F.to_json(x).alias(x) for x in ("sentiment", "language", "readability")])
 
 

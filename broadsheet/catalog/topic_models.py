@@ -75,8 +75,8 @@ def lang_words(spark, sf):
 
 
 @query("H04_topic_coherence", f"""WITH {WORDS}, dt AS (SELECT DISTINCT doc_id, unnest({tokens_sql('text')}) AS term FROM documents), x AS (SELECT topic, rank, doc_id FROM tw JOIN dt USING (term)), s AS (SELECT topic, rank, count(*) AS n FROM x GROUP BY 1, 2),
-b AS (SELECT p.topic, p.rank AS r1, q.rank AS r2, count(*) AS both FROM x p JOIN x q ON p.topic = q.topic AND p.doc_id = q.doc_id AND p.rank < q.rank GROUP BY 1, 2, 3)
-SELECT a.topic, round(avg(coalesce(both, 0)::DOUBLE / n), 6) AS coherence FROM tw a JOIN tw c ON a.topic = c.topic AND a.rank < c.rank JOIN s ON s.topic = a.topic AND s.rank = a.rank LEFT JOIN b ON b.topic = a.topic AND b.r1 = a.rank AND b.r2 = c.rank GROUP BY 1""")
+b AS (SELECT p.topic, p.rank AS r1, q.rank AS r2, count(*) AS nb FROM x p JOIN x q ON p.topic = q.topic AND p.doc_id = q.doc_id AND p.rank < q.rank GROUP BY 1, 2, 3)
+SELECT a.topic, round(avg(coalesce(nb, 0)::DOUBLE / n), 6) AS coherence FROM tw a JOIN tw c ON a.topic = c.topic AND a.rank < c.rank JOIN s ON s.topic = a.topic AND s.rank = a.rank LEFT JOIN b ON b.topic = a.topic AND b.r1 = a.rank AND b.r2 = c.rank GROUP BY 1""")
 def h04(spark, sf):
     d = articles(spark, sf, "lang").select("doc_id", tx.word_tokens("text").alias("tokens"))
     return rounded(h.topic_coherence(lang_words(spark, sf), d, "doc_id", "tokens"))
@@ -126,8 +126,8 @@ def h09(spark, sf):
     return rounded(h.window_topics(evolution(spark, sf)))
 
 
-@query("H10_topic_drift", windows_sql(14, 7, 10) + f""", tk AS (SELECT window_id, lang AS topic, unnest({tokens_sql('text')}) AS term FROM m JOIN c USING (window_start)), k AS (SELECT window_id, topic, term FROM tk GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY window_id, topic ORDER BY count(*) DESC, term) <= 10),
-st AS (SELECT window_id, topic, list(term) AS s FROM k GROUP BY 1, 2), j AS (SELECT *, lag(s) OVER (PARTITION BY topic ORDER BY window_id) AS b FROM st), q AS (SELECT topic, window_id, len(list_intersect(s, b))::DOUBLE / len(list_distinct(list_concat(s, b))) AS j FROM j WHERE b IS NOT NULL),
+@query("H10_topic_drift", windows_sql(14, 7, 10) + f""", tk AS (SELECT window_id, lang AS topic, unnest({tokens_sql('text')}) AS term FROM m JOIN c USING (window_start)), kw AS (SELECT window_id, topic, term FROM tk GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY window_id, topic ORDER BY count(*) DESC, term) <= 10),
+st AS (SELECT window_id, topic, list(term) AS s FROM kw GROUP BY 1, 2), j AS (SELECT *, lag(s) OVER (PARTITION BY topic ORDER BY window_id) AS b FROM st), q AS (SELECT topic, window_id, len(list_intersect(s, b))::DOUBLE / len(list_distinct(list_concat(s, b))) AS j FROM j WHERE b IS NOT NULL),
 o AS (SELECT topic, avg(j) AS similarity, 1 - avg(j) AS drift, 1 - min(j) AS max_drift, regr_slope(1 - j, window_id) AS slope FROM q GROUP BY 1)
 SELECT topic, round(similarity, 6) AS similarity, round(drift, 6) AS drift, round(max_drift, 6) AS max_drift, round(slope, 6) AS slope, CASE WHEN coalesce(slope, 0) > 0.01 THEN 'increasing' WHEN coalesce(slope, 0) < -0.01 THEN 'decreasing' ELSE 'stable' END AS trend FROM o""")
 def h10(spark, sf):

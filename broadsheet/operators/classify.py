@@ -86,31 +86,24 @@ def predict_with_confidence(model: PipelineModel, df: DataFrame, id_col: str, k:
 
 
 def ensemble_predict(models: Mapping[str, PipelineModel], df: DataFrame, id_col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Mean probability of models that give one; a linear SVM's margins go through a softmax. All in one row, no join."""
+    """Mean probability of fitted models, all applied in one pass without a join. Models must give probabilities."""
     out, arrays = df, []
     names = class_names(next(iter(models.values())))
     for name, model in models.items():
         fitted = model.stages[-1]
-        raw, prob = f"_raw_{name}", f"_prob_{name}"
+        if not hasattr(fitted, "setProbabilityCol"):
+            raise ValueError(f"{name} gives no probabilities; leave it out of the ensemble")
         scored = fitted.copy()
-        scored.setFeaturesCol("features").setPredictionCol(f"_pred_{name}")
-        scored.setRawPredictionCol(raw)
-        if hasattr(scored, "setProbabilityCol"):
-            scored.setProbabilityCol(prob)
+        scored.setPredictionCol(f"_pred_{name}").setRawPredictionCol(f"_raw_{name}").setProbabilityCol(f"_prob_{name}")
         out = scored.transform(out)
-        if hasattr(scored, "setProbabilityCol"):
-            arrays.append(vector_to_array(prob))
-        else:
-            e = F.transform(vector_to_array(raw), lambda x: F.exp(x))
-            total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-            out = out.withColumn(prob, F.transform(e, lambda x: x / total))
-            arrays.append(F.col(prob))
+        arrays.append(vector_to_array(f"_prob_{name}"))
     mean = arrays[0]
     for a in arrays[1:]:
         mean = F.zip_with(mean, a, lambda x, y: x + y)
     mean = F.transform(mean, lambda x: x / len(arrays))
-    top = top_classes(mean, names, 3)
-    return out.withColumn("_top", top).select(id_col, *keep, F.get("_top", F.lit(0))["class"].alias("predicted"), F.get("_top", F.lit(0))["probability"].alias("confidence"))
+    out = out.withColumn("_top", top_classes(mean, names, 3))
+    best = F.get("_top", F.lit(0))
+    return out.select(id_col, *keep, best["class"].alias("predicted"), best["probability"].alias("confidence"))
 
 
 def coefficient_table(model: PipelineModel, vocabulary: Sequence[str], spark) -> DataFrame:
