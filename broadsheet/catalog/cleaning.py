@@ -58,7 +58,7 @@ s1 AS (SELECT * FROM d WHERE rn = 1), s2 AS (SELECT * FROM s1 WHERE text IS NOT
 t AS (SELECT doc_id, {STRIP} AS text, lower(trim(source)) AS category FROM s2),
 s3 AS (SELECT * FROM t WHERE length(text) BETWEEN 50 AND 10000),
 s4 AS (SELECT * FROM s3 WHERE length(regexp_replace(text, '[^\\p{{L}}\\s]', '', 'g'))::DOUBLE / length(text) >= 0.7),
-f AS (SELECT category FROM s4 GROUP BY 1 HAVING count(*) >= 10), s5 AS (SELECT * FROM s4 WHERE category IN (SELECT category FROM f))
+f AS (SELECT category FROM s4 GROUP BY 1 HAVING count(*) >= 5), s5 AS (SELECT * FROM s4 WHERE category IN (SELECT category FROM f))
 """
 
 
@@ -66,7 +66,7 @@ f AS (SELECT category FROM s4 GROUP BY 1 HAVING count(*) >= 10), s5 AS (SELECT *
 SELECT doc_id AS article_id, category, len({words_sql('text')}) AS word_count, length(text) AS char_count,
   len(regexp_extract_all(text, '[.!?]+')) + 1 AS sentence_count FROM s5""")
 def p08(spark, sf):
-    return c.prepare_dataset(articles(spark, sf), min_rows=10)[0].drop("text")
+    return c.prepare_dataset(articles(spark, sf), min_rows=5)[0].drop("text")
 
 
 @query("P08_prepare_steps", PREPARED + """
@@ -74,7 +74,7 @@ SELECT 'input' AS step, count(*) AS rows FROM documents UNION ALL SELECT 'dedupl
 UNION ALL SELECT 'not_null', count(*) FROM s2 UNION ALL SELECT 'length', count(*) FROM s3
 UNION ALL SELECT 'letters', count(*) FROM s4 UNION ALL SELECT 'frequent_categories', count(*) FROM s5""")
 def p08_steps(spark, sf):
-    return c.prepare_dataset(articles(spark, sf), min_rows=10)[1]
+    return c.prepare_dataset(articles(spark, sf), min_rows=5)[1]
 
 
 FIXED = """
