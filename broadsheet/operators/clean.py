@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from broadsheet.functions import text as tx
 from broadsheet.operators.relational import keep_frequent
+from broadsheet.plans.sized import attach
+from broadsheet.session import materialize
 
 
 def require(df: DataFrame, *cols: str) -> None:
@@ -101,15 +103,18 @@ def prepare_dataset(df: DataFrame, text_col: str = "text", category_col: str = "
         .withColumn("_s3", F.col("_s2") & F.coalesce(F.length(text_col).between(min_chars, max_chars), F.lit(False)))
         .withColumn("_s4", F.col("_s3") & F.coalesce(alpha_ratio(text_col) >= alpha, F.lit(False)))
     )
-    kept = flagged.where("_s4").drop("_first", "_s1", "_s2", "_s3", "_s4")
+    # only ids, categories and flags are written; the texts are read again for the rows that stay
+    flags = materialize(flagged.select(id_col, category_col, "_s1", "_s2", "_s3", "_s4"))
+    kept = flags.where("_s4").select(id_col, category_col)
     frequent = kept.groupBy(category_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
     if frequent.limit(min_categories).count() < min_categories:
         raise ValueError(f"fewer than {min_categories} categories have {min_rows} rows")
+    chosen = attach(kept, frequent.select(category_col), [category_col], [id_col], "left_semi")
     counts = tx.text_counts(text_col)
-    clean = kept.join(frequent.select(category_col), category_col, "left_semi").select(
+    clean = df.select(id_col, trimmed.alias(text_col)).join(chosen, id_col).select(
         F.col(id_col).alias("article_id"), text_col, category_col, counts["words"].alias("word_count"),
         counts["chars"].alias("char_count"), counts["sentences"].alias("sentence_count"))
-    steps = flagged.agg(F.count(F.lit(1)).alias("input"), *[
+    steps = flags.agg(F.count(F.lit(1)).alias("input"), *[
         F.count_if(F.col(c)).alias(name) for c, name in
         (("_s1", "deduplicated"), ("_s2", "not_null"), ("_s3", "length"), ("_s4", "letters"))])
     last = frequent.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("frequent_categories"))
