@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from broadsheet.functions.stats import student_two_sided
 from broadsheet.functions.text import banded, ratio
 from broadsheet.plans.ordered import cumulative, percentiles, previous, rolling, with_position
-from broadsheet.plans.sized import attach, salt, with_scalars
+from broadsheet.plans.sized import attach, fits, salt, with_scalars
 
 
 
@@ -107,6 +107,8 @@ def period_shares(df: DataFrame, period: Column, topic_col: str) -> DataFrame:
     counts = df.withColumn("period", period).groupBy("period", topic_col).agg(count_all().alias("count"))
     totals = counts.groupBy("period").agg(F.sum("count").alias("_total"))
     topics = counts.select(topic_col).distinct()
+    if not fits(topics):
+        raise ValueError(f"{topic_col} has too many values for a zero-filled table")
     grid = totals.withColumn("_g", F.lit(1)).join(F.broadcast(topics.withColumn("_g", F.lit(1))), "_g").drop("_g")
     return grid.join(counts, ["period", topic_col], "left").select(
         "period", F.col(topic_col).alias("topic"), F.coalesce("count", F.lit(0)).alias("count"),
@@ -141,8 +143,13 @@ def entity_rollup(mentions: DataFrame, top_k: int = 10) -> DataFrame:
 
 
 def entity_cooccurrence(mentions: DataFrame, min_weight: int = 2, doc_col: str = "doc_id") -> DataFrame:
-    """Pairs of distinct entities named in the same document, with the number of such documents."""
+    """Pairs of distinct entities named in the same document, with the number of such documents.
+
+    A pair cannot reach min_weight unless both entities are in that many documents, so rarer ones leave first.
+    """
     names = mentions.select(doc_col, F.col("text").alias("entity")).distinct()
+    common = names.groupBy("entity").agg(count_all().alias("_n")).where(F.col("_n") >= min_weight).select("entity")
+    names = attach(names, common, ["entity"], [doc_col], "left_semi")
     b = names.select(doc_col, F.col("entity").alias("entity_2"))
     return (names.withColumnRenamed("entity", "entity_1").join(b, doc_col).where(F.col("entity_1") < F.col("entity_2"))
             .groupBy("entity_1", "entity_2").agg(count_all().alias("weight")).where(F.col("weight") >= min_weight))
