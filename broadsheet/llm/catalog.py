@@ -34,8 +34,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = rf"""
 WITH d AS (
   SELECT doc_id, lang, t AS text, regexp_replace(t, '[ \t-\r]', '', 'g') AS compact,
-         list_filter(regexp_split_to_array(t, '[ \t-\r]+'), x -> x <> '') AS words,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^ \t-\r]')) AS lines
+         [x FOR x IN regexp_split_to_array(t, '[ \t-\r]+') IF x <> ''] AS words,
+         [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^ \t-\r]')] AS lines
   FROM (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents)),
 m AS (
   SELECT doc_id, lang, words, len(words) AS n, length(compact) AS word_chars, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
