@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import exact, quality
+from broadsheet.llm import exact, minhash, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ FROM d WINDOW w AS (PARTITION BY body ORDER BY size DESC, doc_id)
 """
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
@@ -76,5 +80,5 @@ SELECT doc_id, n AS n_words, word_chars, c4 AS n_symbols, n_dup_lines, n_repeat
 FROM r
 """
 
-QUERIES: dict[str, Query] = {"op2_exact_dedup": op2_exact_dedup, "op8_quality_rules": op8_quality_rules}
+QUERIES: dict[str, Query] = {"op2_exact_dedup": op2_exact_dedup, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op8_quality_rules": op8_quality_rules}
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL.strip(), "op8_quality_rules": OP8_SQL.strip()}
