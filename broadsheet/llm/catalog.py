@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import exact, minhash, quality
+from broadsheet.llm import exact, minhash, packing, quality, tokenfile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,14 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.write_and_read(table(spark, sf_dir, "documents"), end_id=1)
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
@@ -80,5 +88,6 @@ SELECT doc_id, n AS n_words, word_chars, c4 AS n_symbols, n_dup_lines, n_repeat
 FROM r
 """
 
-QUERIES: dict[str, Query] = {"op2_exact_dedup": op2_exact_dedup, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op8_quality_rules": op8_quality_rules}
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op8_quality_rules)}
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL.strip(), "op8_quality_rules": OP8_SQL.strip()}
