@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import exact, minhash, packing, quality, tokenfile
+from broadsheet.llm import exact, minhash, packing, pii, quality, tokenfile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
 
 
+def op7_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"),
+                        pii.span_list(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
@@ -89,5 +95,5 @@ FROM r
 """
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op8_quality_rules)}
+    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op7_contextual_pii, op8_quality_rules)}
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL.strip(), "op8_quality_rules": OP8_SQL.strip()}
