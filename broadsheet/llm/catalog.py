@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import exact, minhash, packing, pii, quality, tokenfile
+from broadsheet.llm import exact, minhash, packing, pii, quality, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,19 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read(table(spark, sf_dir, "pages"))
+
+
+OP6_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, CASE WHEN size >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM p)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
+
 def op7_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"),
@@ -95,5 +108,5 @@ FROM r
 """
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op7_contextual_pii, op8_quality_rules)}
-SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL.strip(), "op8_quality_rules": OP8_SQL.strip()}
+    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op6_warc, op7_contextual_pii, op8_quality_rules)}
+SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL.strip(), "op6_warc": OP6_SQL.strip(), "op8_quality_rules": OP8_SQL.strip()}
