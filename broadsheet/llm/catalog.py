@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import exact, minhash, packing, pii, quality, tokenfile, warc
+from broadsheet.llm import exact, html, minhash, packing, pieces, pii, quality, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.n_best(table(spark, sf_dir, "documents"), n=3)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents")).drop("n_chars")
 
@@ -107,6 +111,10 @@ SELECT doc_id, n AS n_words, word_chars, c4 AS n_symbols, n_dup_lines, n_repeat
 FROM r
 """
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op6_warc, op7_contextual_pii, op8_quality_rules)}
+    f.__name__: f for f in (op1_sentencepiece_nbest, op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op6_warc, op7_contextual_pii, op8_quality_rules, op9_html_text)}
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL.strip(), "op6_warc": OP6_SQL.strip(), "op8_quality_rules": OP8_SQL.strip()}
