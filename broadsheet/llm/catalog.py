@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import exact, html, minhash, packing, pieces, pii, quality, tokenfile, warc
+from broadsheet.llm import exact, html, minhash, packing, pieces, pii, quality, repeats, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +115,12 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeated_spans(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", "n_units", "n_removed", spans.alias("spans"), "first_doc_ids")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_sentencepiece_nbest, op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op6_warc, op7_contextual_pii, op8_quality_rules, op9_html_text)}
+    f.__name__: f for f in (op1_sentencepiece_nbest, op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op6_warc, op7_contextual_pii, op8_quality_rules, op9_html_text, op10_repeated_passages)}
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL.strip(), "op6_warc": OP6_SQL.strip(), "op8_quality_rules": OP8_SQL.strip()}

@@ -47,7 +47,13 @@ _BYTES = seeds(256, 77)
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of every text (A-Z lower-cased), and the index of its first word per text (n + 1 numbers).
+    """Hash of every word of every text (A-Z lower-cased), and the index of its first word per text (n + 1 numbers)."""
+    hashes, at, *_ = words_in_place(texts)
+    return hashes, at
+
+
+def words_in_place(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As `word_hashes`, with the first byte of each word and the byte after its last, the bytes, and where each text starts in them.
 
     A word is a run of bytes other than space and \\x09-\\x0D; nulls have none. The texts are hashed in chunks that
     end at white space, so the arrays stay small for texts of any length; only a single word is never cut.
@@ -59,7 +65,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = offsets - offsets[0]
     first_of_text = np.zeros(len(data) + 1, dtype=bool)
     first_of_text[offsets[:-1]] = True
-    hashes, starts, at = [], [], 0
+    hashes, starts, stops, at = [], [], [], 0
     while at < len(data):
         end = min(len(data), at + CHUNK)
         while end < len(data):  # to the next boundary of a word
@@ -69,16 +75,18 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
                 end += int(cut[0])
                 break
             end = min(len(data), end + 4096)
-        h, s = _chunk(data[at:end], first_of_text[at:end])
+        h, s, e = _chunk(data[at:end], first_of_text[at:end])
         hashes.append(h)
         starts.append(s + at)
+        stops.append(e + at)
         at = end
     hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    return hashes, np.searchsorted(starts, offsets, "left")
+    stops = np.concatenate(stops) if stops else np.zeros(0, np.int64)
+    return hashes, np.searchsorted(starts, offsets, "left"), starts, stops, data, offsets
 
 
-def _chunk(c: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chunk(c: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     up, down = _Powers.upto(len(c) + 1)
     solid = ~((c == 32) | ((c >= 9) & (c <= 13)))
     before = np.empty_like(solid)
@@ -96,7 +104,7 @@ def _chunk(c: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sums[0] = 0
         np.cumsum(_BYTES[lower] * up[:len(c)], out=sums[1:])
         h = (sums[end] - sums[start]) * down[start]
-        return mix(h + (end - start).astype(np.uint64) * np.uint64(_BASE)), start
+        return mix(h + (end - start).astype(np.uint64) * np.uint64(_BASE)), start, end
 
 
 def shingle_hashes(words: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
