@@ -18,8 +18,8 @@ BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 #: Bits of the odd sketch, in words of 64.
 SKETCH_WORDS = 8
-#: Cross-component pairs that a bucket may emit per member; doubled from round to round.
-FIRST_REST = 8
+#: Members outside the largest component of a bucket that are compared with all of it at once; doubled from round to round.
+FIRST_REST = 2
 
 
 def most_odd_bits(similarity: float, tail: float) -> int:
@@ -140,10 +140,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Connected components of the texts whose shingle sets have a Jaccard similarity of `percent` / 100 or more.
 
     Rows with the same set are one class, found by digest and represented by their smallest identifier; only classes
-    are compared. Classes that share a band of MinHash values meet in a bucket. A bucket never emits all its pairs: it
-    compares its members with one pivot; what is then still in another component than most of the bucket is compared with all
-    members once it is few (FIRST_REST, doubled each round), else with the next pivot, until no two components of a
-    bucket are left uncompared. Pairs pass the odd sketches, then the full sets; only confirmed pairs link.
+    are compared. Classes that share a band of MinHash values meet in a bucket. A bucket does not emit all its pairs: it
+    compares its members with one pivot, the one that shares most bands with others; what is then still outside the
+    largest component of the bucket is compared with all members once it is few (FIRST_REST, doubled each round), else the
+    next pivot follows, until no two components of a bucket are left uncompared. Pairs pass the odd sketches, then the full sets; only confirmed pairs link.
 
     Columns: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id). Words are
     runs without white space, A-Z lower-cased; fewer words than `size` are one shingle; a null text or one without words
@@ -155,7 +155,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = stored(seen.where("n > 0").groupBy("digest").agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd"))
                      .withColumn("node", F.monotonically_increasing_id()), "classes")
     members = classes.select("node", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
+    # what is joined by bucket is written first: only then can Spark split the exchange of a hot bucket
+    shared = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     buckets = stored(members.join(shared, "key"), "buckets")
     links = _links(docs, classes, buckets, id_col, text_col, size, percent)
     named = classes.select("node", "digest", "low")
@@ -179,16 +180,24 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = stored(shingle_sets(wanted.join(texts, F.col("id").eqNullSafe(F.col("low"))), size).dropDuplicates(["node"]), "sets")
     limit = most_odd_bits(percent / 100, 5.0)
-    links, rest, turn = None, FIRST_REST, 0
-    open_ = buckets.withColumn("comp", F.col("node"))
+    # a text that others were copied from shares more bands with more of them than the copies do with each other
+    degree = stored(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
+    open_ = stored(buckets.join(degree, "node").select("key", "node", "degree", F.col("node").alias("comp")), "open")
+    links, rest, first = None, FIRST_REST, True
     while True:
-        # the largest component of a bucket, and how many members are outside it
-        sizes = open_.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("head"))
-        whole = sizes.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("main"), F.min("head").alias("head")).select(
-            "key", F.col("main.comp").alias("main"), (F.col("all") - F.col("main.c")).alias("outside"), F.col("head.node").alias("pivot"))
-        placed = open_.join(whole.where("outside > 0"), "key")
+        # the largest component of a bucket, how many members are outside it, and the pivot: the member with most company
+        pivot = F.max(F.struct("degree", "node")).alias("pivot")
+        if first:  # all components are single members
+            whole = open_.groupBy("key").agg(F.count(F.lit(1)).alias("all"), pivot).select(
+                "key", F.col("pivot.node").alias("main"), (F.col("all") - 1).alias("outside"), F.col("pivot.node").alias("pivot"))
+        else:
+            sizes = open_.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), pivot)
+            whole = sizes.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("main"), F.max("pivot").alias("pivot")).select(
+                "key", F.col("main.comp").alias("main"), (F.col("all") - F.col("main.c")).alias("outside"), F.col("pivot.node").alias("pivot"))
+        placed = stored(open_.join(stored(whole.where("outside > 0"), "whole"), "key"), "placed")
         few = F.col("outside") <= rest
-        by_pivot = placed.where(~few & (F.col("node") != F.col("pivot"))).select("node", F.col("pivot").alias("other"))
+        others = placed.where(~few & (F.col("node") != F.col("pivot")))
+        by_pivot = others.select("node", F.col("pivot").alias("other"))
         outside = placed.where(few & (F.col("comp") != F.col("main"))).select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
         inside = placed.where(few).select("key", "node", "comp", "main")
         # a pair of two outside members comes from its smaller one only
@@ -196,13 +205,13 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
         pairs = by_pivot.unionByName(by_rest).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         confirmed = stored(_confirm(pairs, sketch, sets, limit, percent), "confirmed")
         links = confirmed if links is None else links.unionByName(confirmed)
-        # buckets that were compared in full are done; in the others components may have grown together
-        left = stored(placed.where(~few).select("key", "node"), "open")
+        # buckets that were compared in full are done, and so are the pivots; in the rest components may have grown together
+        left = others.select("key", "node", "degree")
         if left.limit(1).count() == 0:
             return links
         comps = components(links)
-        open_ = stored(left.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")), "open")
-        rest, turn = rest * 2, turn + 1
+        open_ = stored(left.join(comps, "node", "left").select("key", "node", "degree", F.coalesce("comp", "node").alias("comp")), "open")
+        rest, first = rest * 2, False
 
 
 def _confirm(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, limit: int, percent: int) -> DataFrame:
