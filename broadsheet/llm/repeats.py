@@ -110,7 +110,8 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS) -> DataFrame:
-    """One row per text with repeats: key, doc_id, spans (array of start, end, merged and in order), n_units, n_removed (code points), first_doc_ids."""
+    """One row per text with repeats: key, doc_id, spans (array of start, end, in order, merged also over a
+    single white space), n_units, n_removed (code points), first_doc_ids."""
     removed = repeated_units(docs, id_col, text_col, least)
     by_text = removed.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.collect_set(F.struct("start", "end")).alias("units"), F.count_distinct("start", "end").alias("n_units"),
                                          F.collect_set("first_doc_id").alias("first_doc_ids"))  # bounded by the length of the text
@@ -119,7 +120,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def merge(acc, u):
         last = F.element_at(acc, -1)
         joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], u["end"]).alias("end"))))
-        return F.when((F.size(acc) > 0) & (u["start"] <= F.get(acc, F.size(acc) - 1)["end"]), joined).otherwise(F.concat(acc, F.array(u)))
+        return F.when((F.size(acc) > 0) & (u["start"] <= F.get(acc, F.size(acc) - 1)["end"] + 1), joined).otherwise(F.concat(acc, F.array(u)))
 
     return by_text.select("key", "doc_id", F.aggregate(F.array_sort("units"), nothing, merge).alias("spans"), "n_units", F.array_sort("first_doc_ids").alias("first_doc_ids")).select(
         "key", "doc_id", "spans", "n_units", F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"]).cast("long").alias("n_removed"), "first_doc_ids")
