@@ -152,9 +152,11 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 def labelled_sample(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = SAMPLE_PAGES) -> list[str]:
     """At most `most` pages that label themselves, for `fit`; the bound is the same at every size."""
-    rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    chosen = rows.select(F.xxhash64("id", F.substring("html", 1, 64)).alias("h"), "html").orderBy("h", "html").limit(most)
-    return [r["html"] for r in chosen.select("html").collect()]
+    html = F.col(html_col).cast("string")
+    rows = pages.select(F.xxhash64(F.col(id_col).cast("string"), F.substring(html, 1, 64)).alias("h"), html.alias("html")).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    # only hashes are ranked; pages travel once they are chosen
+    chosen = rows.select("h").distinct().orderBy("h").limit(most)
+    return sorted(r["html"] for r in rows.join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"]).collect())
 
 
 def extract(pages: DataFrame, weights: dict[str, float] | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

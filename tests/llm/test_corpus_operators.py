@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from broadsheet.llm import catalog, exact, html, minhash, packing, pieces, pii, quality, repeats, tokenfile, warc
-from broadsheet.llm.common import shared_path
+from broadsheet.llm.common import shared_path, stored
 from broadsheet.llm.tokens import Encoder, default_vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -423,14 +423,10 @@ def test_pipeline_stages(spark):
 
 
 def test_pipeline_odd_rows(spark):
-    docs = odd_docs(spark)
-    for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, SF).cache()
-        docs.count()
-    empty = no_docs(spark)
-    for _, stage in corpus_pipeline.STAGES:
-        empty = stage(spark, empty, SF)
-    assert empty.count() == 0
+    docs, empty = odd_docs(spark), no_docs(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        docs, empty = stored(stage(spark, docs, SF), name), stored(stage(spark, empty, SF), name)
+    assert docs.count() and empty.count() == 0
 
 
 def test_native_operators_run_no_python(spark):
