@@ -319,14 +319,13 @@ CONV = "(SELECT * FROM conversations)"
 CSENT = f"SELECT conv_id, turn, CASE WHEN compound >= 0.05 THEN 'positive' WHEN compound <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment FROM ({compound_sql(CONV, keep='conv_id, turn')})"
 
 
-@query("L20_sentiment_consistency", f"""WITH s AS ({CSENT}), o AS (SELECT conv_id, sentiment AS original FROM s WHERE turn = 0), v AS (SELECT conv_id, max(sentiment) FILTER (turn = 1) AS t1, max(sentiment) FILTER (turn = 2) AS t2 FROM s GROUP BY 1)
-SELECT conv_id, original, t1, t2, round(CASE WHEN (t1 IS NOT NULL)::INT + (t2 IS NOT NULL)::INT = 0 THEN 0 ELSE (coalesce((t1 = original)::INT, 0) + coalesce((t2 = original)::INT, 0))::DOUBLE / ((t1 IS NOT NULL)::INT + (t2 IS NOT NULL)::INT) END, 6) AS consistency
-FROM o JOIN v USING (conv_id) WHERE t1 IS NOT NULL OR t2 IS NOT NULL""")
+@query("L20_sentiment_consistency", f"""WITH s AS ({CSENT}), o AS (SELECT conv_id, sentiment AS original FROM s WHERE turn = 0)
+SELECT conv_id, original, count(sentiment) AS versions, count(*) FILTER (sentiment = original) AS agreeing, round(count(*) FILTER (sentiment = original)::DOUBLE / count(sentiment), 6) AS consistency
+FROM s JOIN o USING (conv_id) WHERE turn > 0 GROUP BY 1, 2""")
 def l20(spark, sf):
     c = lexicon_sentiment(table(spark, sf, "conversations").withColumn("tokens", tx.word_tokens("text")), "tokens", TEST_LEXICON, TEST_NEGATIONS)
     c = c.select("conv_id", "turn", label_compound(F.col("compound")).alias("sentiment"))
-    versions = c.where("turn IN (1, 2)").withColumn("version", F.concat(F.lit("t"), F.col("turn")))
-    return rounded(lg.sentiment_consistency(c.where("turn = 0"), versions, "conv_id", "version", ["t1", "t2"]))
+    return rounded(lg.sentiment_consistency(c.where("turn = 0"), c.where("turn > 0"), "conv_id"))
 
 
 @query("L21_language_name", "SELECT doc_id, CASE lang WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German' WHEN 'es' THEN 'Spanish' ELSE upper(lang) END AS name FROM documents")

@@ -387,17 +387,18 @@ def u06(spark, sf):
     return r.union_distinct(d.where(F.contains(F.lower("text"), F.lit("the"))), d.where("lang = 'fr'"), "doc_id").select("doc_id", "lang")
 
 
-@query("M01_hash_sample")
+@query("M01_hash_sample", "SELECT doc_id, lang FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 100")
 def m01(spark, sf):
     return r.hash_sample(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", 100)
 
 
-@query("M02_stratified_split")
+@query("M02_stratified_split", """SELECT doc_id, lang, CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) - 1 < round(count(*) OVER (PARTITION BY lang) * 0.8) THEN 'train' ELSE 'validation' END AS split FROM documents""")
 def m02(spark, sf):
     return r.stratified_split(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id")
 
 
-@query("M03_sample_unseen")
+@query("M03_sample_unseen", """WITH f AS (SELECT doc_id, substring(text, 1, 50) IN (SELECT substring(text, 1, 50) FROM documents JOIN labels USING (doc_id)) AS seen FROM documents),
+n AS (SELECT count(*) FILTER (NOT seen) AS n_left FROM f) SELECT doc_id FROM f, n WHERE NOT seen OR n_left < 20 ORDER BY md5('42:' || doc_id), doc_id LIMIT 20""")
 def m03(spark, sf):
     d = articles(spark, sf)
     return r.sample_unseen(d, d.join(table(spark, sf, "labels"), "doc_id", "left_semi"), "text", "doc_id", 20).select("doc_id")

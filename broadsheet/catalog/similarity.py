@@ -41,7 +41,7 @@ def x11(spark, sf):
 @query("X12_lsa_embeddings")
 def x12(spark, sf):
     from broadsheet.operators.topics import lsa_embeddings
-    return lsa_embeddings(ft.tfidf_long(token_table(spark, sf), "doc_id", "tokens", lo=1, hi=1, max_features=1000), "doc_id", 8)
+    return lsa_embeddings(ft.tfidf_long(token_table(spark, sf), "doc_id", "tokens", lo=1, hi=1, max_features=1000), "doc_id", 8, documents=token_table(spark, sf))
 
 
 UNIT = "(SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS u FROM embeddings)"

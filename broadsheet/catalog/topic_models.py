@@ -39,7 +39,7 @@ def h01b(spark, sf):
 
 @query("H02_nmf_distributions")
 def h02(spark, sf):
-    return h.fit_nmf(tfidf_long(tokens(spark, sf), "doc_id", "tokens", lo=1, hi=1, max_features=500), "doc_id", K, 8)[0]
+    return h.fit_nmf(tfidf_long(tokens(spark, sf), "doc_id", "tokens", lo=1, hi=1, max_features=500), "doc_id", K, 8, documents=tokens(spark, sf))[0]
 
 
 @query("H03_topic_words")

@@ -55,17 +55,21 @@ def intent_coverage(df: DataFrame, min_conf: float = 0.5) -> dict[str, DataFrame
     return {"summary": summary, "distribution": df.groupBy("intent").agg(F.count(F.lit(1)).alias("n")), "low_confidence": df.where(F.col("intent_confidence") < min_conf)}
 
 
+KEY_CHARS = 6
+
+
 def suggest_intents(df: DataFrame, id_col: str, prefix_col: str, examples: DataFrame, k: int = 5) -> DataFrame:
     """Examples (intent, example) that start with the text, best covered first.
 
-    The join is on the length-limited prefix itself: every example offers its prefixes of the lengths asked for.
+    The join is on the first KEY_CHARS characters, or on the whole text where it is shorter; what they bring together is
+    compared in full, so texts of any length find their examples.
     """
     asked = df.select(id_col, F.lower(tx.strip(prefix_col)).alias("prefix")).where(F.length("prefix") > 0)
-    lengths = asked.select(F.length("prefix").alias("n")).distinct()
-    offered = examples.select("intent", F.lower("example").alias("example")).distinct()
-    offered = offered.withColumn("n", F.explode(F.sequence(F.lit(1), F.length("example")))).join(F.broadcast(lengths.where("n < 1000")), "n")
-    offered = offered.withColumn("prefix", F.substring(F.col("example"), F.lit(1), F.col("n")))
-    hits = asked.join(offered, "prefix").withColumn("score", F.col("n") / F.length("example"))
+    asked = asked.withColumn("key", F.substring("prefix", 1, KEY_CHARS))
+    offered = examples.select("intent", F.lower("example").alias("example")).distinct().where(F.length("example") > 0)
+    sizes = F.sequence(F.lit(1), F.least(F.lit(KEY_CHARS), F.length("example")))
+    offered = offered.withColumn("key", F.explode(F.transform(sizes, lambda n: F.substring(F.col("example"), F.lit(1), n))))
+    hits = asked.join(offered, "key").where(F.col("example").startswith(F.col("prefix"))).withColumn("score", F.length("prefix") / F.length("example"))
     return top_k_per_group(hits, [id_col], "score", k, "example").select(id_col, "intent", "example", "score", "rank")
 
 

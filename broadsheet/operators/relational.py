@@ -409,7 +409,12 @@ def union_distinct(a: DataFrame, b: DataFrame, id_col: str) -> DataFrame:
 
 
 def hash_order(id_col: str, seed: int) -> list[Column]:
-    return [F.xxhash64(F.lit(seed), F.col(id_col)), F.col(id_col)]
+    return [seeded_hash(id_col, seed), F.col(id_col)]
+
+
+def seeded_hash(id_col: str, seed: int) -> Column:
+    """MD5 of seed and id: an order that any SQL engine can repeat."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
 
 
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
@@ -419,7 +424,7 @@ def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame
 
 def stratified_split(df: DataFrame, label: str, id_col: str, frac: float = 0.8, seed: int = 42) -> DataFrame:
     """Add `split` = train or validation with the exact share in every label."""
-    placed = with_position(df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(id_col))), ["_h", id_col], [label])
+    placed = with_position(df.withColumn("_h", seeded_hash(id_col, seed)), ["_h", id_col], [label])
     sizes = df.groupBy(label).agg(count_all().alias("_n"))
     joined = attach(placed, sizes, [label], [id_col])
     return joined.withColumn("split", F.when(F.col("position") < F.round(F.col("_n") * frac), "train")

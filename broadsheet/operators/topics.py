@@ -56,13 +56,20 @@ def fit_lda(df: DataFrame, tokens_col: str, k: int = 10, iterations: int = 20, s
 
 # ---- factorisations of long TF-IDF tables --------------------------------------------------------------------
 
-def document_rows(weights: DataFrame, id_col: str) -> tuple[DataFrame, list[str]]:
-    """One row per document (id, term numbers, weights) and the bounded vocabulary."""
+def document_rows(weights: DataFrame, id_col: str, documents: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """One row per document (id, term numbers, weights) and the bounded vocabulary.
+
+    With `documents` also those without a term of the vocabulary have a row, an empty one.
+    """
     weights = materialize(weights.select(id_col, "term", "tfidf"))
     vocabulary = sorted(r[0] for r in bounded_rows(weights.select("term").distinct(), MAX_FEATURES, "vocabulary"))
     terms = weights.sparkSession.createDataFrame(list(enumerate(vocabulary)), "i int, term string")
     packed = weights.join(F.broadcast(terms), "term").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("i", F.col("tfidf").alias("v")))).alias("_p"))
     rows = packed.select(F.col(id_col).cast("bigint").alias("id"), F.transform("_p", lambda x: x["i"]).alias("i"), F.transform("_p", lambda x: x["v"]).alias("v"))
+    if documents is not None:
+        nothing = F.array()
+        rows = documents.select(F.col(id_col).cast("bigint").alias("id")).distinct().join(rows, "id", "left").select(
+            "id", F.coalesce("i", nothing.cast("array<int>")).alias("i"), F.coalesce("v", nothing.cast("array<double>")).alias("v"))
     return rows, vocabulary
 
 
@@ -91,9 +98,12 @@ def _dense(b: pd.DataFrame, n_terms: int) -> np.ndarray:
     return a
 
 
-def lsa_embeddings(weights: DataFrame, id_col: str, k: int, rounds: int = 6, seed: int = 42) -> DataFrame:
-    """Truncated SVD of the document-term table by subspace iteration. Only the terms x k basis reaches the driver."""
-    rows, vocabulary = document_rows(weights, id_col)
+def lsa_embeddings(weights: DataFrame, id_col: str, k: int, rounds: int = 6, seed: int = 42, documents: DataFrame | None = None) -> DataFrame:
+    """Truncated SVD of the document-term table by subspace iteration. Only the terms x k basis reaches the driver.
+
+    Rows of `documents` without any term get the zero vector.
+    """
+    rows, vocabulary = document_rows(weights, id_col, documents)
     rows = materialize(rows)
     n = len(vocabulary)
     basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(n, k)))[0]
@@ -121,13 +131,16 @@ def _loads(a: np.ndarray, h: np.ndarray, steps: int = 30) -> np.ndarray:
     return w
 
 
-def fit_nmf(weights: DataFrame, id_col: str, k: int = 10, rounds: int = 15, seed: int = 42, words: int = 15) -> tuple[DataFrame, DataFrame]:
+def fit_nmf(weights: DataFrame, id_col: str, k: int = 10, rounds: int = 15, seed: int = 42, words: int = 15,
+            documents: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Non-negative factors: (id, topics) with shares summing to 1, and (topic, rank, term, weight).
 
+    Rows of `documents` without any term get even shares.
+
     Loads are recomputed in every task from the current topics, so the documents-by-topics matrix never
     exists in one place; a round returns the k x (k + terms) sums.
     """
-    rows, vocabulary = document_rows(weights, id_col)
+    rows, vocabulary = document_rows(weights, id_col, documents)
     rows = materialize(rows)
     n = len(vocabulary)
     h = np.abs(np.random.default_rng(seed).normal(scale=0.1, size=(k, n))) + 1e-3

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +24,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master).config("spark.driver.memory", "12g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, wherever they start; Spark distributes the archive. Once per session."""
+    name = "broadsheet-package.zip"
+    if any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        return
+    root, at = Path(__file__).resolve().parent, Path(tempfile.mkdtemp(prefix="broadsheet-ship-")) / name
+    with zipfile.ZipFile(at, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(at))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,7 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="broadsheet-"))
     return sc.getCheckpointDir()
