@@ -257,11 +257,11 @@ def l15(spark, sf):
     return rounded(lg.language_dominance(table(spark, sf, "documents"), "lang", "text"))
 
 
-@query("L16_cross_lingual_insights", PAIRS + """SELECT count(*) AS pairs, concat_ws('; ', CASE WHEN avg(count_ratio) > 2 THEN 'Significant imbalance in article coverage across languages' END,
-  CASE WHEN avg(length_ratio) > 1.5 THEN 'Articles in some languages are significantly longer than others' END,
-  CASE WHEN avg(topic_overlap) < 0.5 THEN 'Low topic overlap between languages suggests different editorial priorities' END) AS findings,
-  concat_ws('; ', CASE WHEN avg(count_ratio) > 2 THEN 'Consider increasing coverage in underrepresented languages' END,
-  CASE WHEN avg(topic_overlap) < 0.5 THEN 'Investigate editorial differences and consider standardizing key topic coverage' END) AS recommendations FROM pairs""")
+@query("L16_cross_lingual_insights", PAIRS + """SELECT count(*) AS pairs, concat_ws('; ', CASE WHEN avg(count_ratio) > 2 THEN 'coverage differs by more than two to one between languages' END,
+  CASE WHEN avg(length_ratio) > 1.5 THEN 'texts of one language are more than half as long again as those of another' END,
+  CASE WHEN avg(topic_overlap) < 0.5 THEN 'less than half of the topics are shared between languages' END) AS findings,
+  concat_ws('; ', CASE WHEN avg(count_ratio) > 2 THEN 'publish more in the languages with few texts' END,
+  CASE WHEN avg(topic_overlap) < 0.5 THEN 'compare which topics each language leaves out' END) AS recommendations FROM pairs""")
 def l16(spark, sf):
     return lg.cross_lingual_insights(pairs(spark, sf)).select("pairs", *[F.array_join(c, "; ").alias(c) for c in ("findings", "recommendations")])
 
