@@ -179,51 +179,75 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
     wanted = buckets.select("node").distinct().join(classes.select("node", "low", F.col("digest").alias("want")), "node")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = stored(shingle_sets(wanted.join(texts, F.col("id").eqNullSafe(F.col("low"))), size).dropDuplicates(["node"]), "sets")
-    limit = most_odd_bits(percent / 100, 5.0)
+    limit, far_limit = most_odd_bits(percent / 100, 5.0), most_odd_bits(max(0.0, 2 * percent / 100 - 1), 5.0)
     # a text that others were copied from shares more bands with more of them than the copies do with each other
     degree = stored(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
-    open_ = stored(buckets.join(degree, "node").select("key", "node", "degree", F.col("node").alias("comp")), "open")
+    open_ = stored(buckets.join(degree, "node").select("key", "node", "degree", F.lit(0).alias("level"), F.col("node").alias("comp")), "open")
     links, rest, first = None, FIRST_REST, True
     while True:
         # the largest component of a bucket, how many members are outside it, and the pivot: the member with most company
-        pivot = F.max(F.struct("degree", "node")).alias("pivot")
+        pivot = F.max(F.struct("degree", "node", "comp")).alias("pivot")
         if first:  # all components are single members
-            whole = open_.groupBy("key").agg(F.count(F.lit(1)).alias("all"), pivot).select(
-                "key", F.col("pivot.node").alias("main"), (F.col("all") - 1).alias("outside"), F.col("pivot.node").alias("pivot"))
+            whole = open_.groupBy("key").agg(F.count(F.lit(1)).alias("all"), pivot).select("key", F.col("pivot.node").alias("main"), (F.col("all") - 1).alias("outside"), "pivot")
         else:
             sizes = open_.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), pivot)
             whole = sizes.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("main"), F.max("pivot").alias("pivot")).select(
-                "key", F.col("main.comp").alias("main"), (F.col("all") - F.col("main.c")).alias("outside"), F.col("pivot.node").alias("pivot"))
-        placed = stored(open_.join(stored(whole.where("outside > 0"), "whole"), "key"), "placed")
+                "key", F.col("main.comp").alias("main"), (F.col("all") - F.col("main.c")).alias("outside"), "pivot")
+        whole = stored(whole.where("outside > 0").select("key", "main", "outside", F.col("pivot.node").alias("pivot"), F.col("pivot.comp").alias("pivot_comp")), "whole")
+        placed = stored(open_.join(whole, "key"), "placed")
         few = F.col("outside") <= rest
         others = placed.where(~few & (F.col("node") != F.col("pivot")))
-        by_pivot = others.select("node", F.col("pivot").alias("other"))
+        # what is in the component of the pivot already needs no comparison with it
+        star = stored(_scored(others.where(F.col("comp") != F.col("pivot_comp")).select("key", "node", "degree", "level", F.col("pivot").alias("other")), sketch, percent), "star")
         outside = placed.where(few & (F.col("comp") != F.col("main"))).select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
         inside = placed.where(few).select("key", "node", "comp", "main")
         # a pair of two outside members comes from its smaller one only
-        by_rest = inside.join(outside, "key").where((F.col("comp") != F.col("other_comp")) & ((F.col("comp") == F.col("main")) | (F.col("node") < F.col("other")))).select("node", "other")
-        pairs = by_pivot.unionByName(by_rest).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        confirmed = stored(_confirm(pairs, sketch, sets, limit, percent), "confirmed")
+        by_rest = inside.join(outside, "key").where((F.col("comp") != F.col("other_comp")) & ((F.col("comp") == F.col("main")) | (F.col("node") < F.col("other"))))
+        likely = _pairs(star.where(F.col("odd") <= limit)).unionByName(_pairs(_scored(_pairs(by_rest).select(F.col("a").alias("node"), F.col("b").alias("other")), sketch, percent).where(F.col("odd") <= limit)))
+        confirmed = stored(_confirm(likely.distinct(), sketch, sets, percent), "confirmed")
         links = confirmed if links is None else links.unionByName(confirmed)
-        # buckets that were compared in full are done, and so are the pivots; in the rest components may have grown together
-        left = others.select("key", "node", "degree")
+        # Jaccard distance is a metric: what is twice the distance of a link away from the pivot links to nothing that the pivot
+        # links to. It leaves the bucket and goes on, with all that the pivot did not link to, in buckets of two shared bands.
+        far = star.where((F.col("level") == 0) & (F.col("odd") > far_limit))
+        stay = others.join(far.select("key", "node"), ["key", "node"], "left_anti").select("key", "node", "degree", "level")
+        unlinked = star.where("level = 0").join(stored(far.select("key").distinct(), "far"), "key", "left_semi").select("key", "node", "degree", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        moved = unlinked.join(confirmed, ["a", "b"], "left_anti").join(classes.select("node", "bands"), "node").select("key", "node", "degree", F.explode("bands").alias("band")).where("band <> key").select(
+            F.xxhash64("key", "band").alias("key"), "node", "degree", F.lit(1).alias("level"))
+        moved = stored(moved, "moved")
+        again = stored(moved.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared")
+        left = stored(stay.unionByName(moved.join(again, "key", "left_semi")), "left")
         if left.limit(1).count() == 0:
             return links
         comps = components(links)
-        open_ = stored(left.join(comps, "node", "left").select("key", "node", "degree", F.coalesce("comp", "node").alias("comp")), "open")
+        open_ = stored(left.join(comps, "node", "left").select("key", "node", "degree", "level", F.coalesce("comp", "node").alias("comp")), "open")
         rest, first = rest * 2, False
 
 
-def _confirm(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, limit: int, percent: int) -> DataFrame:
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _scored(rows: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """rows (node, other, ...) with odd: the population count of the XOR of the sketches, the largest where set sizes alone rule the link out."""
+    def side(name: str, column: str) -> DataFrame:
+        return sketch.select(F.col("node").alias(name), F.col("n").alias(f"n_{column}"), F.col("odd").alias(f"odd_{column}"))
+
+    kept = rows.columns
+    joined = rows.join(side("node", "a"), "node").join(side("other", "b"), "other")
+    bits = sum((F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(1, SKETCH_WORDS)), F.bit_count(F.col("odd_a")[0].bitwiseXOR(F.col("odd_b")[0])))
+    ruled_out = 100 * F.least("n_a", "n_b") < (2 * percent - 100) * F.greatest("n_a", "n_b")
+    return joined.select(*kept, F.when(ruled_out, F.lit(64 * SKETCH_WORDS)).otherwise(bits).alias("odd"))
+
+
+def _confirm(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets are similar enough."""
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select(*[F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in df.columns])
 
-    likely = pairs.join(side(sketch, "a"), "a").join(side(sketch, "b"), "b").where(
-        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & (sum((F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(1, SKETCH_WORDS)), F.bit_count(F.col("odd_a")[0].bitwiseXOR(F.col("odd_b")[0]))) <= limit)
-    ).select("a", "b", "n_a", "n_b")
+    n = sketch.select("node", "n")
+    possible = pairs.join(side(n, "a"), "a").join(side(n, "b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     met = F.size(F.array_intersect("items_a", "items_b"))
-    return likely.join(side(sets, "a"), "a").join(side(sets, "b"), "b").where(100 * met >= percent * (F.col("n_a") + F.col("n_b") - met)).select("a", "b")
+    return possible.join(side(sets, "a"), "a").join(side(sets, "b"), "b").where(100 * met >= percent * (F.col("n_a") + F.col("n_b") - met)).select("a", "b")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
