@@ -16,6 +16,9 @@ from broadsheet.llm.shingles import mix, seeds, shingle_hashes, word_hashes
 #: Bands and rows of the MinHash table: two sets of similarity 0.8 share no band with probability (1 - 0.8^4)^32 < 5e-8.
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
+#: Bands that may be the second one of a bucket of two bands, those that follow the first: sets of similarity 0.8 share about 13
+#: bands, and have a second band in common after each of them with probability 1 - (1 - 0.8^4)^6 = 0.96.
+SECOND_BANDS = 6
 #: Bits of the odd sketch, in words of 64.
 SKETCH_WORDS = 8
 #: Members outside the largest component of a bucket that are compared with all of it at once; doubled from round to round.
@@ -211,7 +214,9 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
         far = star.where((F.col("level") == 0) & (F.col("odd") > far_limit))
         stay = others.join(far.select("key", "node"), ["key", "node"], "left_anti").select("key", "node", "degree", "level")
         unlinked = star.where("level = 0").join(stored(far.select("key").distinct(), "far"), "key", "left_semi").select("key", "node", "degree", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        moved = unlinked.join(confirmed, ["a", "b"], "left_anti").join(classes.select("node", "bands"), "node").select("key", "node", "degree", F.explode("bands").alias("band")).where("band <> key").select(
+        following = F.transform(F.sequence(F.lit(0), F.lit(SECOND_BANDS - 1)), lambda d: F.get("bands", (F.array_position("bands", F.col("key")) + d) % BANDS))
+        moved = unlinked.join(confirmed, ["a", "b"], "left_anti").join(classes.select("node", "bands"), "node").select(
+            "key", "node", "degree", F.explode(following).alias("band")).where("band <> key").select(
             F.xxhash64("key", "band").alias("key"), "node", "degree", F.lit(1).alias("level"))
         moved = stored(moved, "moved")
         again = stored(moved.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared")
