@@ -188,7 +188,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", roun
     spans = seen.select("key", "base").dropDuplicates(["key"]).join(added, "key", "left").select(
         "key", F.concat("base", F.coalesce("added", F.array().cast(_SPANS))).alias("spans")).where(F.size("spans") > 0)
     ordered = F.array_sort(F.transform("spans", lambda m: F.struct(m["start"].alias("start"), (-m["end"]).alias("minus_end"), m["kind"].alias("kind"))))
-    joined = rows.join(spans, "key", "left").withColumn("spans", ordered)
+    # one copy of the text travels
+    joined = rows.drop("text").join(spans, "key", "left").withColumns({"spans": ordered, "text": text_of(names[text_col])})
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, m: Column) -> Column:
