@@ -403,19 +403,19 @@ def test_repeats_find_passages_in_mid_line_and_odd_rows(spark):
 
 def test_pipeline_stages(spark):
     docs = documents(spark)
-    good = corpus_pipeline.keep_good(spark, docs, SF)
+    good = stored(corpus_pipeline.keep_good(spark, docs, SF), "stage")
     verdict = {r.doc_id for r in quality.judge(docs).where("kept").collect()}
     assert good.columns == docs.columns and {r.doc_id for r in good.collect()} == verdict
-    unique = corpus_pipeline.drop_copies(spark, good, SF)
+    unique = stored(corpus_pipeline.drop_copies(spark, good, SF), "stage")
     best = {}
     for r in good.collect():
         k = re.sub(r"[ \t-\r]", "", r.text)
         best[k] = min(best.get(k, (0, 10**9)), (-len(r.text), r.doc_id))
     assert unique.columns == docs.columns and {r.doc_id for r in unique.collect()} == {i for _, i in best.values()}
-    near = corpus_pipeline.drop_near_copies(spark, unique, SF)
+    near = stored(corpus_pipeline.drop_near_copies(spark, unique, SF), "stage")
     brute = near_brute([(r.doc_id, r.text) for r in unique.collect()], 5, 80)
     assert near.columns == docs.columns and {r.doc_id for r in near.collect()} == {d for d, (_, c) in brute.items() if c == d}
-    clean = corpus_pipeline.redact(spark, near, SF)
+    clean = stored(corpus_pipeline.redact(spark, near, SF), "stage")
     assert clean.columns == docs.columns and clean.count() == near.count() and not any(pii_brute(r.text) for r in clean.collect())
     packed = corpus_pipeline.pack(spark, clean, SF)
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in clean.collect()}
