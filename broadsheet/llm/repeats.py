@@ -1,4 +1,4 @@
-"""Substring deduplication: lines and sentences that occurred before are removed."""
+"""Substring deduplication: lines, sentences and passages that occurred before are removed."""
 
 from __future__ import annotations
 
@@ -10,20 +10,72 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from broadsheet.llm.common import spread, stored, text_of
 from broadsheet.llm.minhash import parts
-from broadsheet.llm.shingles import mix, seeds, words_in_place
+from broadsheet.llm.shingles import mix, run_hashes, seeds, words_in_place
 
 #: A unit holds at least so many words. Shorter lines are no units; a shorter sentence takes the next ones with it.
 MIN_WORDS = 8
 
+#: Units that need no line or sentence: runs of so many atoms, of which the one with the smallest hash among so many neighbours
+#: is taken. Passages of RUN + NEAR - 1 atoms that are equal have a unit in common, and their units leave no gap between them.
+RUN, NEAR = 12, 12
+
 _ENDS = np.frombuffer(b".!?", np.uint8)
 
 
+def atoms(h: np.ndarray, start: np.ndarray, stop: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and stop of the words, cut at each code point of a script that sets no spaces (Thai to Tibetan, Burmese, Khmer, Han, Kana)."""
+    second = np.append(data[1:], 0)
+    alone = ((data == 0xE0) & (second >= 0xB8)) | ((data == 0xE1) & ((second <= 0x82) | (second == 0x9E) | (second == 0x9F))) | ((data == 0xE2) & (second >= 0xBA)) \
+        | ((data >= 0xE3) & (data <= 0xE9)) | ((data == 0xEF) & (second >= 0xA4)) | ((data == 0xF0) & (second >= 0xA0))
+    single = np.flatnonzero(alone)
+    if not len(single):
+        return h, start, stop
+    behind = single + 3 + (data[single] == 0xF0)
+    a = np.unique(np.concatenate([start, single, behind]))
+    word = np.searchsorted(start, a, "right") - 1
+    inside = a < stop[word]
+    a, word = a[inside], word[inside]
+    b = np.minimum(stop[word], np.append(a[1:], len(data)))
+    out = h[word]
+    cut = np.flatnonzero((a != start[word]) | (b != stop[word]))
+    out[cut] = run_hashes(data, a[cut], b[cut])
+    return out, a, b
+
+
+def passages(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """First atoms of the runs of RUN atoms that are taken as units, by winnowing; at: the first atom of each text, and the end."""
+    runs = np.maximum(np.diff(at) - RUN + 1, 0)
+    n = len(h) - RUN - NEAR + 2
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    key = mix(_sums(h, np.arange(len(h) - RUN + 1), np.arange(RUN, len(h) + 1), 13))
+    best = np.arange(n)
+    for k in range(1, NEAR):
+        best = np.where(key[k:k + n] < key[best], np.arange(k, k + n), best)
+    whole = np.zeros(n, bool)  # all runs of the neighbourhood lie in one text
+    text = np.repeat(np.arange(len(runs)), np.diff(at))[:n]
+    whole[:] = np.arange(n) + NEAR <= at[:-1][text] + runs[text]
+    return np.unique(best[whole])
+
+
+def _sums(h: np.ndarray, a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
+    """64-bit hashes of the ranges [a, b) of hashes."""
+    with np.errstate(over="ignore"):
+        base = seeds(1, salt)[0]
+        up = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(h), base, np.uint64), dtype=np.uint64)])
+        inverse = np.uint64(pow(int(base), -1, 1 << 64))
+        down = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(h), inverse, np.uint64), dtype=np.uint64)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h + np.uint64(salt)) * up[:len(h)], dtype=np.uint64)])
+        return mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+
+
 def unit_ranges(texts: pa.Array, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Units of texts: index of the text, start and end in code points, words, and two 64-bit hashes of the normalised words.
 
     A line is a unit if it has `least` words. A sentence starts after a mark of its end, on a new line, or at a
     capital letter (a passage may be set in mid-sentence); from each start a unit runs to the first end of a sentence
-    that gives it `least` words, so equal passages have equal units wherever they stand.
+    that gives it `least` words, so equal passages have equal units wherever they stand. What has neither lines nor
+    sentences to go by, or lies around them, is cut by its content alone: `passages` of `atoms`.
     """
     h, at, start, stop, data, text_at = words_in_place(texts)
     none = np.zeros(0, np.int64)
@@ -55,18 +107,16 @@ def unit_ranges(texts: pa.Array, least: int) -> tuple[np.ndarray, np.ndarray, np
     long = line_end - line >= least
     pairs = np.unique(np.stack([np.concatenate([a, line[long]]), np.concatenate([b, line_end[long]])]), axis=1)
     a, b = pairs
-    with np.errstate(over="ignore"):
-        out = []
-        for salt in (11, 12):
-            base = seeds(1, salt)[0]
-            up = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(h), base, np.uint64), dtype=np.uint64)])
-            inverse = np.uint64(pow(int(base), -1, 1 << 64))
-            down = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(h), inverse, np.uint64), dtype=np.uint64)])
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h + np.uint64(salt)) * up[:len(h)], dtype=np.uint64)])
-            out.append(mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64)))
+    piece, piece_start, piece_stop = atoms(h, start, stop, data)
+    piece_at = np.searchsorted(piece_start, text_at, "left")
+    c = passages(piece, piece_at)
+    piece_text = np.searchsorted(piece_at, c, "right") - 1
+    out = [np.concatenate([_sums(h, a, b, salt), _sums(piece, c, c + RUN, salt)]) for salt in (11, 12)]
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    zero = points[text_at[:-1]][text[a]]
-    return text[a], points[start[a]] - zero, points[stop[b - 1]] - zero, b - a, out[0], out[1]
+    of, first_byte = np.concatenate([text[a], piece_text]), np.concatenate([start[a], piece_start[c]])
+    last_byte, words = np.concatenate([stop[b - 1], piece_stop[c + RUN - 1]]), np.concatenate([b - a, np.full(len(c), RUN)])
+    zero = points[text_at[:-1]][of]
+    return of, points[first_byte] - zero, points[last_byte] - zero, words, out[0], out[1]
 
 
 def units(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:

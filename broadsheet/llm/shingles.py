@@ -107,6 +107,18 @@ def _chunk(c: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
         return mix(h + (end - start).astype(np.uint64) * np.uint64(_BASE)), start, end
 
 
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of runs of bytes, none empty, the same that these bytes have as words."""
+    size = end - start
+    at = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(at, size)
+    c = data[np.repeat(start, size) + place]
+    lower = c + (((c >= 65) & (c <= 90)).astype(np.uint8) << 5)
+    with np.errstate(over="ignore"):
+        sums = np.add.reduceat(_BYTES[lower] * _Powers.upto(int(size.max(initial=0)) + 1)[0][place], at) if len(size) else np.zeros(0, np.uint64)
+        return mix(sums + size.astype(np.uint64) * np.uint64(_BASE))
+
+
 def shingle_hashes(words: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of `size` words of each text and their offsets; a text of fewer words has one, of all its words."""
     counts = np.diff(at)

@@ -399,6 +399,24 @@ def test_repeats_find_passages_in_mid_line_and_odd_rows(spark):
     assert repeats.repeated_spans(no_docs(spark)).count() == 0 and repeats.remove_repeats(odd_docs(spark)).count() == 12
 
 
+def test_repeats_find_passages_without_sentences_or_spaces(spark):
+    rnd = random.Random(6)
+    lower_case, han, greek = " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(60)), "".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(80)), " ".join("α" + chr(rnd.randint(0x3B1, 0x3C9)) * rnd.randint(1, 9) for _ in range(60))
+    rows = []
+    for i, passage in enumerate((lower_case, han, greek)):
+        rows += [(2 * i, f"one lead of its own {i} {passage} and x{i} tail"), (2 * i + 1, f"here stands another{i}lead{passage if passage == han else ' ' + passage} that ends otherwise y{i}")]
+    got = {r.doc_id: r for r in repeats.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {1, 3, 5}
+    for d, passage in ((1, lower_case), (3, han), (5, greek)):
+        text = dict(rows)[d]
+        (span,), at = got[d].spans, text.index(passage)
+        assert at <= span.start and span.end <= at + len(passage) and got[d].first_doc_ids == [d - 1]
+        inner = passage if passage == han else passage.split()
+        left, right = text[at:span.start], text[span.end:at + len(passage)]
+        lost = [len(x if passage == han else x.split()) for x in (left, right)]
+        assert max(lost) < repeats.NEAR and len(inner) == (80 if passage == han else 60)
+
+
 # pipeline ----------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark):
