@@ -23,7 +23,9 @@ HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]", "phone": r"\+[0
 
 #: Tokens that could be an identifier: they hold a digit or an at sign, and no more than so many characters.
 MAX_TOKEN = 64
-_TOKEN = rf"(?<![^ \t-\r])[^ \t-\r0-9@]{{0,{MAX_TOKEN}}}+[0-9@][^ \t-\r]*+"
+#: Neighbouring tokens of digits and marks, up to five short ones, are one candidate: a number may be written in groups.
+_GROUP = r"[+(]{0,2}+[0-9][0-9().+/-]{0,9}+"
+_TOKEN = rf"(?<![^ \t-\r])(?:{_GROUP}(?: {_GROUP}){{1,4}}+(?![^ \t-\r,;:!?])|[^ \t-\r0-9@]{{0,{MAX_TOKEN}}}+[0-9@][^ \t-\r]*+)"
 #: Words on the left that make a context, alone or together, looked for in so many code points before a token.
 CONTEXTS, LEFT_CHARS = (1, 2), 48
 #: A pattern needs so many different instances that are known, and this share of its instances known, to discover others.
@@ -83,9 +85,8 @@ def _with_matches(rows: DataFrame, patterns: dict[str, tuple[str, str]]) -> Data
 
 
 def shape(token: Column) -> Column:
-    """The outline of a token: runs of letters and of digits by class; marks at the ends are left out."""
-    bare = F.regexp_replace(token, r"\A[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+\z", "")
-    return F.regexp_replace(F.regexp_replace(bare, r"\p{L}+", "a"), r"\p{N}+", "9")
+    """The coarse class of a token: with an at sign or without. Its outline is left open, so that a context may discover other forms."""
+    return F.when(token.contains("@"), F.lit("@")).otherwise(F.lit("9"))
 
 
 def _contexts(left: Column) -> Column:
@@ -108,9 +109,9 @@ def _seen(docs: DataFrame) -> DataFrame:
 
     def entry(t: Column) -> Column:
         over = F.filter("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-        outline = shape(t["found"])
+        kind_of = shape(t["found"])
         return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["found"].alias("token"), F.get(over, F.lit(0))["kind"].alias("seed"),
-                        F.transform(_contexts(F.right(t["before"], F.lit(LEFT_CHARS))), lambda c: F.xxhash64(c, outline)).alias("patterns"))
+                        F.transform(_contexts(F.right(t["before"], F.lit(LEFT_CHARS))), lambda c: F.xxhash64(c, kind_of)).alias("patterns"))
 
     return rows.select(*kept, "base", F.transform(F.filter("tokens", lambda t: F.char_length(t["found"]) <= MAX_TOKEN), entry).alias("tokens"))
 
@@ -143,7 +144,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     """Base matches of each whole text and what bootstrapped contexts add to them: one row per row of `docs`.
 
     The base matches are the seeds. Every token that holds a digit or an at sign and lies outside them is a candidate; a
-    pattern is the words before a token together with the outline of the token. In each round Spark scores the graph of
+    pattern is the words before a token together with its coarse class (with an at sign or without). In each round Spark scores the graph of
     patterns and instances: confidence = known instances / all instances, each different token counted once; the
     unknown tokens of patterns with at least MIN_SUPPORT known instances of a kind and MIN_CONFIDENCE become known
     as that kind and score the next round. Base matches and candidates are written once, without the texts, and are

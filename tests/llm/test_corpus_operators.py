@@ -329,6 +329,15 @@ def test_quality_keeps_good_and_drops_junk(spark):
     share = {r.quality: r.kept for r in wrong}
     assert share[1] > 0.9 and share[0] < 0.05
     assert quality.judge(odd_docs(spark)).count() == 12 and quality.judge(no_docs(spark)).count() == 0
+def test_pii_contexts_discover_other_forms(spark):
+    rows = [(i, f"please write to contact mail user{i}@host{i}.org now or call our desk line +1 (555) 123-{4000 + i} today") for i in range(20)]
+    rows += [(50, "please write to contact mail user@localhost now"), (51, "he scored 7@home in the game"), (52, "call our desk line 555-0100 today"), (53, "call our desk line 555 0100 22 today"), (54, "of 300 in 1999 he had 12 34")]
+    got = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", pii.span_list(F.col("added")).alias("spans")).collect()
+    text = dict(rows)
+    assert {r.doc_id: [(k, text[r.doc_id][int(a):int(b)]) for k, a, b in (x.split(":") for x in r.spans.split(","))] for r in got if r.spans} == {
+        50: [("email", "user@localhost")], 52: [("phone", "555-0100")], 53: [("phone", "555 0100 22")]}
+
+
     assert quality.drop_bad(odd_docs(spark)).columns == odd_docs(spark).columns
 
 
