@@ -16,9 +16,6 @@ from broadsheet.llm.shingles import mix, seeds, shingle_hashes, word_hashes
 #: Bands and rows of the MinHash table: two sets of similarity 0.8 share no band with probability (1 - 0.8^4)^32 < 5e-8.
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
-#: Bands that may be the second one of a bucket of two bands, those that follow the first: sets of similarity 0.8 share about 13
-#: bands, and have a second band in common after each of them with probability 1 - (1 - 0.8^4)^6 = 0.96.
-SECOND_BANDS = 6
 #: Bits of the odd sketch, in words of 64.
 SKETCH_WORDS = 8
 #: Members outside the largest component of a bucket that are compared with all of it at once; doubled from round to round.
@@ -186,7 +183,7 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
     # a text that others were copied from shares more bands with more of them than the copies do with each other
     degree = stored(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
     open_ = stored(buckets.join(degree, "node").select("key", "node", "degree", F.lit(0).alias("level"), F.col("node").alias("comp")), "open")
-    links, rest, first = None, FIRST_REST, True
+    links, rest, first, turn = None, FIRST_REST, True, 0
     while True:
         # the largest component of a bucket, how many members are outside it, and the pivot: the member with most company
         pivot = F.max(F.struct("degree", "node", "comp")).alias("pivot")
@@ -210,14 +207,12 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
         confirmed = stored(_confirm(likely.distinct(), sketch, sets, percent), "confirmed")
         links = confirmed if links is None else links.unionByName(confirmed)
         # Jaccard distance is a metric: what is twice the distance of a link away from the pivot links to nothing that the pivot
-        # links to. It leaves the bucket and goes on, with all that the pivot did not link to, in buckets of two shared bands.
+        # links to. It leaves the bucket and goes on in a bucket with all that has no link of its own to the pivot, members of the
+        # pivot's component included; from there none leaves, so every two of them are compared or in one component.
         far = star.where((F.col("level") == 0) & (F.col("odd") > far_limit))
         stay = others.join(far.select("key", "node"), ["key", "node"], "left_anti").select("key", "node", "degree", "level")
-        unlinked = star.where("level = 0").join(stored(far.select("key").distinct(), "far"), "key", "left_semi").select("key", "node", "degree", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        following = F.transform(F.sequence(F.lit(0), F.lit(SECOND_BANDS - 1)), lambda d: F.get("bands", (F.array_position("bands", F.col("key")) + d) % BANDS))
-        moved = unlinked.join(confirmed, ["a", "b"], "left_anti").join(classes.select("node", "bands"), "node").select(
-            "key", "node", "degree", F.explode(following).alias("band")).where("band <> key").select(
-            F.xxhash64("key", "band").alias("key"), "node", "degree", F.lit(1).alias("level"))
+        unlinked = others.where("level = 0").join(stored(far.select("key").distinct(), "far"), "key", "left_semi").select("key", "node", "degree", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+        moved = unlinked.join(links.select("a", "b").distinct(), ["a", "b"], "left_anti").select(F.xxhash64("key", F.lit("far"), F.lit(turn)).alias("key"), "node", "degree", F.lit(1).alias("level"))
         moved = stored(moved, "moved")
         again = stored(moved.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared")
         left = stored(stay.unionByName(moved.join(again, "key", "left_semi")), "left")
@@ -225,7 +220,7 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
             return links
         comps = components(links)
         open_ = stored(left.join(comps, "node", "left").select("key", "node", "degree", "level", F.coalesce("comp", "node").alias("comp")), "open")
-        rest, first = rest * 2, False
+        rest, first, turn = rest * 2, False, turn + 1
 
 
 def _pairs(rows: DataFrame) -> DataFrame:

@@ -135,6 +135,16 @@ def test_near_groups_equal_brute_force(spark):
     assert got == near_brute(rows, 2, 80)
 
 
+def test_near_groups_of_a_chain_of_growing_copies(spark):
+    rnd = random.Random(11)
+    words, rows = [f"t{rnd.randint(0, 10**6)}" for _ in range(900)], []
+    for i in range(60):  # each is the beginning of the next, and similar to the next ones only
+        size = int(60 * 1.045 ** i)
+        rows.append(((i * 37) % 60, " ".join(words[:size])))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), size=1).collect()}
+    assert got == near_brute(rows, 1, 80)
+
+
 def test_near_groups_odd_rows(spark):
     got = minhash.near_groups(odd_docs(spark)).collect()
     assert len(got) == 12 and all(r.component_id == r.doc_id for r in got if r.n_shingles == 0)
