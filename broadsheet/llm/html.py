@@ -22,8 +22,9 @@ OUTSIDE = 4.0
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|canvas|select|textarea|title|head(?=[\s>]))\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}'){0,500}+)>"
-    r"|</?[a-z][^>]*(?:>|\Z)"  # unbalanced quotes, or cut off
+    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attributes>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=(?!\s*+[\"']))*+)>"
+    r"|<(?P<open_close>/?)(?P<open_name>[a-z][a-z0-9:-]*)(?P<open_attributes>[^>]*+)>"  # a quote that never ends
+    r"|</?[a-z][^>]*+\Z"  # cut off
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.I | re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -47,13 +48,13 @@ def tokens(page: str) -> list[tuple[str, object]]:
     for m in _TOKEN.finditer(page):
         if m["text"] is not None:
             out.append(("apart" if apart else "word", m["text"]))
-        elif m["name"]:
-            name = m["name"].lower()
+        elif m["name"] or m["open_name"]:
+            close, name, attributes = (m["close"], m["name"].lower(), m["attributes"]) if m["name"] else (m["open_close"], m["open_name"].lower(), m["open_attributes"])
             if name in _CONTAINERS or name == "body":
-                if not m["close"]:
+                if not close:
                     away = name in _APART or (name == "header" and not any(n in ("article", "main") for n, _ in open_))
                     if not away and name not in ("article", "main", "body"):
-                        away = any(_APART_WORDS.search(" ".join(x).lower()) for x in _NAMES.findall(m["attributes"]))
+                        away = any(_APART_WORDS.search(" ".join(x).lower()) for x in _NAMES.findall(attributes))
                     open_.append((name, away))
                     apart += away
                 elif any(n == name for n, _ in open_):
@@ -63,7 +64,7 @@ def tokens(page: str) -> list[tuple[str, object]]:
                         if n == name:
                             break
             if not apart:  # the inside of an element apart is one stretch, whatever its markup
-                out.append((m["close"] + name, None))
+                out.append((close + name, None))
     return out
 
 

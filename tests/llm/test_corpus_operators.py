@@ -375,6 +375,16 @@ def test_html_odd_pages(spark):
 
 # 10 ----------------------------------------------------------------------------------------------
 
+def test_html_attributes_of_any_length():
+    long = "x>" * 5000
+    page = (f"<body><nav><div data-props='{long}'>inner menu words one two</div><p>more of the menu three four</p></nav><div class=\"sidebar\" data-a=\"{long}\" {'a=1 ' * 900}>beside it five six</div>"
+            "<h1>Head line of it</h1><p title=it's>First words of the text stand here.</p><p>Second words of the text.</p></body>")
+    found = html.tokens(page)
+    assert [t.strip() for f, t in found if f == "apart"] == ["inner menu words one two", "more of the menu three four", "beside it five six"]
+    assert "".join(str(t) for f, t in found if f == "word") == "Head line of itFirst words of the text stand here.Second words of the text."
+    assert ("div", None) in html.tokens('<p>a</p><div class="never ends>text')
+
+
 def repeats_brute(docs, least):
     found = []
     for d, t in docs:
