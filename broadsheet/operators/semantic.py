@@ -19,7 +19,7 @@ from broadsheet.operators.features import tfidf_by_corpus
 from broadsheet.operators.lexicon import simple_sentiment
 from broadsheet.operators.relational import hash_sample, overlap_ratio, top_k_per_group, top_n
 from broadsheet.plans.blocks import grid, matrix, partial_top_k, unit
-from broadsheet.plans.sized import bounded_rows, with_scalars
+from broadsheet.plans.sized import bounded_rows, fits, with_scalars
 from broadsheet.session import materialize
 
 
@@ -65,7 +65,27 @@ def cross_similarity(a: DataFrame, b: DataFrame, id_col: str, vec_col: str, thre
 
 
 def similarity_features(df: DataFrame, reference: DataFrame, id_col: str, vec_col: str, max_reference: int = 20_000) -> DataFrame:
-    """Max, mean, std (population) and median cosine of each row to a reference set of bounded size."""
+    """Max, mean, std (population) and median cosine of each row to a reference set.
+
+    A reference set that was counted small travels to every task; a larger one is met in bounded block pairs, and the scores of
+    a row are put together by its number.
+    """
+    if not fits(reference, max_reference):
+        rows = materialize(_ids(df, id_col, vec_col).withColumn("row", F.monotonically_increasing_id()))
+
+        def cell(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"id": x["id"].to_numpy(), "scores": list(unit(matrix(x["vec"])) @ unit(matrix(y["vec"])).T)})
+
+        others = materialize(reference.select(F.monotonically_increasing_id().alias("id"), F.col(vec_col).alias("vec")))
+        scores = grid(rows.select(F.col("row").alias("id"), "vec"), others, cell, "id bigint, scores array<double>").groupBy(F.col("id").alias("row")).agg(
+            F.array_sort(F.flatten(F.collect_list("scores"))).alias("s"))
+        n = F.size("s")
+        mean = F.aggregate("s", F.lit(0.0), lambda a, x: a + x) / n
+        scores = scores.withColumn("mean_similarity", mean)
+        std = F.sqrt(F.aggregate("s", F.lit(0.0), lambda a, x: a + (x - F.col("mean_similarity")) * (x - F.col("mean_similarity"))) / n)
+        middle = (F.get("s", ((n - 1) / 2).cast("int")) + F.get("s", (n / 2).cast("int"))) / 2
+        return scores.select("row", F.array_max("s").alias("max_similarity"), "mean_similarity", std.alias("std_similarity"), middle.alias("median_similarity")).join(
+            rows.select("row", F.col("id").alias(id_col)), "row").select(id_col, "max_similarity", "mean_similarity", "std_similarity", "median_similarity")
     ref = unit(np.array([r[0] for r in bounded_rows(reference.select(vec_col), max_reference, "reference set")], dtype=np.float64))
     shared = df.sparkSession.sparkContext.broadcast(ref)
 

@@ -296,3 +296,17 @@ def test_feed_parsing_and_exports(spark, tmp_path):
     for fmt in ("csv", "json", "xml"):
         info = one(io.export_table(nested, str(tmp_path / fmt), fmt))
         assert info["records"] == 1 and info["columns"] == 2
+
+
+def test_similarity_features_with_a_reference_of_any_size(spark):
+    import numpy as np
+    from broadsheet.operators import semantic
+
+    v = np.random.default_rng(3).normal(size=(40, 5))
+    df = spark.createDataFrame([(i % 39, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    for n in (24, 25):
+        s = u @ u[:n].T
+        ref = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v[:n])], "vec_id bigint, embedding array<double>")
+        got = sorted(tuple(round(x, 9) for x in r) for r in semantic.similarity_features(df, ref, "vec_id", "embedding", max_reference=20).collect())
+        assert got == sorted((i % 39, *(round(float(x), 9) for x in (s[i].max(), s[i].mean(), s[i].std(), np.median(s[i])))) for i in range(40))
