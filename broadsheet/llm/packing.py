@@ -15,7 +15,7 @@ from broadsheet.llm.tokens import Encoder, default_vocabulary
 from broadsheet.plans.ordered import with_position
 
 CAPACITY = 2048
-#: Partial fillings looked at for one bin, and fillings tried in the whole search.
+#: Partial fillings looked at for one bin, and fillings tried in the whole search after the first solution.
 FILLING_NODES, SEARCH_NODES = 60, 3000
 
 
@@ -67,7 +67,14 @@ def fillings(counts: np.ndarray, gap: int, most: int = 3) -> list[tuple[int, tup
         if uses:
             stack.append((i, uses - 1, left, used))
         stack.append((i + 1, -1, left - uses * sizes[i], (*used, (sizes[i], uses)) if uses else used))
-    return found or [(gap, ())]
+    if found:
+        return found
+    left, greedy = gap, []  # the nodes did not suffice for any leaf, or nothing fits
+    for size, n in zip(sizes, have):
+        if uses := min(n, left // size):
+            greedy.append((size, uses))
+            left -= uses * size
+    return [(left, tuple(greedy))]
 
 
 def _dominated(counts: np.ndarray, used: tuple[tuple[int, int], ...], waste: int) -> bool:
@@ -115,7 +122,7 @@ def complete(counts: np.ndarray) -> list[tuple[int, tuple[tuple[int, int], ...]]
             left[top] -= 1
             options = fillings(left, cap - top)
             left[top] += 1
-            nodes += 1
+            nodes += best is not None
         frames.append((left, bins, waste, options[::-1], top))
         moved = False
         while frames:

@@ -246,6 +246,12 @@ def test_warc_round_trip_and_revisits(spark):
             (9, "z", "\r\n\r\nWARC/1.1\r\n\r\n" * 100_000), (1, "q", x)]
     pages = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, digest string")
     folder = shared_path(spark, "warc")
+def test_bin_completion_with_many_short_lengths():
+    counts = np.zeros(2049, np.int64)
+    counts[1:64] = 1
+    assert sum(t for t, _ in packing.complete(counts)) == 1
+
+
     warc.normalise(warc.write_archives(pages, folder), folder)
     got = warc.read_archives(spark, folder, payloads=True).collect()
     assert sorted((str(r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in got) == sorted(
