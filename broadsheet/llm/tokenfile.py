@@ -40,7 +40,8 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, id_col: str,
 
     ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
     chosen = ids.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(SAMPLE_DOCS).select(F.col("id").alias("chosen"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("chosen"), "left_semi")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("chosen"), "left_semi").select(
+        "text", F.xxhash64("id").alias("h"))
     width = id_width(vocabulary)
 
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,9 +50,10 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, id_col: str,
             for part in parts(batch):
                 flat, at = encoder.encode(part.column(0))
                 rows = [_bytes(flat[a:b], end_id, width)for a, b in zip(at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), part.column(1), pa.array([len(r) for r in rows], pa.int64())], names=["ids", "h", "size"])
 
-    samples = [bytes(r["ids"]) for r in texts.select("text").mapInArrow(serialize, "ids binary").limit(SAMPLE_DOCS).collect()]
+    sample = stored(texts.mapInArrow(serialize, "ids binary, h long, size long").withColumn("row", F.monotonically_increasing_id()), "token-sample")
+    samples = [bytes(r["ids"]) for r in within_bytes(sample, SAMPLE_DOCS, SAMPLE_BYTES).collect()]
     samples = sorted(s for s in samples if s)
     if sum(map(len, samples)) < 64 << 10:
         return b""
@@ -61,6 +63,13 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, id_col: str,
         return b""
 
 
+def within_bytes(sample: DataFrame, docs: int, size: int) -> DataFrame:
+    """Rows (h, row, size, ids) with the smallest hashes, at most `docs` of at most `size` bytes in total; one of more than an eighth of that is left out."""
+    small = sample.where(F.col("size") <= size // 8).select("h", "row", "size").orderBy("h", "row").limit(docs)
+    total = F.sum("size").over(Window.orderBy("h", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow))  # over at most `docs` numbers
+    return sample.join(F.broadcast(small.withColumn("total", total).where(F.col("total") <= size).select("row")), "row", "left_semi").select("ids")
+
+
 def _bytes(ids: np.ndarray, end_id: int, width: int) -> bytes:
     return np.append(ids, np.uint32(end_id)).astype(f"<u{width}").tobytes()
 

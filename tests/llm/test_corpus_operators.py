@@ -181,6 +181,14 @@ def test_token_files_round_trip(spark):
     assert tokenfile.write_and_read(no_docs(spark)).count() == 0
 
 
+def test_training_sample_is_bounded_in_bytes(spark):
+    rows = [(i, i, n, bytes(n)) for i, n in enumerate([900, 100, 100, 101, 100, 100])]
+    sample = spark.createDataFrame(rows, "h long, row long, size long, ids binary")
+    assert sorted(len(r.ids) for r in tokenfile.within_bytes(sample, 10, 808).collect()) == [100, 100, 100, 100, 101]
+    assert [len(r.ids) for r in tokenfile.within_bytes(sample, 2, 808).collect()] == [100, 100]
+    assert sum(len(r.ids) for r in tokenfile.within_bytes(sample.unionByName(sample.withColumn("row", F.col("row") + 9)), 20, 808).collect()) <= 808
+
+
 def test_packing_places_every_piece(spark):
     docs = documents(spark).select("doc_id", "text").unionByName(odd_docs(spark).select("doc_id", "text"))
     rows = packing.pack(docs, keep_ids=True).collect()
