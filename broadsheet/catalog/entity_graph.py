@@ -116,6 +116,12 @@ def a12(spark, sf):
     return r.entity_cooccurrence(mentions(spark, sf).where(F.length("text") >= 8), 3)
 
 
+@query("A12_entity_cooccurrence_whole")
+def a12_whole(spark, sf):
+    """All names and every pair of two documents or more; A12_entity_cooccurrence has the bounds of its SQL."""
+    return r.entity_cooccurrence(mentions(spark, sf))
+
+
 # ---- graph: suppliers and customers as relations of nations, parts as hubs
 
 def relations(spark, sf):

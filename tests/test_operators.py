@@ -310,3 +310,17 @@ def test_similarity_features_with_a_reference_of_any_size(spark):
         ref = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v[:n])], "vec_id bigint, embedding array<double>")
         got = sorted(tuple(round(x, 9) for x in r) for r in semantic.similarity_features(df, ref, "vec_id", "embedding", max_reference=20).collect())
         assert got == sorted((i % 39, *(round(float(x), 9) for x in (s[i].max(), s[i].mean(), s[i].std(), np.median(s[i])))) for i in range(40))
+
+
+def test_cooccurrence_of_all_names_equals_brute_force(spark):
+    from collections import Counter
+    from itertools import combinations
+    from broadsheet.catalog import entity_graph
+
+    sf = "/root/testdata/sf0.001"
+    names = {}
+    for row in entity_graph.mentions(spark, sf).select("doc_id", "text").collect():
+        names.setdefault(row.doc_id, set()).add(row.text)
+    want = Counter(pair for texts in names.values() for pair in combinations(sorted(texts), 2))
+    got = {(x.entity_1, x.entity_2): x.weight for x in entity_graph.a12_whole(spark, sf).collect()}
+    assert got == {pair: n for pair, n in want.items() if n >= 2} and any(len(a) < 8 for a, _ in got) and 2 in got.values()
