@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and the pipeline, with their SQL where SQL can say the same."""
+"""The queries op1 to op13 and the pipeline, with their SQL where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from broadsheet.llm import exact, html, minhash, packing, pieces, pii, quality, repeats, tokenfile, warc
+from broadsheet.llm import codes, decontaminate, exact, html, minhash, negatives, packing, pieces, pii, quality, repeats, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,6 +121,84 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_units", "n_removed", spans.alias("spans"), "first_doc_ids")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id AS id, list_sum([a.v[i] * r.v[i] FOR i IN range(1, len(a.v) + 1)])::BIGINT AS score
+  FROM e a JOIN e r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 80 * positive_score AND 100 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4).drop("codebooks")
+
+
+def _op12_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Rounds of nearest entries and floored means, one pair of common table expressions for each."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (
+  SELECT row, part, min_by(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (SELECT p.row, p.part, c.entry, list_sum([(p.x[i] - c.x[i]) * (p.x[i] - c.x[i]) FOR i IN range(1, len(p.x) + 1)])::BIGINT AS d FROM pieces p JOIN book{k} c ON c.part = p.part)
+  GROUP BY row, part)""")
+        if k < rounds:
+            steps.append(f"""
+mean{k} AS (
+  SELECT part, entry, list(m ORDER BY place) AS x
+  FROM (SELECT part, entry, place, floor_div(sum(v), count(*)) AS m
+        FROM (SELECT n.part, n.entry, unnest(p.x) AS v, unnest(range(len(p.x))) AS place FROM near{k} n JOIN pieces p ON p.row = n.row AND p.part = n.part) GROUP BY part, entry, place)
+  GROUP BY part, entry),
+book{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN mean{k} m ON m.part = b.part AND m.entry = b.entry)""")
+    rows = ",".join(steps).replace("floor_div(sum(v), count(*))", "(CASE WHEN sum(v) < 0 THEN -((-sum(v) + count(*) - 1) // count(*)) ELSE sum(v) // count(*) END)::BIGINT")
+    return f"""
+WITH e AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS row, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pieces AS MATERIALIZED (SELECT row, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS x FROM e, (SELECT unnest(range({parts})) AS part)),
+book0 AS MATERIALIZED (SELECT part, row - 1 AS entry, x FROM pieces WHERE row <= {entries}),{rows},
+coded AS (SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY row),
+hash AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM e JOIN coded USING (row), hash
+"""
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest([array_to_string(w[i:i + 9], ' ') FOR i IN range(1, greatest(len(w) - 9, 1) + 1)]) AS k FROM b WHERE len(w) > 0),
+pos AS (
+  SELECT row, n, unnest(range(1, len(w) - n + 2)) AS i, unnest([array_to_string(w[j:j + n - 1], ' ') FOR j IN range(1, len(w) - n + 2)]) AS k
+  FROM d JOIN (SELECT DISTINCT n FROM win) ON n <= len(w)),
+hit AS (SELECT row, i, n, item_id FROM pos JOIN win USING (n, k)),
+words AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT row, i, n FROM hit)) GROUP BY row),
+found AS (SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT row, item_id::VARCHAR AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (row) LEFT JOIN found USING (row)
+"""
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_sentencepiece_nbest, op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op6_warc, op7_contextual_pii, op8_quality_rules, op9_html_text, op10_repeated_passages)}
-SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL.strip(), "op6_warc": OP6_SQL.strip(), "op8_quality_rules": OP8_SQL.strip()}
+    f.__name__: f for f in (op1_sentencepiece_nbest, op2_exact_dedup, op3_minhash_near_dedup, op4_token_files, op5_best_fit_packing, op6_warc, op7_contextual_pii, op8_quality_rules, op9_html_text, op10_repeated_passages,
+                            op11_hard_negatives, op12_vector_codes, op13_decontaminate)}
+SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL.strip(), "op6_warc": OP6_SQL.strip(), "op8_quality_rules": OP8_SQL.strip(), "op11_hard_negatives": OP11_SQL.strip(), "op12_vector_codes": _op12_sql().strip(),
+                       "op13_decontaminate": OP13_SQL.strip()}

@@ -45,6 +45,9 @@ class _Powers:
 
 _BYTES = seeds(256, 77)
 
+#: Byte values between words: white space.
+WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of every text (A-Z lower-cased), and the index of its first word per text (n + 1 numbers)."""
@@ -52,11 +55,12 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, at
 
 
-def words_in_place(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_in_place(texts: pa.Array, gap: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """As `word_hashes`, with the first byte of each word and the byte after its last, the bytes, and where each text starts in them.
 
-    A word is a run of bytes other than space and \\x09-\\x0D; nulls have none. The texts are hashed in chunks that
-    end at white space, so the arrays stay small for texts of any length; only a single word is never cut.
+    A word is a run of bytes that `gap` (a flag per byte value) does not name, by default those other than space and \\x09-\\x0D; nulls
+    have none. The texts are hashed in chunks that end at a gap, so the arrays stay small for texts of any length; only a
+    single word is never cut.
     """
     texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
     texts = texts.fill_null("").cast(pa.large_binary())
@@ -70,12 +74,12 @@ def words_in_place(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         end = min(len(data), at + CHUNK)
         while end < len(data):  # to the next boundary of a word
             step = data[end:end + 4096]
-            cut = np.flatnonzero((step == 32) | ((step >= 9) & (step <= 13)) | first_of_text[end:end + len(step)])
+            cut = np.flatnonzero(gap[step] | first_of_text[end:end + len(step)])
             if len(cut):
                 end += int(cut[0])
                 break
             end = min(len(data), end + 4096)
-        h, s, e = _chunk(data[at:end], first_of_text[at:end])
+        h, s, e = _chunk(data[at:end], first_of_text[at:end], gap)
         hashes.append(h)
         starts.append(s + at)
         stops.append(e + at)
@@ -86,9 +90,9 @@ def words_in_place(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return hashes, np.searchsorted(starts, offsets, "left"), starts, stops, data, offsets
 
 
-def _chunk(c: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _chunk(c: np.ndarray, first: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     up, down = _Powers.upto(len(c) + 1)
-    solid = ~((c == 32) | ((c >= 9) & (c <= 13)))
+    solid = ~gap[c]
     before = np.empty_like(solid)
     before[0] = False
     before[1:] = solid[:-1]
