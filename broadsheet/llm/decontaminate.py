@@ -165,8 +165,9 @@ def confirmed(found: DataFrame, prefix: DataFrame) -> DataFrame:
     places = stored(prefix.select("hash", "offset", "size").distinct(), "places")
     words = F.split("context", " ")
     inside = (F.col("offset") <= F.col("ahead")) & (F.col("ahead") - F.col("offset") + F.col("size") <= F.size(words))
+    window = F.when(inside, F.array_join(F.slice(words, F.col("ahead") - F.col("offset") + 1, F.col("size")), " "))  # guarded: filters may be moved below it
     there = attach(found.where("at IS NOT NULL").select("row", "at", "hash", "ahead", "context"), places, ["hash"], ["row", "at"]).where(inside).select(
-        "row", (F.col("at") - F.col("offset")).alias("start"), "size", "hash", "offset", F.array_join(F.slice(words, F.col("ahead") - F.col("offset") + 1, F.col("size")), " ").alias("window"))
+        "row", (F.col("at") - F.col("offset")).alias("start"), "size", "hash", "offset", window.alias("window"))
     return attach(there, prefix.select("window", "hash", "offset"), ["window", "hash", "offset"], ["row", "start"], "left_semi").select("row", "start", "size", "window")
 
 
