@@ -12,7 +12,8 @@ from broadsheet.catalog.tables import articles, hits_sql, table, words_sql
 from broadsheet.registry import query
 from broadsheet.session import shared_dir
 from broadsheet.sources import io
-from broadsheet.streaming import feeds as fd
+from broadsheet.streaming import feeds as fd, spikes as sp
+from broadsheet.streaming.progress import ProgressTable, rates
 
 
 def fresh(spark):
@@ -28,7 +29,7 @@ def written(spark, df, totals=False):
     base = fresh(spark)
     q = fd.export_totals(df, f"{base}/out", f"{base}/state") if totals else fd.export_stream(df, f"{base}/out", f"{base}/state")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return fd.latest_totals(spark, f"{base}/out") if totals else spark.read.parquet(f"{base}/out")
 
 
 @query("R01_R10_article_stream", "SELECT doc_id, lang FROM documents")
@@ -51,9 +52,50 @@ def r04(spark, sf):
   avg(CAST(label = 'negative' AS DOUBLE)) OVER f AS g FROM e WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
 SELECT CAST(user_id AS VARCHAR) AS key, event_id AS id, CASE WHEN n = 10 AND p >= 0.6 THEN 'positive_spike' WHEN n = 10 AND g >= 0.6 THEN 'negative_spike' END AS spike FROM w""")
 def r05(spark, sf):
+    return spiked(spark, sf, delay=240)[0]
+
+
+SLICES, DELAY_HOURS = 4, 1
+
+
+def labelled(spark, sf):
     v = F.col("value")
-    e = stream(spark, sf, "events").withColumn("label", F.when(v > 12, "positive").when(v < 3, "negative").otherwise("neutral"))
-    return written(spark, fd.sentiment_spikes(e, "user_id", "event_id", "ts", "label", 10, 0.6)).select("key", "id", "spike")
+    return table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id", "user_id", F.when(v > 12, "positive").when(v < 3, "negative").otherwise("neutral").alias("label"))
+
+
+def spiked(spark, sf, late=None, delay=DELAY_HOURS):
+    """The events as a feed of several triggers, and what the listener saw of them. Rows come late by up to half the delay, those of `late` with the last trigger."""
+    base, e = fresh(spark), labelled(spark, sf)
+    behind = e.where(late) if late is not None else None
+    feed = e.where(~late) if late is not None else e
+    sp.replay(feed, "ts", f"{base}/feed", SLICES, behind, jitter="0 hours" if late is not None else f"{delay // 2} hours")
+    rows = fd.event_time(fd.article_stream(spark, f"{base}/feed", feed.schema, max_files=1), "ts", f"{delay} hours")
+    with ProgressTable(spark, f"{base}/progress") as seen:
+        q = fd.export_stream(sp.sentiment_spikes(rows, "user_id", "event_id", "ts", "label", 10, 0.6), f"{base}/out", f"{base}/state")
+        q.awaitTermination()
+        seen.wait_for(q.runId)
+    return spark.read.parquet(f"{base}/out").where("id IS NOT NULL").select("key", "id", "spike"), seen.table()
+
+
+#: Rows that come three slices late; Spark drops what lies before the watermark of the trigger before.
+LATE_SQL = f"""e AS (SELECT event_id, user_id, ts, epoch_us(ts) AS us, event_id % 50 = 7 AS behind, CASE WHEN value > 12 THEN 'positive' WHEN value < 3 THEN 'negative' ELSE 'neutral' END AS label FROM events),
+span AS (SELECT min(us) AS low, max(us) AS high FROM e WHERE NOT behind),
+fed AS (SELECT e.*, CASE WHEN behind THEN {SLICES - 1} ELSE least(floor((us - low) * {SLICES} / (high - low + 1)), {SLICES - 1}) END AS slice FROM e, span),
+mark AS (SELECT max(us) // 1000 * 1000 - {DELAY_HOURS * 3_600_000_000} AS us FROM fed WHERE slice <= {SLICES - 3}),
+kept AS (SELECT * FROM fed WHERE slice < {SLICES - 1} OR us > (SELECT us FROM mark))"""
+
+
+@query("R08_late_rows", f"""WITH {LATE_SQL}, w AS (SELECT *, count(*) OVER f AS n, avg(CAST(label = 'positive' AS DOUBLE)) OVER f AS p, avg(CAST(label = 'negative' AS DOUBLE)) OVER f AS g
+  FROM kept WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
+SELECT CAST(user_id AS VARCHAR) AS key, event_id AS id, CASE WHEN n = 10 AND p >= 0.6 THEN 'positive_spike' WHEN n = 10 AND g >= 0.6 THEN 'negative_spike' END AS spike FROM w""")
+def r08_late(spark, sf):
+    return spiked(spark, sf, F.col("event_id") % 50 == 7)[0]
+
+
+@query("R07_R08_progress", f"WITH {LATE_SQL} SELECT (SELECT count(*) FROM fed) + 1 AS rows, {SLICES} + 1 AS triggers, (SELECT count(*) FROM fed) - (SELECT count(*) FROM kept) AS dropped_rows, 1 AS running")
+def r07_progress(spark, sf):
+    out = rates(spiked(spark, sf, F.col("event_id") % 50 == 7)[1])
+    return out.select("rows", "triggers", "dropped_rows", ((F.col("running_seconds") > 0) & (F.col("rows_per_minute") > 0)).cast("int").alias("running"))
 
 
 TREND = """WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY window_start) AS total FROM w)
@@ -72,6 +114,14 @@ def r07(spark, sf):
     return written(spark, fd.stream_stats(stream(spark, sf, "documents"), ["lang", "source"]), totals=True)
 
 
+@query("R07_running_totals", f"""WITH d AS (SELECT doc_id, text, NOT regexp_matches(text, '\\S') OR text IS NULL AS bad, language, {LABEL} AS sentiment FROM (SELECT doc_id, text FROM documents) JOIN (SELECT doc_id, language FROM ({DETECTED})) USING (doc_id) JOIN (SELECT doc_id, compound FROM ({compound_sql('documents')})) USING (doc_id))
+SELECT CASE WHEN bad THEN 'errors' ELSE 'processed' END AS measure, NULL AS value, count(*) AS n FROM d GROUP BY bad UNION ALL SELECT 'language', language, count(*) FROM d WHERE NOT bad GROUP BY language
+UNION ALL SELECT 'sentiment', sentiment, count(*) FROM d WHERE NOT bad GROUP BY sentiment""")
+def r07_totals(spark, sf):
+    rows = fd.enrich_stream(stream(spark, sf, "documents").select("doc_id", "text"), "text", PROFILES, TEST_LEXICON, TEST_NEGATIONS)
+    return written(spark, fd.running_totals(rows, {"language": "language", "sentiment": "sentiment"}, F.col("status") == "error"), totals=True)
+
+
 @query("R08_R11_dedup_stream", "SELECT DISTINCT user_id, event_type, CAST(date_trunc('day', ts) AS DATE)::VARCHAR AS day FROM events")
 def r11(spark, sf):
     e = fd.event_time(stream(spark, sf, "events"), "ts", "40 days").withColumn("day", F.to_date("ts").cast("string"))
@@ -90,7 +140,7 @@ def r12(spark, sf):
     base = fresh(spark)
     hooks = fd.Hooks()
     for event in ("ok", "error"):
-        hooks.register_sink(event, lambda df, epoch, e=event: df.write.mode("append").parquet(f"{base}/{e}"))
+        hooks.register_sink(event, fd.epoch_sink(f"{base}/{event}"))
     status = F.when(F.length("text") >= 50, "ok").otherwise("error")
     s = stream(spark, sf, "documents").withColumn("status", status).select("doc_id", "status")
     fd.on_new(s, hooks.run({"ok": lambda b: fd.split_errors(b)[0], "error": lambda b: fd.split_errors(b)[1]}), f"{base}/state").awaitTermination()

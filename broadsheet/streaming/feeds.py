@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from broadsheet.functions import text as tx
 from broadsheet.functions import wordlists as wl
@@ -75,32 +73,13 @@ def stream_stats(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("processed"))
 
 
-SPIKE = "key string, id bigint, ts timestamp, spike string"
-
-
-def sentiment_spikes(df: DataFrame, key_col: str, id_col: str, ts_col: str, label_col: str, last: int = 10, share: float = 0.8) -> DataFrame:
-    """Spike flag of every article from the last labels of its feed; the state of a feed is those labels only."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterable[pd.DataFrame]:
-        recent = list(state.get[0]) if state.exists else []
-        for pdf in _in_order(batches):
-            spikes = []
-            for label in pdf["label"]:
-                recent = [*recent, label][-last:]
-                full = len(recent) == last
-                spikes.append("positive_spike" if full and recent.count("positive") / last >= share else
-                              "negative_spike" if full and recent.count("negative") / last >= share else None)
-            yield pd.DataFrame({"key": key[0], "id": pdf["id"], "ts": pdf["ts"], "spike": spikes})
-        state.update((recent,))
-
-    keyed = df.select(F.col(key_col).cast("string").alias("key"), F.col(id_col).cast("bigint").alias("id"), F.col(ts_col).cast("timestamp").alias("ts"), F.col(label_col).alias("label"))
-    return keyed.groupBy("key").applyInPandasWithState(step, SPIKE, "labels array<string>", "append", GroupStateTimeout.NoTimeout)
-
-
-def _in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A feed's rows of one trigger by event time; intake per trigger is bounded by the source."""
-    rows = pd.concat(list(batches))
-    yield rows.sort_values(["ts", "id"])
+def running_totals(df: DataFrame, by: Mapping[str, Column | str], failed: Column) -> DataFrame:
+    """measure, value, n: rows processed and failed, and the good rows by each of the named columns, in one aggregate."""
+    ok = [F.struct(F.lit(name).alias("measure"), (F.col(c) if isinstance(c, str) else c).cast("string").alias("value")) for name, c in by.items()]
+    status = F.when(failed, F.lit("errors")).otherwise(F.lit("processed"))
+    total = F.struct(status.alias("measure"), F.lit(None).cast("string").alias("value"))
+    each = F.when(failed, F.array(total)).otherwise(F.array(total, *ok))
+    return df.select(F.explode(each).alias("m")).groupBy("m.measure", "m.value").agg(F.count(F.lit(1)).alias("n"))
 
 
 class Hooks:
@@ -125,6 +104,13 @@ class Hooks:
         return each
 
 
+def epoch_sink(path: str, fmt: str = "parquet") -> Batch:
+    """A callback that keeps each batch in a folder of its epoch: a batch that is run again replaces what it wrote before."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/epoch={epoch}")
+    return write
+
+
 def on_new(df: DataFrame, fn: Batch, checkpoint: str):
     """Run fn on every batch of new articles that is waiting."""
     return df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -136,12 +122,26 @@ def export_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
 
 
 def export_totals(df: DataFrame, path: str, checkpoint: str):
-    """Keep the latest totals of an aggregating stream as one table, replaced every batch."""
+    """Keep the totals of an aggregating stream: each batch writes them whole in a folder of its epoch, and the last two are kept, so
+    that a reader of `latest_totals` never meets a table that is being replaced."""
+    store = epoch_sink(path)
+
     def replace(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        store(batch, epoch)
+        jvm = batch.sparkSession._jvm
+        old = jvm.org.apache.hadoop.fs.Path(f"{path}/epoch={epoch - 2}")
+        old.getFileSystem(batch.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
+
     return df.writeStream.foreachBatch(replace).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def latest_totals(spark: SparkSession, path: str) -> DataFrame:
+    """The totals after the last batch that was written whole."""
+    found = spark.read.parquet(path)
+    last = found.agg(F.max("epoch")).first()[0]
+    return found.where(F.col("epoch") == last).drop("epoch")
+
+
 def recent_articles(spark: SparkSession, path: str, ts_col: str, id_col: str, n: int = 100) -> DataFrame:
     from broadsheet.operators.relational import most_recent
     return most_recent(spark.read.parquet(path), ts_col, n, id_col)
