@@ -48,11 +48,11 @@ UNIT = "(SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE / s
 DOT = "list_sum(list_transform(list_zip(a.u, b.u), lambda z: z[1] * z[2]))"
 
 
-@query("X14_similarity_features", f"""WITH e AS {UNIT}, s AS (SELECT a.vec_id, {DOT} AS s FROM e a JOIN e b ON b.label = 3)
+@query("X14_similarity_features", f"""WITH e AS {UNIT}, s AS (SELECT a.vec_id, {DOT} AS s FROM e a, e b)
 SELECT vec_id, round(max(s), 6) AS max_similarity, round(avg(s), 6) AS mean_similarity, round(stddev_pop(s), 6) AS std_similarity, round(quantile_cont(s, 0.5), 6) AS median_similarity FROM s GROUP BY 1""")
 def x14(spark, sf):
     e = emb(spark, sf)
-    return rounded(sm.similarity_features(e, e.where("label = 3"), "vec_id", "embedding"))
+    return rounded(sm.similarity_features(e, e, "vec_id", "embedding"))
 
 
 @query("X15_assemble_features")
@@ -80,6 +80,12 @@ def i02(spark, sf):
     return rounded(sm.similar_items(e, e, "vec_id", "embedding", 5, skip_self=True))
 
 
+@query("I02_search_index", TOP)
+def i02_index(spark, sf):
+    e = emb(spark, sf)
+    return rounded(sm.search_items(sm.item_cells(e, "vec_id", "embedding"), e, "vec_id", "embedding", 5, skip_self=True).drop("cells"))
+
+
 def joined_docs(spark, sf):
     return emb(spark, sf).withColumnRenamed("vec_id", "doc_id").join(articles(spark, sf, "lang"), "doc_id")
 
@@ -97,13 +103,13 @@ PAIR_T = 0.4
 
 
 @query("I04_similar_pairs", f"""WITH dd AS (SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY array_to_string({TOK}, chr(1))),
-{GRAMS.replace("SELECT doc_id, unnest(t) AS term FROM t UNION ALL SELECT doc_id, t[i] || ' ' || t[i + 1] FROM t, unnest(range(1, len(t))) AS u(i)", "SELECT doc_id, unnest(t) AS term FROM t")},
+{GRAMS.replace("SELECT doc_id, unnest(t) AS term FROM t UNION ALL SELECT doc_id, t[i] || ' ' || t[i + 1] FROM t, unnest(range(1, len(t))) AS u(i)", "SELECT doc_id, unnest(t) AS term FROM t").replace(" HAVING count(*) >= 2 AND count(*) <= 0.95::DOUBLE * (SELECT n FROM nn) ORDER BY total DESC, term LIMIT 5000", "")},
 x AS (SELECT w.* FROM w JOIN dd USING (doc_id)), p AS (SELECT a.doc_id AS id_1, b.doc_id AS id_2, sum(a.tfidf * b.tfidf) AS score FROM x a JOIN x b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING round(sum(a.tfidf * b.tfidf), 9) >= {PAIR_T})
 SELECT id_1, id_2, round(score, 6) AS score, a.copies AS copies_1, b.copies AS copies_2 FROM p JOIN dd a ON a.doc_id = id_1 JOIN dd b ON b.doc_id = id_2
 UNION ALL SELECT doc_id, doc_id, 1.0, copies, copies FROM dd WHERE copies > 1""")
 def i04(spark, sf):
     d = token_table(spark, sf)
-    weights = ft.tfidf_long(d, "doc_id", "tokens", lo=1, hi=1)
+    weights = ft.tfidf_long(d, "doc_id", "tokens", max_features=None, min_df=1, max_df=1.0, lo=1, hi=1)
     return rounded(sm.similar_pairs_of_texts(weights, sm.copy_groups(d, "doc_id", "tokens"), "doc_id", PAIR_T))
 
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from broadsheet.functions.text import ngrams
 from broadsheet.operators.relational import count_all, top_k_per_group
-from broadsheet.plans.sized import attach, bounded_rows, with_scalars
+from broadsheet.plans.sized import attach, bounded_rows
 from broadsheet.session import materialize
 
 MAX_FEATURES = 5000
@@ -30,46 +33,116 @@ def smooth_idf(n: Column, df: Column) -> Column:
     return F.ln((1 + n) / (1 + df)) + 1
 
 
+def term_stats(df: DataFrame, tokens_col: str, lo: int = 1, hi: int = 1) -> DataFrame:
+    """term, n_docs, total. The terms of a row and its different terms are counted in one aggregate, combined before the shuffle:
+    what moves is one row per term and task, never one per document and term."""
+    grams = ngrams(tokens_col, lo, hi)
+
+    def marked(terms: Column, different: int) -> Column:
+        return F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(different).alias("different")))
+
+    both = df.select(F.explode(F.concat(marked(grams, 0), marked(F.array_distinct(grams), 1))).alias("g"))
+    return both.groupBy("g.term").agg(F.sum("g.different").alias("n_docs"), F.sum(1 - F.col("g.different")).alias("total"))
+
+
+#: Tokens that a task counts at once.
+CHUNK_TOKENS = 1 << 20
+
+
+def _grams(tokens: pa.Array, row: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
+    """The n-grams of a run of tokens, joined by a blank, and their rows."""
+    inside = np.flatnonzero(row[:len(row) - n + 1] == row[n - 1:])
+    return pc.binary_join_element_wise(*[tokens.take(pa.array(inside + i)) for i in range(n)], " ") if n > 1 else tokens, row[inside]
+
+
+def count_rows(df: DataFrame, id_col: str, tokens_col: str, terms: Sequence[str], lo: int = 1, hi: int = 1, weights: Sequence[float] | None = None, sub: bool = True) -> DataFrame:
+    """Counts of the given terms in every row: id, term, tf, and with `weights` (one per term) tfidf, of unit length per row.
+
+    The terms travel to the tasks, each row is counted where it lies, and nothing is shuffled."""
+    share = df.sparkSession.sparkContext.broadcast((pa.array(list(terms), pa.string()), None if weights is None else np.array(weights, dtype=np.float64)))
+    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("term", T.StringType()), T.StructField("tf", T.LongType())])
+    if weights is not None:
+        schema = schema.add("tfidf", T.DoubleType())
+
+    def counted(ids: pa.Array, tokens: pa.Array, lengths: np.ndarray) -> pa.RecordBatch:
+        vocabulary, idf = share.value
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        keys = []
+        for n in range(lo, hi + 1):
+            if len(tokens) >= n:
+                grams, of = _grams(tokens, row, n)
+                at = pc.index_in(grams, value_set=vocabulary)
+                known = at.is_valid().to_numpy(zero_copy_only=False)
+                keys.append(of[known] * max(1, len(vocabulary)) + at.drop_null().to_numpy())
+        key, tf = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_counts=True)
+        of, term = key // max(1, len(vocabulary)), key % max(1, len(vocabulary))
+        out = [ids.take(pa.array(of)), vocabulary.take(pa.array(term)), pa.array(tf.astype(np.int64))]
+        if idf is not None:
+            w = (1 + np.log(tf) if sub else tf) * idf[term]
+            norm = np.sqrt(np.bincount(of, w * w, minlength=len(lengths)))
+            out.append(pa.array(w / norm[of]))
+        return pa.RecordBatch.from_arrays(out, names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, lists = batch.column(0), batch.column(1)
+            lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            tokens, ends = lists.flatten(), np.cumsum(lengths)
+            first = done = 0
+            while first < len(ids):
+                last = max(first + 1, int(np.searchsorted(ends, done + CHUNK_TOKENS, "right")))
+                yield counted(ids.slice(first, last - first), tokens.slice(done, int(ends[last - 1]) - done), lengths[first:last])
+                first, done = last, int(ends[last - 1])
+
+    return df.select(id_col, tokens_col).mapInArrow(run, schema)
+
+
 @dataclass
 class TfidfModel:
-    """Vocabulary table (term, n_docs, idf): at most max_features rows."""
+    """Vocabulary table (term, n_docs, idf) of at most max_features rows; without that bound weights are joined instead of looked up."""
     vocabulary: DataFrame
     lo: int = 1
     hi: int = 2
     sublinear: bool = True
+    max_features: int | None = MAX_FEATURES
+
+    def terms(self) -> list[tuple[str, float]]:
+        """Terms with their idf, in order."""
+        return sorted((r.term, r.idf) for r in bounded_rows(self.vocabulary.select("term", "idf"), self.max_features or MAX_FEATURES, "vocabulary"))
 
     def transform(self, df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-        return self.weigh(_tf(df, [id_col], tokens_col, self.lo, self.hi), id_col)
+        """id, term, tf, tfidf; rows are weighed where they lie."""
+        if self.max_features is None:
+            return self.weigh(_tf(df, [id_col], tokens_col, self.lo, self.hi), id_col)
+        terms = self.terms()
+        return count_rows(df, id_col, tokens_col, [t for t, _ in terms], self.lo, self.hi, [w for _, w in terms], self.sublinear)
 
     def weigh(self, tf: DataFrame, id_col: str) -> DataFrame:
-        """Weights of a counted table (id, term, tf)."""
+        """Weights of a counted table (id, term, tf), for a vocabulary of any size."""
         weight = (sublinear(F.col("tf")) if self.sublinear else F.col("tf").cast("double")) * F.col("idf")
-        raw = tf.join(F.broadcast(self.vocabulary.select("term", "idf")), "term").withColumn("_w", weight)
+        raw = attach(tf, self.vocabulary.select("term", "idf"), ["term"], [id_col]).withColumn("_w", weight)
         norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))  # one document
         return raw.select(id_col, "term", "tf", (F.col("_w") / norm).alias("tfidf"))
 
 
-def fit_tfidf(df: DataFrame, id_col: str, tokens_col: str, max_features: int = MAX_FEATURES, min_df: int = 2,
-              max_df: float = 0.95, lo: int = 1, hi: int = 2, sub: bool = True, small_corpus: bool = True) -> TfidfModel:
-    """Vocabulary by total count (ties by term). With small_corpus, min_df and max_features shrink with the rows."""
-    return _fit_counted(_tf(df, [id_col], tokens_col, lo, hi), df.count(), max_features, min_df, max_df, lo, hi, sub, small_corpus)
-
-
-def _fit_counted(tf: DataFrame, n_docs: int, max_features: int = MAX_FEATURES, min_df: int = 2, max_df: float = 0.95, lo: int = 1, hi: int = 2,
-                 sub: bool = True, small_corpus: bool = True) -> TfidfModel:
+def fit_tfidf(df: DataFrame, id_col: str, tokens_col: str, max_features: int | None = MAX_FEATURES, min_df: int = 2,
+              max_df: float = 0.95, lo: int = 1, hi: int = 2, sub: bool = True, small_corpus: bool = False) -> TfidfModel:
+    """Vocabulary by total count (ties by term), of any size if max_features is None. With small_corpus, min_df and max_features shrink
+    with the rows: to a tenth and to fifty times their number."""
+    n_docs = df.count()
     if small_corpus:
-        min_df, max_features = min(min_df, max(1, n_docs // 10)), min(max_features, 50 * max(n_docs, 1))
-    stats = tf.groupBy("term").agg(count_all().alias("n_docs"), F.sum("tf").alias("total"))
+        min_df, max_features = min(min_df, max(1, n_docs // 10)), min(max_features or 50 * n_docs, 50 * max(n_docs, 1))
+    stats = term_stats(df, tokens_col, lo, hi)
     kept = stats.where((F.col("n_docs") >= min_df) & (F.col("n_docs") <= max_df * n_docs))
-    vocabulary = kept.orderBy(F.col("total").desc(), "term").limit(max_features).select(
-        "term", "n_docs", "total", smooth_idf(F.lit(float(n_docs)), F.col("n_docs")).alias("idf"))
-    return TfidfModel(vocabulary, lo, hi, sub)
+    if max_features is not None:
+        kept = kept.orderBy(F.col("total").desc(), "term").limit(max_features)
+    vocabulary = materialize(kept.select("term", "n_docs", "total", smooth_idf(F.lit(float(n_docs)), F.col("n_docs")).alias("idf")))
+    return TfidfModel(vocabulary, lo, hi, sub, max_features)
 
 
 def tfidf_long(df: DataFrame, id_col: str, tokens_col: str, **options) -> DataFrame:
-    """Fit and transform in one: the counts are made once and written, being read for both."""
-    tf = materialize(_tf(df, [id_col], tokens_col, options.get("lo", 1), options.get("hi", 2)))
-    return _fit_counted(tf, df.count(), **options).weigh(tf, id_col)
+    """Fit and transform in one: a pass that counts terms, and one that weighs each row where it lies."""
+    return fit_tfidf(df, id_col, tokens_col, **options).transform(df, id_col, tokens_col)
 
 
 def tfidf_by_corpus(df: DataFrame, corpus: str, id_col: str, tokens_col: str, max_features: int = 50, min_df: int = 2,
@@ -114,12 +187,10 @@ def count_model(df: DataFrame, tokens_col: str, out: str = "features", vocab_siz
 
 def count_long(df: DataFrame, id_col: str, tokens_col: str, vocab_size: int = 1000, min_df: int = 2, max_df: float = 0.95) -> DataFrame:
     """Term counts over the vocab_size most frequent terms, long form."""
-    tf = _tf(df, [id_col], tokens_col, 1, 1)
-    n = df.agg(count_all().alias("_n"))
-    stats = with_scalars(tf.groupBy("term").agg(count_all().alias("n_docs"), F.sum("tf").alias("total")), n)
-    vocab = (stats.where((F.col("n_docs") >= min_df) & (F.col("n_docs") <= max_df * F.col("_n")))
-             .orderBy(F.col("total").desc(), "term").limit(vocab_size).select("term"))
-    return tf.join(F.broadcast(vocab), "term").select(id_col, "term", "tf")
+    n = df.count()
+    stats = term_stats(df, tokens_col).where((F.col("n_docs") >= min_df) & (F.col("n_docs") <= max_df * n))
+    vocab = [r.term for r in stats.orderBy(F.col("total").desc(), "term").select("term").limit(vocab_size).collect()]
+    return count_rows(df, id_col, tokens_col, sorted(vocab))
 
 
 def vector_stages(model: TfidfModel, tokens_col: str, out: str = "features") -> list:
@@ -127,14 +198,14 @@ def vector_stages(model: TfidfModel, tokens_col: str, out: str = "features") ->
 
     `tokens_col` must hold the n-grams the model was fitted on.
     """
-    rows = sorted(bounded_rows(model.vocabulary.select("term", "idf"), MAX_FEATURES, "vocabulary"))
-    counts = CountVectorizerModel.from_vocabulary([r.term for r in rows], inputCol=tokens_col, outputCol="_counts")
-    weighted = ElementwiseProduct(scalingVec=Vectors.dense([r.idf for r in rows]), inputCol="_counts", outputCol="_weighted")
+    rows = model.terms()
+    counts = CountVectorizerModel.from_vocabulary([t for t, _ in rows], inputCol=tokens_col, outputCol="_counts")
+    weighted = ElementwiseProduct(scalingVec=Vectors.dense([w for _, w in rows]), inputCol="_counts", outputCol="_weighted")
     return [counts, weighted, Normalizer(inputCol="_weighted", outputCol=out)]
 
 
 def vocabulary_list(model: TfidfModel) -> list[str]:
-    return sorted(r.term for r in bounded_rows(model.vocabulary.select("term"), MAX_FEATURES, "vocabulary"))
+    return [t for t, _ in model.terms()]
 
 
 def assemble_features(tables: Sequence[DataFrame], id_col: str, columns: Sequence[str], out: str = "features") -> DataFrame:

@@ -18,8 +18,10 @@ from broadsheet.operators.clean import apply_filters, dedup_prefix
 from broadsheet.operators.features import tfidf_by_corpus
 from broadsheet.operators.lexicon import simple_sentiment
 from broadsheet.operators.relational import hash_sample, overlap_ratio, top_k_per_group, top_n
-from broadsheet.plans.blocks import grid, matrix, partial_top_k, unit
-from broadsheet.plans.sized import bounded_rows, fits, with_scalars
+from broadsheet.plans.blocks import grid, partial_top_k
+from broadsheet.plans.cells import CellIndex, build_cells, pairs_above, search_cells
+from broadsheet.plans.vectors import matrix, unit
+from broadsheet.plans.sized import attach, bounded_rows, fits, with_scalars
 from broadsheet.session import materialize
 
 
@@ -50,42 +52,39 @@ def semantic_search(queries: DataFrame, docs: DataFrame, id_col: str, vec_col: s
     return found.join(q, "query_id").join(d, "item_id").withColumn("relevance", overlap_ratio(F.col("_q"), F.col("_d"))).drop("_q", "_d")
 
 
-PAIR = "id_1 bigint, id_2 bigint, score double"
+def item_cells(items: DataFrame, id_col: str, vec_col: str, cells: int | None = None, path: str | None = None) -> CellIndex:
+    """Write the search index of a table; it serves any number of searches."""
+    return build_cells(_ids(items, id_col, vec_col), cells, path)
 
 
-def cross_similarity(a: DataFrame, b: DataFrame, id_col: str, vec_col: str, threshold: float) -> DataFrame:
-    """Pairs of two sets with cosine of at least the threshold."""
+def search_items(index: CellIndex, queries: DataFrame, id_col: str, vec_col: str, k: int = 5, threshold: float | None = None, skip_self: bool = False) -> DataFrame:
+    """As `similar_items`, from an index: query_id, item_id, score, rank, and cells, how many cells the query read to prove its result."""
+    found, read = search_cells(index, _ids(queries, id_col, vec_col), k, threshold, skip_self)
+    return top_k_per_group(found, ["query_id"], F.round("score", 9), k, "item_id", salts=1).join(read, "query_id")
 
-    def cell(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        s = unit(matrix(x["vec"])) @ unit(matrix(y["vec"])).T
-        i, j = np.nonzero(np.round(s, 9) >= threshold)
-        return pd.DataFrame({"id_1": x["id"].to_numpy()[i], "id_2": y["id"].to_numpy()[j], "score": s[i, j]})
 
-    return grid(_ids(a, id_col, vec_col), _ids(b, id_col, vec_col), cell, PAIR)
+def cross_similarity(a: DataFrame, b: DataFrame, id_col: str, vec_col: str, threshold: float) -> DataFrame:
+    """Pairs of two sets with cosine of at least the threshold; rows of the one look into the cells of the other that can hold such a pair."""
+    found = pairs_above(item_cells(b, id_col, vec_col), _ids(a, id_col, vec_col), threshold)
+    return found.select(F.col("query_id").alias("id_1"), F.col("item_id").alias("id_2"), "score")
 
 
 def similarity_features(df: DataFrame, reference: DataFrame, id_col: str, vec_col: str, max_reference: int = 20_000) -> DataFrame:
     """Max, mean, std (population) and median cosine of each row to a reference set.
 
-    A reference set that was counted small travels to every task; a larger one is met in bounded block pairs, and the scores of
-    a row are put together by its number.
+    A reference set that was counted small travels to every task. Of a larger one, mean and deviation come from the sum of its
+    unit vectors and of their outer products, the maximum from a search in cells, and the median from rounds of counts: block
+    pairs count the cosines of each row in the steps of its bracket, and the step that holds the middle is the next
+    bracket. A row never holds more than those counts, whatever the size of the reference set.
     """
     if not fits(reference, max_reference):
         rows = materialize(_ids(df, id_col, vec_col).withColumn("row", F.monotonically_increasing_id()))
-
-        def cell(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"id": x["id"].to_numpy(), "scores": list(unit(matrix(x["vec"])) @ unit(matrix(y["vec"])).T)})
-
         others = materialize(reference.select(F.monotonically_increasing_id().alias("id"), F.col(vec_col).alias("vec")))
-        scores = grid(rows.select(F.col("row").alias("id"), "vec"), others, cell, "id bigint, scores array<double>").groupBy(F.col("id").alias("row")).agg(
-            F.array_sort(F.flatten(F.collect_list("scores"))).alias("s"))
-        n = F.size("s")
-        mean = F.aggregate("s", F.lit(0.0), lambda a, x: a + x) / n
-        scores = scores.withColumn("mean_similarity", mean)
-        std = F.sqrt(F.aggregate("s", F.lit(0.0), lambda a, x: a + (x - F.col("mean_similarity")) * (x - F.col("mean_similarity"))) / n)
-        middle = (F.get("s", ((n - 1) / 2).cast("int")) + F.get("s", (n / 2).cast("int"))) / 2
-        return scores.select("row", F.array_max("s").alias("max_similarity"), "mean_similarity", std.alias("std_similarity"), middle.alias("median_similarity")).join(
-            rows.select("row", F.col("id").alias(id_col)), "row").select(id_col, "max_similarity", "mean_similarity", "std_similarity", "median_similarity")
+        own = rows.select(F.col("row").alias("id"), "vec")
+        moments = _moments(own, others)
+        best = search_cells(build_cells(others), own, 1)[0].select(F.col("query_id").alias("id"), F.col("score").alias("max_similarity"))
+        return moments.join(best, "id").join(_medians(own, others), "id").join(rows.select(F.col("row").alias("id"), F.col("id").alias("_own")), "id").select(
+            F.col("_own").alias(id_col), "max_similarity", "mean_similarity", "std_similarity", "median_similarity")
     ref = unit(np.array([r[0] for r in bounded_rows(reference.select(vec_col), max_reference, "reference set")], dtype=np.float64))
     shared = df.sparkSession.sparkContext.broadcast(ref)
 
@@ -100,6 +99,73 @@ def similarity_features(df: DataFrame, reference: DataFrame, id_col: str, vec_co
         run, "id bigint, max_similarity double, mean_similarity double, std_similarity double, median_similarity double").withColumnRenamed("id", id_col)
 
 
+def _moments(rows: DataFrame, reference: DataFrame) -> DataFrame:
+    """id, mean_similarity, std_similarity: from the reference set's sum and second moments, whose size is that of a vector squared."""
+    def add(batches):
+        total = square = None
+        n = 0
+        for b in batches:
+            if len(b):
+                u = unit(matrix(b["vec"]))
+                total, square, n = (u.sum(0), u.T @ u, len(u)) if total is None else (total + u.sum(0), square + u.T @ u, n + len(u))
+        if n:
+            d = len(total)
+            yield pd.DataFrame({"i": np.concatenate([np.arange(d), np.repeat(np.arange(d), d), [-1]]), "j": np.concatenate([np.full(d, -1), np.tile(np.arange(d), d), [-1]]), "x": np.concatenate([total, square.ravel(), [n]])})
+
+    found = reference.select("vec").mapInPandas(add, "i int, j int, x double").groupBy("i", "j").agg(F.sum("x").alias("x")).toPandas()
+    d = int(found["i"].max()) + 1
+    n = float(found.loc[found["i"] < 0, "x"].iloc[0])
+    total, square = np.zeros(d), np.zeros((d, d))
+    one, two = found[(found["i"] >= 0) & (found["j"] < 0)], found[found["j"] >= 0]
+    total[one["i"]], square[two["i"], two["j"]] = one["x"] / n, two["x"] / n
+    shared = rows.sparkSession.sparkContext.broadcast((total, square))
+
+    def run(batches):
+        mean, second = shared.value
+        for b in batches:
+            if len(b):
+                u = unit(matrix(b["vec"]))
+                m = u @ mean
+                yield pd.DataFrame({"id": b["id"], "mean_similarity": m, "std_similarity": np.sqrt(np.maximum(0, np.einsum("ij,jk,ik->i", u, second, u) - m * m))})
+
+    return rows.mapInPandas(run, "id bigint, mean_similarity double, std_similarity double")
+
+
+#: Steps of a bracket in one round of counts, and rounds: the last bracket is 2 / 64**6 wide.
+STEPS, ROUNDS = 64, 6
+
+
+def _medians(rows: DataFrame, reference: DataFrame) -> DataFrame:
+    """id, median_similarity: the middle cosine, or the mean of the two middle ones, by repeated refinement of a histogram."""
+    n = reference.count()
+    state = rows.withColumns({"low": F.lit(-1.0 - 1e-9), "high": F.lit(1.0 + 1e-9), "below": F.lit(0).cast("bigint")})
+    names = [f"c{k}" for k in range(STEPS)]
+    out = None
+    for rank in sorted({(n - 1) // 2, n // 2}):
+        found = state
+        for _ in range(ROUNDS):
+            def cell(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+                s = unit(matrix(x["vec"])) @ unit(matrix(y["vec"])).T
+                low, high = x["low"].to_numpy()[:, None], x["high"].to_numpy()[:, None]
+                at = np.floor((s - low) / (high - low) * STEPS).astype(np.int64)
+                inside = (s >= low) & (s < high)
+                key = np.repeat(np.arange(len(x)), s.shape[1]).reshape(s.shape) * STEPS + np.clip(at, 0, STEPS - 1)
+                counts = np.bincount(key[inside], minlength=len(x) * STEPS).reshape(len(x), STEPS)
+                return pd.DataFrame({"id": x["id"].to_numpy()} | {c: counts[:, k] for k, c in enumerate(names)})
+
+            counted = grid(found, reference, cell, "id bigint, " + ", ".join(f"{c} bigint" for c in names)).groupBy("id").agg(F.array(*[F.sum(c) for c in names]).alias("counts"))
+            upto = F.transform(F.sequence(F.lit(1), F.lit(STEPS)), lambda k: F.aggregate(F.slice("counts", F.lit(1), k), F.lit(0).cast("bigint"), lambda a, c: a + c))
+            step = F.size(F.filter("upto", lambda u: F.col("below") + u <= rank))  # steps wholly before the rank
+            width = (F.col("high") - F.col("low")) / STEPS
+            found = materialize(found.join(counted, "id").withColumn("upto", upto).withColumn("step", F.least(step, F.lit(STEPS - 1))).select(
+                "id", "vec", (F.col("low") + F.col("step") * width).alias("low"), (F.col("low") + (F.col("step") + 1) * width).alias("high"),
+                (F.col("below") + F.when(F.col("step") > 0, F.get("upto", F.col("step") - 1)).otherwise(0)).alias("below")))
+        middle = found.select("id", ((F.col("low") + F.col("high")) / 2).alias(f"m{rank}"))
+        out = middle if out is None else out.join(middle, "id")
+    columns = [F.col(c) for c in out.columns if c != "id"]
+    return out.select("id", ((columns[0] + columns[-1]) / 2).alias("median_similarity"))
+
+
 def copy_groups(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     """id, rep, copies: rows with the same tokens share the lowest id as their representative."""
     keyed = df.select(id_col, F.sha2(F.array_join(tokens_col, "\u0001"), 256).alias("_k"))
@@ -107,23 +173,52 @@ def copy_groups(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     return keyed.join(reps, "_k").drop("_k")
 
 
-def similar_pairs(weights: DataFrame, id_col: str, threshold: float, cell_rows: int = 2000) -> DataFrame:
-    """All pairs id_1 < id_2 of unit TF-IDF rows (id, term, tfidf) with cosine >= threshold, exactly.
+#: Steps of the norm that is left, by which long posting lists are cut.
+LEVELS = 16
+
 
-    Terms are ordered from rare to common. A pair can only reach the threshold if the rarest shared term lies
-    where both rows still have at least that much norm left, so only those prefixes are joined, frequent
-    prefix terms in salted cells, and candidates are checked against the product of the norms left.
+def pair_candidates(weights: DataFrame, id_col: str, threshold: float, cell_rows: int = 2000) -> DataFrame:
+    """id_1 < id_2, part, rest: pairs of unit rows (id, term, tfidf) whose dot product may reach the threshold, as part <= product <= part + rest.
+
+    Terms go from rare to common. What is left of a row's norm from a term on bounds all that this term and later ones add, so a pair
+    can only reach the threshold if, at its rarest shared term, the product of both norms left does: only terms whose
+    own norm left reaches it are posted. Postings meet while that product holds and the rows are long and heavy enough
+    for each other; the products that met are summed, and what is left after the last of them bounds the rest.
+    The list of a frequent term is cut by levels of the norm left, and levels into cells; levels that cannot reach
+    the threshold together never meet.
     """
+    least = threshold - 1e-9
+    weights = weights.select(id_col, "term", F.col("tfidf").alias("w"))
+    freq = weights.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    own = Window.partitionBy(id_col)  # one document
+    left = F.sqrt(F.sum(F.col("w") * F.col("w")).over(own.orderBy("df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    placed = weights.join(freq, "term").select(id_col, "term", "w", left.alias("left"), F.max("w").over(own).alias("peak"), F.count(F.lit(1)).over(own).alias("size"))
+    posted = materialize(placed.where(F.col("left") >= least))
+    lists = posted.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    hot = materialize(lists.where(F.col("n") > cell_rows).select("term"))
+    level = F.least(F.floor(F.col("left") * LEVELS), F.lit(LEVELS - 1)).cast("int")
+
+    def side(df: DataFrame, i: int, *more: Column | str) -> DataFrame:
+        return df.select("term", *more, F.col(id_col).alias(f"id_{i}"), *[F.col(c).alias(f"{c}_{i}") for c in ("w", "left", "peak", "size")])
+
+    few = posted.join(lists.where(F.col("n") <= cell_rows).select("term"), "term", "left_semi")
+    met = side(few, 1).join(side(few, 2), "term")
+    many = attach(posted, hot, ["term"], [id_col], "left_semi").withColumn("level", level)
+    cells = materialize(many.groupBy("term", "level").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("cells")))
+    partners = cells.select("term", F.col("level").alias("l1")).join(cells.select("term", F.col("level").alias("l2"), "cells"), "term").where((F.col("l1") + 1) * (F.col("l2") + 1) >= least * LEVELS * LEVELS)
+    a = attach(many.withColumnRenamed("level", "l1"), materialize(partners), ["term", "l1"], [id_col]).withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    b = attach(many, cells, ["term", "level"], [id_col]).withColumn("cell", F.pmod(F.xxhash64(id_col), F.col("cells")).cast("int")).withColumnRenamed("level", "l2")
+    met_many = side(a, 1, "l2", "cell").join(side(b, 2, "l2", "cell"), ["term", "l2", "cell"]).drop("l2", "cell")
+    reach = (F.col("left_1") * F.col("left_2") >= least) & (F.least("size_1", "size_2") * F.col("peak_1") * F.col("peak_2") >= least)
+    after = F.sqrt(F.greatest(F.lit(0.0), F.col("left_1") * F.col("left_1") - F.col("w_1") * F.col("w_1")) * F.greatest(F.lit(0.0), F.col("left_2") * F.col("left_2") - F.col("w_2") * F.col("w_2")))
+    pairs = met.unionByName(met_many).where((F.col("id_1") < F.col("id_2")) & reach).select("id_1", "id_2", (F.col("w_1") * F.col("w_2")).alias("p"), after.alias("after"))
+    return pairs.groupBy("id_1", "id_2").agg(F.sum("p").alias("part"), F.min("after").alias("rest")).where(F.col("part") + F.col("rest") >= least)
+
+
+def similar_pairs(weights: DataFrame, id_col: str, threshold: float, cell_rows: int = 2000) -> DataFrame:
+    """All pairs id_1 < id_2 of unit TF-IDF rows (id, term, tfidf) with cosine >= threshold, exactly: candidates, then their dot products."""
     weights = materialize(weights.select(id_col, "term", "tfidf"))
-    freq = weights.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    left = Window.partitionBy(id_col).orderBy("_df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)  # one document
-    placed = weights.join(freq, "term").withColumn("_left", F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf")).over(left)))
-    prefix = materialize(placed.where(F.col("_left") >= threshold - 1e-9).select(id_col, "term", "_left"))
-    cells = prefix.groupBy("term").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("_cells"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    sized = prefix.join(cells, "term")
-    a = sized.select("term", F.col(id_col).alias("id_1"), F.col("_left").alias("_l1"), F.pmod(F.xxhash64(id_col), F.col("_cells")).cast("int").alias("_cell"))
-    b = sized.select("term", F.col(id_col).alias("id_2"), F.col("_left").alias("_l2"), F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias("_cell"))
-    candidates = a.join(b, ["term", "_cell"]).where((F.col("id_1") < F.col("id_2")) & (F.col("_l1") * F.col("_l2") >= threshold - 1e-9)).select("id_1", "id_2").distinct()
+    candidates = pair_candidates(weights, id_col, threshold, cell_rows).select("id_1", "id_2")
     x = weights.select(F.col(id_col).alias("id_1"), "term", F.col("tfidf").alias("_w1"))
     y = weights.select(F.col(id_col).alias("id_2"), "term", F.col("tfidf").alias("_w2"))
     dots = candidates.join(x, "id_1").join(y, ["id_2", "term"]).groupBy("id_1", "id_2").agg(F.sum(F.col("_w1") * F.col("_w2")).alias("score"))

@@ -1,54 +1,24 @@
 """Exact dense similarity in bounded blocks.
 
 A query table that was counted small travels to every task and items stream past it, each task keeping only
-its best k per query. Larger tables are cut into hash blocks; every pair of blocks is one task of bounded
-size, multiplied as matrices, and only the reduced result of a block pair is emitted.
+its best k per query. Larger ones look into the cells of an index (`cells`). Where every pair counts, tables are cut into hash
+blocks; a pair of blocks is one task of bounded size, multiplied as matrices, and only its reduced result is emitted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from broadsheet.plans.cells import build_cells, search_cells
 from broadsheet.plans.sized import fits
+from broadsheet.plans.vectors import best_rows, matrix, unit
 
 BLOCK_ROWS = 4096
 
 
-def matrix(vectors: pd.Series) -> np.ndarray:
-    m = np.array(vectors.tolist(), dtype=np.float64)
-    return m.reshape(len(vectors), -1)
-
-
-def unit(m: np.ndarray) -> np.ndarray:
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
-
-
-def _best(q_ids, i_ids, scores: np.ndarray, k: int, threshold: float | None, skip_self: bool) -> pd.DataFrame:
-    """k best items of every query row, ties by item id."""
-    out_q, out_i, out_s = [], [], []
-    rounded = np.round(scores, 9)
-    for row in range(scores.shape[0]):
-        r = rounded[row]
-        keep = np.ones(len(r), dtype=bool) if threshold is None else r >= threshold
-        if skip_self:
-            keep &= i_ids != q_ids[row]
-        at = np.flatnonzero(keep)
-        if len(at) > k:
-            cut = np.partition(r[at], len(at) - k)[len(at) - k]
-            at = at[r[at] >= cut]
-        at = at[np.lexsort((i_ids[at], -r[at]))][:k]
-        out_q.extend([q_ids[row]] * len(at))
-        out_i.extend(i_ids[at])
-        out_s.extend(scores[row][at])
-    return pd.DataFrame({"query_id": np.array(out_q, dtype="int64"), "item_id": np.array(out_i, dtype="int64"),
-                         "score": np.array(out_s, dtype="float64")})
-
-
 RESULT = "query_id bigint, item_id bigint, score double"
 
 
@@ -67,15 +37,14 @@ def partial_top_k(queries: DataFrame, items: DataFrame, k: int, threshold: float
             for b in batches:
                 if b.empty:
                     continue
-                part = _best(ids, b["id"].to_numpy(), vecs @ unit(matrix(b["vec"])).T, k, threshold, skip_self)
+                part = best_rows(ids, b["id"].to_numpy(), vecs @ unit(matrix(b["vec"])).T, k, threshold, skip_self)
                 best = part if best is None else pd.concat([best, part]).assign(r=lambda d: d["score"].round(9)).sort_values(
                     ["query_id", "r", "item_id"], ascending=[True, False, True]).groupby("query_id").head(k).drop(columns="r")
             if best is not None:
                 yield best
 
         return items.select("id", "vec").mapInPandas(scan, RESULT)
-    return grid(queries, items, lambda a, b: _best(a["id"].to_numpy(), b["id"].to_numpy(), unit(matrix(a["vec"])) @ unit(matrix(b["vec"])).T,
-                                                  k, threshold, skip_self), RESULT)
+    return search_cells(build_cells(items), queries, k, threshold, skip_self)[0]
 
 
 def grid(a: DataFrame, b: DataFrame, cell: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,

@@ -1,5 +1,6 @@
 """Golden tables and properties of single operators on small fixtures."""
 
+import math
 import random
 import statistics
 
@@ -249,14 +250,83 @@ def test_similar_pairs_equal_brute_force(spark):
     assert got == want and want
 
 
-def test_block_grid_equals_broadcast_search(spark, monkeypatch):
-    from broadsheet.plans import blocks
+def test_pair_candidates_bound_their_products(spark):
+    rng = random.Random(5)
+    vecs = {}
+    for i in range(150):
+        v = {f"t{rng.randrange(400)}": rng.random() + 0.1 for _ in range(rng.randrange(3, 20))} | {"common": 0.2}
+        if i % 3 == 0 and i:
+            v = dict(list(vecs[rng.randrange(i)].items())[1:]) | {f"t{rng.randrange(400)}": 0.3}  # shares most with another
+        norm = sum(x * x for x in v.values()) ** 0.5
+        vecs[i] = {t: x / norm for t, x in v.items()}
+    rows = spark.createDataFrame([(i, t, x) for i, v in vecs.items() for t, x in v.items()], "id bigint, term string, tfidf double")
+    dot = {(a, b): sum(x * vecs[b].get(t, 0) for t, x in vecs[a].items()) for a in vecs for b in vecs if a < b}
+    for cell in (2000, 4):  # short lists, and lists cut into levels and cells
+        found = {(r.id_1, r.id_2): (r.part, r.rest) for r in semantic.pair_candidates(rows, "id", 0.6, cell).collect()}
+        assert all(p - 1e-9 <= dot[k] <= p + rest + 1e-9 for k, (p, rest) in found.items())
+        good = {k for k, d in dot.items() if round(d, 9) >= 0.6}
+        assert good and good <= set(found) and len(found) < len(dot) / 10
+        assert {(r.id_1, r.id_2) for r in semantic.similar_pairs(rows, "id", 0.6, cell).collect()} == good
+
+
+def clustered(rng, n, centres, width):
+    mids = [[rng.gauss(0, 1) for _ in range(width)] for _ in range(centres)]
+    return [(i, [c + rng.gauss(0, 0.05) for c in mids[i % centres]]) for i in range(n)]
+
+
+def test_cells_find_what_the_scan_finds_and_leave_far_cells_out(spark, monkeypatch):
+    from broadsheet.plans import blocks, cells
     rng = random.Random(2)
-    items = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(90)], "id bigint, v array<double>")
-    small = {(r.query_id, r.item_id, r.rank) for r in semantic.similar_items(items, items, "id", "v", 3, skip_self=True).collect()}
-    monkeypatch.setattr(blocks, "BLOCK_ROWS", 20)
-    monkeypatch.setattr(blocks.grid, "__defaults__", (20,))
-    assert small == {(r.query_id, r.item_id, r.rank) for r in semantic.similar_items(items, items, "id", "v", 3, skip_self=True).collect()}
+    rows = clustered(rng, 600, 24, 8)
+    rows += [(1000 + i, rows[5][1]) for i in range(60)] + [(2000, [0.0] * 8), (2001, [0.0] * 8)]  # copies of one vector, and none
+    items = spark.createDataFrame(rows, "id bigint, v array<double>")
+    scan = {(r.query_id, r.item_id, r.rank): r.score for r in semantic.similar_items(items, items, "id", "v", 3, skip_self=True).collect()}
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 16)
+    index = semantic.item_cells(items, "id", "v", cells=24)
+    found = semantic.search_items(index, items, "id", "v", 3, skip_self=True).collect()
+    assert {(r.query_id, r.item_id, r.rank) for r in found} == set(scan) and all(abs(r.score - scan[r.query_id, r.item_id, r.rank]) < 1e-9 for r in found)
+    read = {r.query_id: r.cells for r in found if r.query_id < 2000}
+    assert sum(read.values()) / len(read) < 12 and index.rows.sum() == len(rows)
+    near = {(r.query_id, r.item_id) for r in semantic.search_items(index, items.where("id < 50"), "id", "v", 4, 0.99, True).collect()}
+    assert near == {(r.query_id, r.item_id) for r in semantic.similar_items(items.where("id < 50"), items, "id", "v", 4, 0.99, True).collect()}
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 20)  # more queries than may travel: the cells are used
+    assert {(r.query_id, r.item_id, r.rank) for r in semantic.similar_items(items, items, "id", "v", 3, skip_self=True).collect()} == set(scan)
+    assert semantic.similar_items(items, items.limit(0), "id", "v", 3).count() == 0
+
+
+def test_pairs_of_two_sets_equal_brute_force(spark):
+    import numpy as np
+    rng = random.Random(4)
+    a, b = clustered(rng, 80, 6, 5), clustered(rng, 90, 9, 5)
+    u, v = (np.array([x for _, x in t]) / np.linalg.norm([x for _, x in t], axis=1, keepdims=True) for t in (a, b))
+    s = np.round(u @ v.T, 9)
+    t = float(np.quantile(s, 0.95))
+    schema = "id bigint, v array<double>"
+    got = {(r.id_1, r.id_2) for r in semantic.cross_similarity(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), "id", "v", t).collect()}
+    assert got == {(int(i), int(j)) for i, j in zip(*np.nonzero(s >= t))} and got
+
+
+def test_terms_are_counted_where_they_lie(spark, monkeypatch):
+    from collections import Counter
+    from broadsheet.operators import features
+    rng = random.Random(9)
+    docs = [(i, [rng.choice("abcdefgh") + "é" * rng.randrange(2) for _ in range(rng.randrange(12))]) for i in range(60)] + [(100, None), (101, [])]
+    df = spark.createDataFrame(docs, "id bigint, tokens array<string>")
+    monkeypatch.setattr(features, "CHUNK_TOKENS", 30)
+    grams = {i: Counter([*t, *(f"{x} {y}" for x, y in zip(t, t[1:]))]) for i, t in docs if t}
+    stats = {r.term: (r.n_docs, r.total) for r in features.term_stats(df, "tokens", 1, 2).collect()}
+    assert stats == {g: (sum(g in c for c in grams.values()), sum(c[g] for c in grams.values())) for c in grams.values() for g in c}
+    top = sorted((g for g in stats if 2 <= stats[g][0] <= 0.95 * len(docs)), key=lambda g: (-stats[g][1], g))[:30]
+    got = {(r.id, r.term): (r.tf, round(r.tfidf, 9)) for r in features.tfidf_long(df, "id", "tokens", max_features=30).collect()}
+    want = {}
+    for i, c in grams.items():
+        w = {g: (1 + math.log(c[g])) * (math.log((1 + len(docs)) / (1 + stats[g][0])) + 1) for g in top if g in c}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        want |= {(i, g): (c[g], round(x / norm, 9)) for g, x in w.items()}
+    assert got == want
+    joined = {(r.id, r.term): (r.tf, round(r.tfidf, 9)) for r in features.tfidf_long(df, "id", "tokens", max_features=None).collect()}
+    whole = {(r.id, r.term): (r.tf, round(r.tfidf, 9)) for r in features.tfidf_long(df, "id", "tokens", max_features=10_000).collect()}
+    assert joined == whole
 
 
 def test_summaries(spark):
