@@ -135,6 +135,22 @@ def h10(spark, sf):
     return rounded(h.topic_drift(h.words_by_window(w, "window_id", "topic", "tokens")).drop("most_stable", "most_volatile"))
 
 
+def window_models(spark, sf):
+    d = dated(spark, sf, "lang").select("doc_id", "date", F.filter(tx.word_tokens("text"), lambda x: F.length(x) > 2).alias("tokens"))
+    w = tm.sliding_windows(d.select("doc_id", "date"), "date", 14, 7, 10).select("doc_id", "window_id")
+    return h.window_models(tfidf_long(d, "doc_id", "tokens", lo=1, hi=1, max_features=1000), w, "doc_id")
+
+
+@query("H10_drift_of_window_models")
+def h10_models(spark, sf):
+    return rounded(h.topic_drift(window_models(spark, sf)[0].where("rank <= 10")))
+
+
+@query("H08_evolution_of_window_models")
+def h08_models(spark, sf):
+    return rounded(window_models(spark, sf)[1])
+
+
 @query("H11_topics_by_category", f"SELECT source AS category, topic, round(avg(p), 6) AS mean_probability FROM ({LONG}) GROUP BY 1, 2")
 def h11(spark, sf):
     return rounded(h.topics_by_category(docs(spark, sf), "category"))

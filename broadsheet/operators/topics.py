@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -16,7 +17,7 @@ from broadsheet.operators.features import MAX_FEATURES, count_model
 from broadsheet.operators.relational import (count_all, direction, emerging_declining, jaccard, period_shares, top_k_per_group,
                                              topic_evolution_stats, topic_stability)
 from broadsheet.plans.sized import bounded_rows
-from broadsheet.session import materialize
+from broadsheet.session import materialize, shared_dir
 
 
 class LdaTopics:
@@ -143,10 +144,29 @@ def fit_nmf(weights: DataFrame, id_col: str, k: int = 10, rounds: int = 15, seed
     rows, vocabulary = document_rows(weights, id_col, documents)
     rows = materialize(rows)
     n = len(vocabulary)
-    h = np.abs(np.random.default_rng(seed).normal(scale=0.1, size=(k, n))) + 1e-3
-    sc = weights.sparkSession.sparkContext
+    h = _refined(rows, _start(k, n, seed), rounds)
+    shared = weights.sparkSession.sparkContext.broadcast(h)
+
+    def assign(batches):
+        for b in batches:
+            if len(b):
+                w = _loads(_dense(b, n), shared.value)
+                total = w.sum(axis=1, keepdims=True)
+                yield pd.DataFrame({"id": b["id"], "topics": list(np.divide(w, total, out=np.full_like(w, 1.0 / k), where=total > 0))})
+
+    table = weights.sparkSession.createDataFrame(_leading(h, vocabulary, words), "topic int, rank int, term string, weight double")
+    return rows.mapInPandas(assign, "id bigint, topics array<double>").withColumnRenamed("id", id_col), table
+
+
+def _start(k: int, n: int, seed: int) -> np.ndarray:
+    return np.abs(np.random.default_rng(seed).normal(scale=0.1, size=(k, n))) + 1e-3
+
+
+def _refined(rows: DataFrame, h: np.ndarray, rounds: int) -> np.ndarray:
+    """Topics after some rounds over the rows; a round returns the k x (k + terms) sums."""
+    k, n = h.shape
     for _ in range(rounds):
-        shared = sc.broadcast(h)
+        shared = rows.sparkSession.sparkContext.broadcast(h)
 
         def part(b, s=shared):
             a = _dense(b, n)
@@ -155,18 +175,108 @@ def fit_nmf(weights: DataFrame, id_col: str, k: int = 10, rounds: int = 15, seed
 
         sums = _sum_parts(rows, part, k + n, k)
         h = h * sums[:, k:] / (sums[:, :k] @ h + 1e-12)
-    shared = sc.broadcast(h)
+    return h
+
+
+def _leading(h: np.ndarray, vocabulary: Sequence[str], words: int) -> list[tuple[int, int, str, float]]:
+    return [(t, r + 1, vocabulary[i], float(h[t, i])) for t in range(len(h)) for r, i in enumerate(np.argsort(-h[t], kind="stable")[:words])]
+
+
+# ---- a model for each window ---------------------------------------------------------------------------------
+
+def best_assignment(gain: np.ndarray) -> np.ndarray:
+    """For each row of a square matrix the column it takes, one to one, so that the sum of the gains is the largest.
+
+    Rows enter one by one; each time the cheapest chain of changes is found with prices on rows and columns."""
+    n = len(gain)
+    cost = gain.max(initial=0) - gain
+    row_price, column_price, owner = np.zeros(n), np.zeros(n + 1), np.full(n + 1, -1)
+    for row in range(n):
+        owner[n], column = row, n
+        slack, came, seen = np.full(n, np.inf), np.full(n, n), np.zeros(n + 1, dtype=bool)
+        while owner[column] >= 0:
+            seen[column] = True
+            at = owner[column]
+            reduced = cost[at] - row_price[at] - column_price[:n]
+            better = ~seen[:n] & (reduced < slack)
+            slack[better], came[better] = reduced[better], column
+            free = np.where(seen[:n], np.inf, slack)
+            nearest = int(free.argmin())
+            step = free[nearest]
+            row_price[owner[seen]] += step
+            column_price[seen] -= step
+            slack[~seen[:n]] -= step
+            column = nearest
+        while column != n:
+            owner[column] = owner[came[column]]
+            column = came[column]
+        owner[n] = -1
+    out = np.empty(n, dtype=int)
+    out[owner[:n]] = np.arange(n)
+    return out
 
-    def assign(batches):
-        for b in batches:
-            if len(b):
-                w = _loads(_dense(b, n), shared.value)
-                total = w.sum(axis=1, keepdims=True)
-                yield pd.DataFrame({"id": b["id"], "topics": list(np.divide(w, total, out=np.full_like(w, 1.0 / k), where=total > 0))})
 
-    best = [(t, r + 1, vocabulary[i], float(h[t, i])) for t in range(k) for r, i in enumerate(np.argsort(-h[t], kind="stable")[:words])]
-    table = weights.sparkSession.createDataFrame(best, "topic int, rank int, term string, weight double")
-    return rows.mapInPandas(assign, "id bigint, topics array<double>").withColumnRenamed("id", id_col), table
+def word_overlap(before: Sequence[set], now: Sequence[set]) -> np.ndarray:
+    """Jaccard of the leading words of every pair of topics."""
+    return np.array([[len(a & b) / max(1, len(a | b)) for b in now] for a in before])
+
+
+def aligned(models: Sequence[np.ndarray], top: int = 10) -> list[np.ndarray]:
+    """The number that each topic of each window takes: that of the topic of the window before with which it is matched, one to
+    one, by the largest sum of overlaps of their `top` words; topics of the first window keep theirs."""
+    numbers = [np.arange(len(models[0]))] if models else []
+    for before, now in zip(models, models[1:]):
+        sets = [[set(np.argsort(-t, kind="stable")[:top].tolist()) for t in m] for m in (before, now)]
+        takes = best_assignment(word_overlap(*sets))
+        mine = np.empty(len(now), dtype=int)
+        mine[takes] = numbers[-1]
+        numbers.append(mine)
+    return numbers
+
+
+def window_models(weights: DataFrame, windows: DataFrame, id_col: str, window_col: str = "window_id", k: int = 10, rounds: int = 15, warm_rounds: int = 5, seed: int = 42,
+                  words: int = 15, align_words: int = 10) -> tuple[DataFrame, DataFrame]:
+    """A factorisation per window: (window_id, topic, rank, term, weight), and (window_id, topic, p, rows) with mean topic shares.
+
+    weights: id, term, tfidf of one bounded vocabulary. windows: id and window, a document in as many windows as it belongs to.
+    The first window starts from random topics, each later one from those of the window before, and needs fewer rounds.
+    Topics are numbered by the chain of one-to-one matches with the window before (`aligned`), so that a number means the same theme
+    throughout. Rows are written by window; a round reads one window and returns sums of the size of the model.
+    """
+    spark = weights.sparkSession
+    rows, vocabulary = document_rows(weights, id_col)
+    path = f"{shared_dir(spark).rstrip('/')}/windows-{uuid.uuid4().hex}"
+    windows.select(F.col(id_col).cast("bigint").alias("id"), F.col(window_col).cast("bigint").alias("w")).distinct().join(rows, "id").repartition("w", F.pmod(F.xxhash64("id"), F.lit(8))).write.partitionBy("w").parquet(path)
+    kept = spark.read.schema("id bigint, i array<int>, v array<double>, w bigint").parquet(path)
+    numbers = sorted(r[0] for r in kept.select("w").distinct().collect())  # one per window
+    models, shares, h = [], [], _start(k, len(vocabulary), seed)
+    for number in numbers:
+        own = kept.where(F.col("w") == number)
+        if models:  # products never leave zero: terms that the window before lacked get the topic's mean weight
+            h = np.maximum(h, h.mean(axis=1, keepdims=True))
+        h = _refined(own, h, warm_rounds if models else rounds)
+        models.append(h)
+        shares.append(_mean_shares(own, h))
+    mine = aligned(models, align_words)
+    best = [(w, int(new[t]), r, term, x) for w, m, new in zip(numbers, models, mine) for t, r, term, x in _leading(m, vocabulary, words)]
+    mean = [(w, int(new[t]), float(p[t]), n) for w, (p, n), new in zip(numbers, shares, mine) for t in range(k)]
+    return (spark.createDataFrame(best, "window_id bigint, topic int, rank int, term string, weight double"),
+            spark.createDataFrame(mean, "window_id bigint, topic int, p double, rows bigint"))
+
+
+def _mean_shares(rows: DataFrame, h: np.ndarray) -> tuple[np.ndarray, int]:
+    """Mean share of each topic over the rows, and their number."""
+    k, n = h.shape
+    shared = rows.sparkSession.sparkContext.broadcast(h)
+
+    def part(b):
+        w = _loads(_dense(b, n), shared.value)
+        total = w.sum(axis=1, keepdims=True)
+        share = np.divide(w, total, out=np.full_like(w, 1.0 / k), where=total > 0)
+        return np.append(share.sum(axis=0), len(b))[None, :]
+
+    sums = _sum_parts(rows, part, k + 1, 1)[0]
+    return sums[:k] / max(1.0, sums[k]), int(sums[k])
 
 
 # ---- words and quality ---------------------------------------------------------------------------------------
