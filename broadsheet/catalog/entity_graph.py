@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.catalog.relations import rounded
 from broadsheet.catalog.tables import articles, table
-from broadsheet.operators import entities as e
+from broadsheet.operators import entities as e, graph as g
 from broadsheet.operators import relational as r
 from broadsheet.registry import query
 
@@ -163,7 +163,7 @@ def e11(spark, sf):
     return rounded(e.degree_centrality(edges(spark, sf)))
 
 
-ROUNDS = 8
+ROUNDS = 20
 PR = f"""WITH e AS MATERIALIZED (SELECT src, dst FROM {EDGES}), o AS (SELECT src, count(*) AS k FROM e GROUP BY 1), v AS (SELECT src AS id FROM e UNION SELECT dst FROM e), nn AS (SELECT count(*)::DOUBLE AS n FROM v),
 r0 AS MATERIALIZED (SELECT id, 1.0::DOUBLE / n AS rank FROM v, nn)""" + "".join(
     f""", r{i} AS MATERIALIZED (SELECT v.id, 0.15::DOUBLE / n + 0.85::DOUBLE * (coalesce(x.s, 0) + d.lost / n) AS rank FROM v LEFT JOIN (SELECT dst AS id, sum(rank / k) AS s FROM e JOIN o USING (src) JOIN r{i - 1} ON r{i - 1}.id = src GROUP BY 1) x ON x.id = v.id, nn,
@@ -172,17 +172,30 @@ r0 AS MATERIALIZED (SELECT id, 1.0::DOUBLE / n AS rank FROM v, nn)""" + "".join(
 
 @query("E12_pagerank", PR)
 def e12(spark, sf):
-    return rounded(e.pagerank(edges(spark, sf), ROUNDS), 8)
+    return rounded(g.pagerank(edges(spark, sf), ROUNDS), 8)
 
 
 @query("E13_components", COMP + " SELECT id, component FROM comp")
 def e13(spark, sf):
-    return e.components(edges(spark, sf))
+    return g.components(edges(spark, sf))
 
 
 @query("E13_communities")
 def e13b(spark, sf):
-    return e.communities(edges(spark, sf), 4)
+    return g.communities(edges(spark, sf))
+
+
+@query("E13_communities_by_modularity")
+def e13c(spark, sf):
+    found, value = g.communities_by_modularity(edges(spark, sf))
+    return found.withColumn("modularity", F.lit(round(value, 6)))
+
+
+@query("E13_modularity", f"""WITH e AS MATERIALIZED (SELECT src AS a, dst AS b FROM {EDGES} UNION SELECT dst, src FROM {EDGES}), p AS (SELECT a, b, left(a, 1) AS ca, left(b, 1) AS cb FROM e),
+c AS (SELECT ca, count(*)::DOUBLE AS total, sum((ca = cb)::INT) AS inside FROM p GROUP BY 1) SELECT round(sum(inside) / sum(total) - sum(total * total) / (sum(total) * sum(total)), 6) AS modularity, count(*) AS communities FROM c""")
+def e13d(spark, sf):
+    both = g.weighted_both_ways(edges(spark, sf))
+    return rounded(g.modularity(both, both.select(F.col("a").alias("id")).distinct().withColumn("community", F.left("id", F.lit(1)))))
 
 
 def pairs(spark, sf):
@@ -197,12 +210,24 @@ UNION ALL SELECT p.a, p.b, 3, p.a || '>' || x.dst || '>' || y.dst || '>' || p.b
 
 @query("E14_find_connections", PATHS + " SELECT * FROM w")
 def e14(spark, sf):
-    return e.find_connections(edges(spark, sf), pairs(spark, sf)).select("a", "b", "length", F.array_join("path", ">").alias("path"))
+    return g.find_connections(edges(spark, sf), pairs(spark, sf)).select("a", "b", "length", F.array_join("path", ">").alias("path"))
 
 
 @query("E14_shortest_paths", PATHS + " SELECT a, b, min(length) AS distance, count(*) AS paths FROM w GROUP BY 1, 2")
 def e14b(spark, sf):
-    return e.shortest_paths(e.find_connections(edges(spark, sf), pairs(spark, sf)))
+    return g.shortest_paths(g.find_connections(edges(spark, sf), pairs(spark, sf)))
+
+
+@query("E14_smallest_paths", PATHS + """, r AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY length, replace(path, '>', chr(1))) AS rank, count(*) OVER (PARTITION BY a, b) AS paths FROM w) SELECT a, b, length, path, rank, paths FROM r WHERE rank <= 10""")
+def e14c(spark, sf):
+    found = g.smallest_paths(g.find_connections(edges(spark, sf), pairs(spark, sf)))
+    return found.select("a", "b", "length", F.array_join("path", ">").alias("path"), "rank", "paths")
+
+
+@query("E14_common_neighbours", f"WITH e AS (SELECT src, dst FROM {EDGES}), p AS (SELECT 's' || s_suppkey AS a, 's' || (s_suppkey + 1) AS b FROM supplier) SELECT a, b, x.dst AS node FROM p JOIN e x ON x.src = a JOIN e y ON y.src = b AND y.dst = x.dst")
+def e14d(spark, sf):
+    two = table(spark, sf, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("a"), F.concat(F.lit("s"), F.col("s_suppkey") + 1).alias("b"))
+    return g.common_neighbours(edges(spark, sf), two)
 
 
 @query("E15_relation_distribution", f"SELECT type, count(*) AS count FROM {EDGES} GROUP BY 1")

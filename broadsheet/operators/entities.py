@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.functions import text as tx
 from broadsheet.functions import wordlists as wl
+from broadsheet.operators.graph import components
 from broadsheet.operators.relational import count_all, entity_pairs
-from broadsheet.plans.sized import SALTS, attach, salt, with_scalars
-from broadsheet.session import materialize
+from broadsheet.plans.sized import attach, with_scalars
 
 MENTION_PATTERNS = {
     "MONEY": r"[$€£]\s?\d[\d,.]*(?:\s(?:million|billion))?",
@@ -218,89 +218,6 @@ def graph_stats(edges: DataFrame) -> DataFrame:
     return out.withColumns({"density": tx.ratio(F.col("edges"), F.col("nodes") * (F.col("nodes") - 1)), "weakly_connected": F.col("components") == 1})
 
 
-def spread_join(edges: DataFrame, nodes: DataFrame, key: str, other: str) -> DataFrame:
-    """Join node values to edges; a hub's edges are spread over salted copies of the hub's row."""
-    e = edges.withColumn("_salt", salt([other]))
-    v = nodes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return e.join(v, [key, "_salt"]).drop("_salt")
-
-
-def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, cut_every: int = 5) -> DataFrame:
-    """PageRank with the mass of dangling nodes spread over all nodes; the state is written every few rounds."""
-    e = materialize(edges.select("src", "dst").distinct())
-    out = e.groupBy("src").agg(count_all().alias("out"))
-    nodes = e.select(F.col("src").alias("id")).union(e.select("dst")).distinct()
-    ranks = materialize(nodes.join(out.withColumnRenamed("src", "id"), "id", "left"))
-    n = ranks.count()
-    ranks = ranks.withColumn("rank", F.lit(1.0 / n))
-    for i in range(rounds):
-        share = ranks.where("out IS NOT NULL").select(F.col("id").alias("src"), (F.col("rank") / F.col("out")).alias("share"))
-        received = spread_join(e, share, "src", "dst").groupBy("dst").agg(F.sum("share").alias("received"))
-        lost = ranks.agg(F.coalesce(F.sum(F.when(F.col("out").isNull(), F.col("rank"))), F.lit(0.0)).alias("lost"))
-        joined = with_scalars(ranks.select("id", "out").join(received.withColumnRenamed("dst", "id"), "id", "left"), lost)
-        ranks = joined.select("id", "out", ((1 - damping) / n + damping * (F.coalesce("received", F.lit(0.0)) + F.col("lost") / n)).alias("rank"))
-        if (i + 1) % cut_every == 0:
-            ranks = materialize(ranks)
-    return ranks.select("id", "rank")
-
-
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """Weakly connected components labelled by their smallest node: minimum of the neighbours, then of the label's label."""
-    e = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-    both = materialize(e.union(e.select("b", "a")).where("a <> b").distinct())
-    nodes = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
-    labels = materialize(nodes.withColumn("component", F.col("id")))
-    for _ in range(max_rounds):
-        near = spread_join(both, labels.withColumnRenamed("id", "a"), "a", "b").groupBy(F.col("b").alias("id")).agg(F.min("component").alias("_near"))
-        step = labels.join(near, "id", "left").select("id", F.col("component").alias("_old"), F.least("component", F.coalesce("_near", "component")).alias("_c"))
-        jump = step.select(F.col("id").alias("_c"), F.col("_c").alias("_next"))
-        spread = step.withColumn("_salt", salt(["id"]))
-        copies = jump.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        new = materialize(spread.join(copies, ["_c", "_salt"], "left").select("id", F.least("_c", F.coalesce("_next", "_c")).alias("component"), "_old"))
-        labels = new.select("id", "component")
-        if new.where("component <> _old").isEmpty():
-            return labels
-    raise RuntimeError("components did not settle; raise max_rounds")
-
-
-def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """Label propagation with fixed ties: most frequent label among the neighbours, then the smallest."""
-    e = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-    both = materialize(e.union(e.select("b", "a")).where("a <> b").distinct())
-    labels = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct().withColumn("community", F.col("id"))
-    for _ in range(rounds):
-        votes = spread_join(both, labels.withColumnRenamed("id", "a"), "a", "b").groupBy(F.col("b").alias("id"), "community").agg(count_all().alias("n"))
-        best = votes.groupBy("id").agg(F.max("n").alias("n")).join(votes, ["id", "n"]).groupBy("id").agg(F.min("community").alias("_best"))
-        new = materialize(labels.join(best, "id", "left").select("id", F.coalesce("_best", "community").alias("community"), F.col("community").alias("_old")))
-        labels = new.select("id", "community")
-        if new.where("community <> _old").isEmpty():
-            break
-    return labels
-
-
-def find_connections(edges: DataFrame, pairs: DataFrame, max_len: int = 3) -> DataFrame:
-    """Simple directed paths of at most max_len edges for a table of pairs (a, b): a, b, length, path, types.
-
-    Frontiers grow only from the ends named in `pairs`, and the last step joins on both ends.
-    """
-    e = edges.select("src", "dst", "type").dropDuplicates(["src", "dst"])
-    walk = pairs.select("a", "b").where("a <> b").distinct().withColumns({"at": F.col("a"), "path": F.array("a"), "types": F.array().cast("array<string>")})
-    into = e.select(F.col("src").alias("at"), F.col("dst").alias("next"), F.col("type").alias("_t"))
-    found = None
-    for length in range(1, max_len + 1):
-        last = walk.join(into.withColumnRenamed("next", "b"), ["at", "b"]).select(
-            "a", "b", F.lit(length).alias("length"), F.array_append("path", F.col("b")).alias("path"), F.array_append("types", F.col("_t")).alias("types"))
-        found = last if found is None else found.unionByName(last)
-        if length < max_len:
-            walk = walk.join(into, "at").where(~F.array_contains("path", F.col("next")) & (F.col("next") != F.col("b"))).select(
-                "a", "b", F.col("next").alias("at"), F.array_append("path", F.col("next")).alias("path"), F.array_append("types", F.col("_t")).alias("types"))
-    return found
-
-
-def shortest_paths(paths: DataFrame) -> DataFrame:
-    return paths.groupBy("a", "b").agg(F.min("length").alias("distance"), count_all().alias("paths"))
-
-
 def relation_distribution(edges: DataFrame) -> DataFrame:
     return edges.groupBy("type").agg(count_all().alias("count"))
 

@@ -26,8 +26,8 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by:
     Each key of `big` is spread over `salts` sub-keys by a hash of `spread_by`; `small` (unique or
     nearly unique on the key) is repeated once per sub-key.
     """
-    if how not in ("inner", "left", "left_semi"):
-        raise ValueError("salted_join keeps rows of the big side: inner, left or left_semi")
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("salted_join keeps rows of the big side: inner, left, left_semi or left_anti")
     left = big.withColumn("_salt", salt(spread_by, salts))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -227,16 +227,6 @@ def test_chain_overlaps_follow_the_greedy_rule(spark):
     assert got == want
 
 
-def test_graph_measures(spark):
-    edges = spark.createDataFrame([("a", "b", "T", 1.0), ("b", "c", "T", 1.0), ("c", "a", "T", 1.0), ("c", "d", "U", 1.0), ("x", "y", "T", 1.0)], "src string, dst string, type string, confidence double")
-    assert abs(sum(r.rank for r in entities.pagerank(edges, 15).collect()) - 1) < 1e-9
-    comp = {r.id: r.component for r in entities.components(edges).collect()}
-    assert comp["d"] == "a" and comp["y"] == "x"
-    pairs = spark.createDataFrame([("a", "d"), ("a", "y")], "a string, b string")
-    paths = [r.path for r in entities.find_connections(edges, pairs).collect()]
-    assert paths == [["a", "b", "c", "d"]]
-
-
 def test_similar_pairs_equal_brute_force(spark):
     rng = random.Random(11)
     vecs = {}
