@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from broadsheet.operators.relational import count_all, top_k_per_group
 from broadsheet.plans.sized import SALTS, attach, salt
-from broadsheet.session import materialize, shared_dir
+from broadsheet.session import shared_dir, written
 
 #: A source with more edges than this, and than its share of a bucket, is a hub: its edges lie apart, and its value is sent to them.
 HUB_EDGES = 10_000
@@ -41,10 +41,10 @@ class Buckets:
         """Edges of ordinary keys in buckets, those of hubs spread evenly, and the hubs (key, n): at most a few per bucket."""
         total = degrees.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         least = max(HUB_EDGES, total // (8 * self.n)) if hub_edges is None else hub_edges
-        hubs = materialize(degrees.where(F.col("n") > least))
+        hubs = written(degrees.where(F.col("n") > least))
         plain = attach(edges, hubs.select(key), [key], edges.columns, "left_anti")
         many = attach(edges, hubs.select(key), [key], edges.columns, "left_semi")
-        return self.write(plain.repartition(self.n, key), key), materialize(many.repartition(self.n, *edges.columns)), hubs
+        return self.write(plain.repartition(self.n, key), key), written(many.repartition(self.n, *edges.columns)), hubs
 
 
 def _meet(plain: DataFrame, many: DataFrame, hubs: DataFrame, values: DataFrame, key: str) -> DataFrame:
@@ -62,7 +62,7 @@ def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, residual
     buckets of its node, and the one exchange is that of the sums by target, combined before it.
     """
     spark = edges.sparkSession
-    e = materialize(edges.select("src", "dst").distinct())
+    e = written(edges.select("src", "dst").distinct())
     degrees = e.groupBy("src").agg(count_all().alias("n"))
     nodes = e.select(F.col("src").alias("id")).union(e.select("dst")).distinct()
     with Buckets(spark) as b:
@@ -85,7 +85,7 @@ def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, residual
             dangling += _on_dangling(vectors[1:], everyone)
             for _ in range(rounds):
                 constants.append(((1 - damping) + damping * _mass(constants, dangling, n)) / n)
-        return materialize(_combined(vectors, _coefficients(constants, n), everyone).select("id", F.col("x").alias("rank")))
+        return written(_combined(vectors, _coefficients(constants, n), everyone).select("id", F.col("x").alias("rank")))
 
 
 def _on_dangling(vectors: Sequence[DataFrame], everyone: DataFrame) -> list[float]:
@@ -141,7 +141,7 @@ def components(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
     buckets of one end and labels in buckets of their node, so what moves is one label per node and neighbouring task.
     """
     spark = edges.sparkSession
-    both = materialize(both_ways(edges))
+    both = written(both_ways(edges))
     nodes = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
     with Buckets(spark) as b:
         plain, many, hubs = b.split(both, "a", both.groupBy("a").agg(count_all().alias("n")), hub_edges)
@@ -150,11 +150,11 @@ def components(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
             near = _meet(plain, many, hubs, labels, "a").groupBy(F.col("b").alias("id")).agg(F.min("component").alias("near"))
             step = b.write(labels.join(near, "id", "left").select("id", F.col("component").alias("old"), F.least("component", F.coalesce("near", "component")).alias("c")), "id")
             used = step.select(F.col("c").alias("id")).distinct()
-            jumps = materialize(step.join(used, "id").where("c < id").select(F.col("id").alias("c"), F.col("c").alias("next")))
+            jumps = written(step.join(used, "id").where("c < id").select(F.col("id").alias("c"), F.col("c").alias("next")))
             new = b.write(attach(step, jumps, ["c"], ["id"], "left").select("id", F.coalesce("next", "c").alias("component"), "old"), "id")
             labels = new.select("id", "component")
             if new.where("component <> old").isEmpty():
-                return materialize(labels)
+                return written(labels)
 
 
 # ---- communities ---------------------------------------------------------------------------------------------
@@ -168,12 +168,12 @@ def spread_join(edges: DataFrame, nodes: DataFrame, key: str, other: str) -> Dat
 
 def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
     """Label propagation with fixed ties: most frequent label among the neighbours, then the smallest. The cheap form."""
-    both = materialize(both_ways(edges))
+    both = written(both_ways(edges))
     labels = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct().withColumn("community", F.col("id"))
     for _ in range(rounds):
         votes = spread_join(both, labels.withColumnRenamed("id", "a"), "a", "b").groupBy(F.col("b").alias("id"), "community").agg(count_all().alias("n"))
         best = votes.groupBy("id").agg(F.max("n").alias("n")).join(votes, ["id", "n"]).groupBy("id").agg(F.min("community").alias("_best"))
-        new = materialize(labels.join(best, "id", "left").select("id", F.coalesce("_best", "community").alias("community"), F.col("community").alias("_old")))
+        new = written(labels.join(best, "id", "left").select("id", F.coalesce("_best", "community").alias("community"), F.col("community").alias("_old")))
         labels = new.select("id", "community")
         if new.where("community <> _old").isEmpty():
             break
@@ -204,7 +204,7 @@ def _moved_once(both: DataFrame, labels: DataFrame, degrees: DataFrame, weight:
     placed = labels.join(degrees, "id")
     totals = placed.groupBy("community").agg(F.sum("k").alias("total"))
     own = placed.select("id", F.col("community").alias("old"), "k")
-    options = attach(near.unionByName(own.select("id", F.col("old").alias("community"), F.lit(0.0).alias("to"))).groupBy("id", "community").agg(F.sum("to").alias("to")), materialize(totals), ["community"], ["id"]).join(own, "id")
+    options = attach(near.unionByName(own.select("id", F.col("old").alias("community"), F.lit(0.0).alias("to"))).groupBy("id", "community").agg(F.sum("to").alias("to")), written(totals), ["community"], ["id"]).join(own, "id")
     others = F.col("total") - F.when(F.col("community") == F.col("old"), F.col("k")).otherwise(0.0)
     gain = F.col("to") - F.col("k") * others / weight
     scored = options.select("id", "community", "old", F.round(gain, 9).alias("gain"))
@@ -213,25 +213,25 @@ def _moved_once(both: DataFrame, labels: DataFrame, degrees: DataFrame, weight:
     return best.select("id", F.when(moves, F.col("best")).otherwise(F.col("old")).alias("community"), "old")
 
 
-def communities_by_modularity(edges: DataFrame, levels: int = 10, turns: int = 6, least: float = 2e-3) -> tuple[DataFrame, float]:
+def communities_by_modularity(edges: DataFrame, levels: int = 10, turns: int = 8, least: float = 1e-3) -> tuple[DataFrame, float]:
     """id, community (named by its smallest node), and the modularity of that division.
 
     On each level nodes move between neighbouring communities while modularity rises; then every community becomes one node,
     its inner edges a loop, and the next level works on that smaller graph, until a level brings no more than `least`. A level ends after
     two turns that brought less than that, and keeps its best labels.
     """
-    both = materialize(weighted_both_ways(edges))
-    place = materialize(both.select(F.col("a").alias("id")).distinct().withColumn("node", F.col("id")))  # the node of the present level that holds each node
+    both = written(weighted_both_ways(edges))
+    place = written(both.select(F.col("a").alias("id")).distinct().withColumn("node", F.col("id")))  # the node of the present level that holds each node
     weight = both.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
     if not weight:
         return place.select("id", F.col("node").alias("community")), 0.0
     reached = modularity(both, place.select("id", F.col("node").alias("community"))).first()[0]
     for _ in range(levels):
-        degrees = materialize(both.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k")))
+        degrees = written(both.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k")))
         labels = degrees.select("id", F.col("id").alias("community"))
         best, start, still = labels, reached, 0
         for turn in range(turns):
-            new = materialize(_moved_once(both, labels, degrees, weight, turn))
+            new = written(_moved_once(both, labels, degrees, weight, turn))
             labels = new.select("id", "community")
             changed = not new.where("community <> old").isEmpty()
             value = modularity(both, labels).first()[0] if changed else reached
@@ -242,13 +242,13 @@ def communities_by_modularity(edges: DataFrame, levels: int = 10, turns: int = 6
                 break
         if reached <= start + least:
             break
-        names = materialize(best.groupBy("community").agg(F.min("id").alias("name")))
-        best = materialize(attach(best, names, ["community"], ["id"]).select("id", "name"))
-        place = materialize(attach(place, best.withColumnRenamed("id", "node"), ["node"], ["id"]).select("id", F.col("name").alias("node")))
+        names = written(best.groupBy("community").agg(F.min("id").alias("name")))
+        best = written(attach(best, names, ["community"], ["id"]).select("id", "name"))
+        place = written(attach(place, best.withColumnRenamed("id", "node"), ["node"], ["id"]).select("id", F.col("name").alias("node")))
         ends = attach(both, best.select(F.col("id").alias("a"), F.col("name").alias("na")), ["a"], ["b"])
         ends = attach(ends, best.select(F.col("id").alias("b"), F.col("name").alias("nb")), ["b"], ["a"])
-        both = materialize(ends.groupBy(F.col("na").alias("a"), F.col("nb").alias("b")).agg(F.sum("w").alias("w")))
-    smallest = materialize(place.groupBy("node").agg(F.min("id").alias("community")))
+        both = written(ends.groupBy(F.col("na").alias("a"), F.col("nb").alias("b")).agg(F.sum("w").alias("w")))
+    smallest = written(place.groupBy("node").agg(F.min("id").alias("community")))
     return attach(place, smallest, ["node"], ["id"]).select("id", "community"), reached
 
 
@@ -280,22 +280,22 @@ def find_connections(edges: DataFrame, pairs: DataFrame, max_len: int = 3, hub_e
     Paths grow from the starts along the edges and from the ends against them, at each step on the side where the counted
     degrees promise less, and the halves meet on their common node. Ends that occur in many pairs are followed once.
     """
-    e = materialize(edges.select("src", "dst", "type").dropDuplicates(["src", "dst"]).where("src <> dst"))
-    out, into = (materialize(e.groupBy(F.col(c).alias("at")).agg(count_all().alias("degree"))) for c in ("src", "dst"))
-    hubs = {f: materialize(d.where(F.col("degree") > hub_edges).select(F.col("at").alias("id"))) for f, d in ((True, out), (False, into))}
-    asked = materialize(pairs.select("a", "b").where("a <> b").distinct())
+    e = written(edges.select("src", "dst", "type").dropDuplicates(["src", "dst"]).where("src <> dst"))
+    out, into = (written(e.groupBy(F.col(c).alias("at")).agg(count_all().alias("degree"))) for c in ("src", "dst"))
+    hubs = {f: written(d.where(F.col("degree") > hub_edges).select(F.col("at").alias("id"))) for f, d in ((True, out), (False, into))}
+    asked = written(pairs.select("a", "b").where("a <> b").distinct())
     nothing = F.array().cast("array<string>")
 
     def ends(column: str) -> DataFrame:
-        return materialize(asked.select(F.col(column).alias("end")).distinct().select("end", F.col("end").alias("at"), F.array("end").alias("path"), nothing.alias("types")))
+        return written(asked.select(F.col(column).alias("end")).distinct().select("end", F.col("end").alias("at"), F.array("end").alias("path"), nothing.alias("types")))
 
     ahead, behind = [ends("a")], [ends("b")]  # by length
     found = None
     for length in range(1, max_len + 1):
         if _work(ahead[-1], out) <= _work(behind[-1], into):
-            ahead.append(materialize(_longer(ahead[-1], e, hubs[True], True)))
+            ahead.append(written(_longer(ahead[-1], e, hubs[True], True)))
         else:
-            behind.append(materialize(_longer(behind[-1], e, hubs[False], False)))
+            behind.append(written(_longer(behind[-1], e, hubs[False], False)))
         left = ahead[-1].select(F.col("end").alias("a"), "at", F.col("path").alias("p1"), F.col("types").alias("t1"))
         right = behind[-1].select(F.col("end").alias("b"), "at", F.col("path").alias("p2"), F.col("types").alias("t2"))
         later = F.slice("p2", 2, F.greatest(F.size("p2") - 1, F.lit(0)))
@@ -317,7 +317,7 @@ def smallest_paths(paths: DataFrame, k: int = 10) -> DataFrame:
 
 def common_neighbours(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """a, b, node: nodes to which edges lead from both ends of a pair."""
-    e = materialize(edges.select("src", "dst").distinct())
+    e = written(edges.select("src", "dst").distinct())
     asked = pairs.select("a", "b").where("a <> b").distinct()
     one = asked.join(e.select(F.col("src").alias("a"), F.col("dst").alias("node")), "a")
     return one.join(e.select(F.col("src").alias("b"), F.col("dst").alias("node")), ["b", "node"]).select("a", "b", "node")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -62,3 +63,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it back, so that lost executors never force a recompute."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back.
+
+    For loops: a checkpoint hands on what the optimiser knows of its columns, which grows with every round; a table does not."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
