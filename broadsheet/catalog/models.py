@@ -24,9 +24,10 @@ def prepared(spark, sf):
     if key not in _CACHE:
         d = articles(spark, sf, "lang").select("doc_id", "lang", tx.word_tokens("text").alias("tokens"))
         split = r.stratified_split(d, "lang", "doc_id")
-        tfidf = ft.fit_tfidf(d, "doc_id", "tokens", max_features=500, lo=1, hi=1)
+        train = split.where("split = 'train'")
+        tfidf = ft.fit_tfidf(train, "doc_id", "tokens", max_features=500, lo=1, hi=1, sub=False)  # counts x idf, as the vectors have it
         from pyspark.ml import Pipeline
-        stages = Pipeline(stages=ft.vector_stages(tfidf, "tokens")).fit(d)
+        stages = Pipeline(stages=ft.vector_stages(tfidf, "tokens")).fit(train)
         data = materialize(stages.transform(split).select("doc_id", "lang", "split", "tokens", "features"))
         _CACHE[key] = (data, tfidf, {})
     return _CACHE[key]

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from broadsheet.functions import text as tx
 from broadsheet.functions import wordlists as wl
 from broadsheet.operators.graph import components
 from broadsheet.operators.relational import count_all, entity_pairs
-from broadsheet.plans.sized import attach, with_scalars
+from broadsheet.plans.sized import with_scalars
+from broadsheet.session import written
 
 MENTION_PATTERNS = {
     "MONEY": r"[$€£]\s?\d[\d,.]*(?:\s(?:million|billion))?",
@@ -55,21 +59,76 @@ def _labelled(label: str, confidence: float):
     return add
 
 
-def gazetteer_mentions(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame, longest: int = 4, confidence: float = 0.95) -> DataFrame:
-    """Names of a (name, label) table of any size, matched on 1..longest word n-grams with their offsets."""
-    rows = df.select(F.col(id_col).alias("doc_id"), F.posexplode(measured(F.col(text_col), tx.WORD_TOKEN)).alias("pos", "m")).select("doc_id", "pos", "m.*")
-    placed = with_offsets(rows, ["doc_id"])
-    doc = Window.partitionBy("doc_id").orderBy("pos")  # the words of one document
-    following = [F.struct(F.lead("text", i).over(doc).alias("text"), F.lead("end", i).over(doc).alias("end")) for i in range(longest)]
-    ahead = placed.withColumns({f"_w{i}": c for i, c in enumerate(following)})
-    grams = []
-    for n in range(1, longest + 1):
-        text = F.concat_ws(" ", *[F.col(f"_w{i}.text") for i in range(n)])
-        grams.append(F.when(F.col(f"_w{n - 1}.text").isNotNull(), F.struct(F.lower(text).alias("name"), text.alias("text"), F.col("start"), F.col(f"_w{n - 1}.end").alias("end"))))
-    long = ahead.select("doc_id", F.inline(F.array_compact(F.array(*grams))))
-    names = gazetteer.select(F.lower("name").alias("name"), "label").dropDuplicates(["name"])
-    found = attach(long, names, ["name"], ["doc_id", "start"])
-    return found.select("doc_id", "text", "label", "start", "end", F.lit(confidence).alias("confidence"), F.lit("gazetteer").alias("source"))
+#: Names whose trie travels to the tasks at once; a larger gazetteer goes in as many passes as it has shards of this size.
+SHARD_NAMES = 200_000
+
+
+class NameTrie:
+    """Names as sequences of words. A node is a dictionary of word numbers; its label, if a name ends there, stands under -1."""
+
+    def __init__(self, names: Sequence[tuple[str, str]]):
+        numbers: dict[str, int] = {}
+        self.root: dict = {}
+        for name, label in names:
+            node = self.root
+            for word in name.split(" "):
+                node = node.setdefault(numbers.setdefault(word, len(numbers)), {})
+            node[-1] = label
+        self.words = pa.array(list(numbers), pa.string())
+
+    def found(self, words: np.ndarray, stop: np.ndarray) -> Iterator[tuple[int, int, str]]:
+        """First word, last word and label of every name, overlapping ones too. words: numbers, below zero if in no name; stop: the end of each word's text."""
+        leads = np.zeros(len(self.words) + 1, dtype=bool)
+        leads[list(self.root)] = True
+        for first in np.flatnonzero(leads[words]).tolist():  # -1 looks at the last flag, which is off
+            node, at, end = self.root, first, int(stop[first])
+            while at < end and (node := node.get(int(words[at]))) is not None and words[at] >= 0:
+                if -1 in node:
+                    yield first, at, node[-1]
+                at += 1
+
+
+def gazetteer_mentions(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame, confidence: float = 0.95, shard_names: int = SHARD_NAMES) -> DataFrame:
+    """Names of a (name, label) table, of any number of words and in any letter case, with their offsets.
+
+    Texts are cut into words where they lie and walk a trie of names there; they are never shuffled. The trie is shipped in shards of
+    a counted size, one pass over the texts for each.
+    """
+    names = written(gazetteer.select(F.lower("name").alias("name"), "label").where("name <> ''").dropDuplicates(["name"]))
+    shards = max(1, -(-names.count() // shard_names))
+    words = F.transform(measured(F.col(text_col), tx.WORD_TOKEN), lambda m: F.struct(m["text"].alias("text"), F.lower(m["text"]).alias("low"), m["step"].alias("step")))
+    rows = df.select(F.col(id_col).alias("doc_id"), words.alias("words"))
+    schema = T.StructType([rows.schema["doc_id"], *T._parse_datatype_string("text string, label string, start int, end int").fields])
+    out = None
+    for shard in range(shards):
+        own = names.where(F.pmod(F.xxhash64("name"), F.lit(shards)) == shard).collect()  # about shard_names
+        share = df.sparkSession.sparkContext.broadcast(NameTrie([(r["name"], r["label"]) for r in own]))
+
+        def run(batches: Iterator[pa.RecordBatch], share=share) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield _names_in(batch, share.value, schema.names)
+
+        found = rows.mapInArrow(run, schema)
+        out = found if out is None else out.unionByName(found)
+    return out.select("doc_id", "text", "label", "start", "end", F.lit(confidence).alias("confidence"), F.lit("gazetteer").alias("source"))
+
+
+def _names_in(batch: pa.RecordBatch, trie: NameTrie, columns: list[str]) -> pa.RecordBatch:
+    lists = batch.column("words")
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    text, low, steps = (flat.field(c) for c in ("text", "low", "step"))
+    numbers = pc.fill_null(pc.index_in(low, value_set=trie.words), -1).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    last = np.cumsum(lengths)
+    run = np.concatenate([[0], np.cumsum(steps.to_numpy(zero_copy_only=False).astype(np.int64))])
+    ends = run[1:] - run[(last - lengths)[row]] if len(row) else run[1:]
+    starts = ends - pc.utf8_length(text).to_numpy(zero_copy_only=False)
+    hits = list(trie.found(numbers, last[row])) if len(row) else []
+    a, b = np.array([h[0] for h in hits], dtype=np.int64), np.array([h[1] for h in hits], dtype=np.int64)
+    names = [" ".join(text.slice(i, j - i + 1).to_pylist()) for i, j, _ in hits]
+    return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row[a])), pa.array(names, pa.string()), pa.array([h[2] for h in hits], pa.string()), pa.array(starts[a].astype(np.int32)),
+                                       pa.array(ends[b].astype(np.int32))], names=columns)
 
 
 def extract_mentions(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame | None = None, patterns: Mapping[str, str] = MENTION_PATTERNS) -> DataFrame:

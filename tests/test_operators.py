@@ -372,6 +372,42 @@ def test_similarity_features_with_a_reference_of_any_size(spark):
         assert got == sorted((i % 39, *(round(float(x), 9) for x in (s[i].max(), s[i].mean(), s[i].std(), np.median(s[i])))) for i in range(40))
 
 
+@pytest.mark.parametrize("shard", [200_000, 4])
+def test_names_of_any_number_of_words_equal_brute_force(spark, shard):
+    import re
+    rng = random.Random(12)
+    vocabulary = ["north", "South", "bank", "of", "the", "Straße", "O'Neil", "x-1", "é", "日本"]
+    names = sorted({" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 8))) for _ in range(12)} | {"bank of the North", "Bank Of", "of the north south bank of the x-1"})
+    texts = [(i, "".join(rng.choice(vocabulary) + rng.choice([" ", ", ", "\n", " -> "]) for _ in range(rng.randrange(60)))) for i in range(40)]
+    texts += [(90, "the Bank OF THE north; of the north south bank of the X-1"), (91, ""), (92, None)]
+    labels = {n.lower(): "L" + str(len(n) % 3) for n in names}
+    want = set()
+    for i, t in texts:
+        w = list(re.finditer(r"[\w'-]+", t or ""))
+        for a in range(len(w)):
+            for b in range(a, len(w)):
+                label = labels.get(" ".join(m[0] for m in w[a:b + 1]).lower())
+                if label:
+                    want.add((i, " ".join(m[0] for m in w[a:b + 1]), label, w[a].start(), w[b].end()))
+    gazetteer = spark.createDataFrame([(n, "L" + str(len(n) % 3)) for n in names] + [("", "none")], "name string, label string")
+    got = entities.gazetteer_mentions(spark.createDataFrame(texts, "id bigint, text string"), "id", "text", gazetteer, shard_names=shard)
+    assert {tuple(r)[:5] for r in got.collect()} == want and any(len(x[1].split()) > 4 for x in want)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_explained_values_are_those_of_the_fitted_vectors(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from broadsheet.operators import features
+    rng = random.Random(3)
+    df = spark.createDataFrame([(i, [rng.choice("abcdefg") for _ in range(rng.randrange(1, 15))]) for i in range(40)], "id bigint, tokens array<string>")
+    model = features.fit_tfidf(df.where("id < 30"), "id", "tokens", max_features=5, lo=1, hi=1, sub=False)
+    names = features.vocabulary_list(model)
+    vectors = Pipeline(stages=features.vector_stages(model, "tokens")).fit(df).transform(df).select("id", vector_to_array("features").alias("v")).collect()
+    want = {(r.id, t): round(x, 9) for r in vectors for t, x in zip(names, r.v) if x}
+    assert {(r.id, r.term): round(r.tfidf, 9) for r in model.transform(df, "id", "tokens").collect()} == want
+
+
 def test_cooccurrence_of_all_names_equals_brute_force(spark):
     from collections import Counter
     from itertools import combinations
