@@ -85,10 +85,10 @@ class Filter:
         self.table, self.bits = table, bits
 
     @classmethod
-    def of(cls, hashes: DataFrame) -> Filter:
-        """Of the column hash; the bits of one word of the table are gathered by Spark, at most 2**MOST_BITS / 64 words come back."""
+    def of(cls, hashes: DataFrame, bits_each: int = BITS_EACH) -> Filter:
+        """Of the column hash, with about `bits_each` bits for each; the bits of one word of the table are gathered by Spark, at most 2**MOST_BITS / 64 words come back."""
         n = hashes.count()
-        bits = min(MOST_BITS, max(16, int(n * BITS_EACH).bit_length()))
+        bits = min(MOST_BITS, max(16, int(n * bits_each).bit_length()))
         slots = hashes.select(F.explode(F.array(F.shiftrightunsigned("hash", 64 - bits), F.col("hash").bitwiseAND(F.lit((1 << bits) - 1)))).alias("slot"))
         found = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("set")).toPandas()
         table = np.zeros(1 << bits - 6, dtype=np.uint64)

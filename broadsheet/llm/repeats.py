@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from broadsheet.llm.common import spread, stored, text_of
+from broadsheet.llm.decontaminate import Filter
 from broadsheet.llm.minhash import parts
 from broadsheet.llm.shingles import mix, run_hashes, seeds, words_in_place
 
@@ -19,6 +21,9 @@ MIN_WORDS = 8
 #: is taken. Passages of RUN + NEAR - 1 atoms that are equal have a unit in common, and their units leave no gap between them.
 RUN, NEAR = 12, 12
 
+#: Bits of the filter for each digest that occurs twice.
+BITS_EACH = 16
+
 _ENDS = np.frombuffer(b".!?", np.uint8)
 
 
@@ -119,21 +124,37 @@ def unit_ranges(texts: pa.Array, least: int) -> tuple[np.ndarray, np.ndarray, np
     return of, points[first_byte] - zero, points[last_byte] - zero, words, out[0], out[1]
 
 
-def units(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
-    """key (of the row), doc_id, start, end, words, hi, lo: all units of all texts."""
-    rows = spread(docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")), "doc_id").select(
-        "doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    schema = T.StructType([rows.schema["key"], rows.schema["doc_id"], *T._parse_datatype_string("start int, end int, words int, hi long, lo long").fields])
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, key (of the row), text; a null text counts as empty."""
+    rows = spread(docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")), "doc_id")
+    return rows.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+
+
+def unit_counts(texts: DataFrame, least: int) -> DataFrame:
+    """hash, n: how often the units with the first half of a digest occur; counted in each batch, then by Spark."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in parts(batch):
+                hashes, n = np.unique(unit_ranges(part.column("text"), least)[4], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["hash", "n"])
+
+    return texts.select("text").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def units(texts: DataFrame, wanted: Broadcast, least: int) -> DataFrame:
+    """key, doc_id, start, end, words, hi, lo: the units of all texts that the filter lets pass."""
+    schema = T.StructType([texts.schema["key"], texts.schema["doc_id"], *T._parse_datatype_string("start int, end int, words int, hi long, lo long").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch):
-                text, start, end, words, hi, lo = unit_ranges(part.column("text"), least)
+                found = unit_ranges(part.column("text"), least)
+                text, start, end, words, hi, lo = (x[wanted.value.passing(found[4])] for x in found)
                 at = pa.array(text)
                 yield pa.RecordBatch.from_arrays([part.column("key").take(at), part.column("doc_id").take(at), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)),
                                                   pa.array(words.astype(np.int32)), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64))], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)
 
 
 def row_key(who, text):
@@ -147,15 +168,20 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Units with the same normalised words (white space collapsed, A-Z lower-cased) are one group by a 128-bit digest; the
     occurrence with the smallest identifier (nulls last), then the smallest start, stays, the others are listed with their
     offsets in the original text, code points, end exclusive. Where an occurrence overlaps the one that stays, only what is
-    beyond it is listed. Groups are counted before they shuffle, and only repeated digests are joined back,
-    a join whose hot digests Spark splits. Null and empty texts have no units; rows that repeat identifier and text
-    are one row here; an empty table gives no rows; other columns are ignored.
+    beyond it is listed. Texts are cut into units twice: the first time only half of the digest is counted, and a bit
+    table of bounded size then lets through what may be repeated; only that is stored, grouped by the whole digest and
+    joined back, a join whose hot digests Spark splits. Null and empty texts have no units; rows that repeat identifier and
+    text are one row here; an empty table gives no rows; other columns are ignored.
     """
-    found = stored(units(docs, id_col, text_col, least), "units")
+    texts = texts_of(docs, id_col, text_col)
+    twice = stored(unit_counts(texts, least).where("n > 1").select("hash"), "unit-hashes")
+    wanted = docs.sparkSession.sparkContext.broadcast(Filter.of(twice, BITS_EACH))
+    found = stored(units(texts, wanted, least), "units")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", "end", "key")
     groups = stored(found.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("first")).where("copies > 1"), "unit-groups")
-    joined = found.join(groups, ["hi", "lo"]).where(~((F.col("key") == F.col("first.key")) & (F.col("start") == F.col("first.start"))))
-    start = F.when(F.col("key") == F.col("first.key"), F.greatest("start", "first.end")).otherwise(F.col("start"))
+    same = (F.col("key") == F.col("first.key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    joined = found.join(groups, ["hi", "lo"]).where(~(same & (F.col("start") == F.col("first.start"))))
+    start = F.when(same, F.greatest("start", "first.end")).otherwise(F.col("start"))
     return joined.select("key", "doc_id", start.alias("start"), "end", "words", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"), "copies").where("start < end")
 
 
@@ -163,8 +189,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per text with repeats: key, doc_id, spans (array of start, end, in order, merged also over a
     single white space), n_units, n_removed (code points), first_doc_ids."""
     removed = repeated_units(docs, id_col, text_col, least)
-    by_text = removed.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.collect_set(F.struct("start", "end")).alias("units"), F.count_distinct("start", "end").alias("n_units"),
-                                         F.collect_set("first_doc_id").alias("first_doc_ids"))  # bounded by the length of the text
+    by_text = removed.groupBy("key", "doc_id").agg(F.collect_set(F.struct("start", "end")).alias("units"), F.collect_set("first_doc_id").alias("first_doc_ids"))  # bounded by the length of the text
     nothing = F.array().cast("array<struct<start:int,end:int>>")
 
     def merge(acc, u):
@@ -172,7 +197,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], u["end"]).alias("end"))))
         return F.when((F.size(acc) > 0) & (u["start"] <= F.get(acc, F.size(acc) - 1)["end"] + 1), joined).otherwise(F.concat(acc, F.array(u)))
 
-    return by_text.select("key", "doc_id", F.aggregate(F.array_sort("units"), nothing, merge).alias("spans"), "n_units", F.array_sort("first_doc_ids").alias("first_doc_ids")).select(
+    return by_text.select("key", "doc_id", F.aggregate(F.array_sort("units"), nothing, merge).alias("spans"), F.size("units").cast("long").alias("n_units"), F.array_sort("first_doc_ids").alias("first_doc_ids")).select(
         "key", "doc_id", "spans", "n_units", F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"]).cast("long").alias("n_removed"), "first_doc_ids")
 
 
@@ -182,7 +207,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A text without repeats is kept whole; one that consists of repeats becomes empty; a null text counts as empty.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("key", row_key(F.col("doc_id"), F.col("text")))
-    joined = rows.join(repeated_spans(docs, id_col, text_col, least).select("key", "spans"), "key", "left")
+    spans = repeated_spans(docs, id_col, text_col, least).select(F.col("key").alias("row_key"), F.col("doc_id").alias("row_id"), "spans")
+    joined = rows.join(spans, (F.col("key") == F.col("row_key")) & F.col("doc_id").eqNullSafe(F.col("row_id")), "left")
     n = F.char_length("text")
     starts = F.concat(F.array(F.lit(0)), F.coalesce(F.transform("spans", lambda s: s["end"]), F.array().cast("array<int>")))
     ends = F.concat(F.coalesce(F.transform("spans", lambda s: s["start"]), F.array().cast("array<int>")), F.array(n))
