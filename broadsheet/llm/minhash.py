@@ -18,8 +18,14 @@ BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 #: Bits of the odd sketch, in words of 64.
 SKETCH_WORDS = 8
-#: Members outside the largest component of a bucket that are compared with all of it at once; doubled from round to round.
-FIRST_REST = 2
+#: Most bits of the parity bitmap of a whole set (8 kB); a set has two bits for each shingle, or a few more, up to there.
+MOST_BITS = 1 << 16
+#: Members outside the largest component of a bucket that are compared with all of it at once: in the first round, and in the second, doubled from there on.
+FIRST_REST, REST = 2, 1024
+#: Members of a bucket in one block.
+BLOCK = 4096
+#: Components in which a member proposes partners at once, and partners in each; four times as many from visit to visit.
+PROPOSALS = 4
 
 
 def most_odd_bits(similarity: float, tail: float) -> int:
@@ -35,23 +41,35 @@ def most_odd_bits(similarity: float, tail: float) -> int:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """id, n (distinct shingles), digest (of the whole set), bands (longs), odd (longs of the sketch); whole texts."""
+    """id, n (distinct shingles), digest (of the whole set), bands (longs), odd (longs of the sketch), parity (longs of the bitmap of the whole set); whole texts."""
     narrow = spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), "id")
     id_type = narrow.schema["id"].dataType
     schema = T.StructType([T.StructField("id", id_type), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
-                           T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("odd", T.ArrayType(T.LongType()))])
+                           T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("odd", T.ArrayType(T.LongType())), T.StructField("parity", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch):
                 ids, texts = part.column(0), part.column(1)
-                n, digests, bands, odd, _ = sketch_texts(texts, size)
+                n, digests, bands, odd, sets = sketch_texts(texts, size)
+                maps = [parity_bitmap(s) for s in sets]
+                ends = np.concatenate([[0], np.cumsum([len(m) for m in maps])]).astype(np.int32)
+                parity = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *maps])))
                 listed = [pa.ListArray.from_arrays(pa.array(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32)), pa.array(m.reshape(-1).view(np.int64))) for m in (bands, odd)]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(digests, pa.binary()), *listed], names=["id", "n", "digest", "bands", "odd"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(digests, pa.binary()), *listed, parity], names=schema.names)
 
     return narrow.mapInArrow(run, schema)
 
 
+def parity_bitmap(items: np.ndarray) -> np.ndarray:
+    """An odd sketch of a whole set, as longs: each item flips one bit, so two bitmaps differ in at most as many bits as the sets differ in items.
+
+    That bound is exact, whatever collides. Its size is a power of two; a larger one folds to a smaller one by the XOR of its halves.
+    """
+    bits = min(MOST_BITS, 1 << max(9, (2 * len(items) - 1).bit_length())) if len(items) else 64
+    return np.packbits((np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def parts(batch: pa.RecordBatch, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about `most` bytes of text, each a copy: some kernels go wrong on slices that were cast."""
     step = max(1, int(len(batch) * most / max(1, batch.nbytes)))
@@ -142,8 +160,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows with the same set are one class, found by digest and represented by their smallest identifier; only classes
     are compared. Classes that share a band of MinHash values meet in a bucket. A bucket does not emit all its pairs: it
     compares its members with one pivot, the one that shares most bands with others; what is then still outside the
-    largest component of the bucket is compared with all members once it is few (FIRST_REST, doubled each round), else the
-    next pivot follows, until no two components of a bucket are left uncompared. Pairs pass the odd sketches, then the full sets; only confirmed pairs link.
+    largest component of the bucket is compared with all members once it is few (REST, doubled each round), else the next pivot
+    follows. That comparison runs over blocks of sketches and yields only the best partners of a member in other components; the
+    bucket is visited again, with more partners each time, until none was left out. Pairs pass the odd sketches, then a bound
+    by parity bitmaps of the whole sets, which is exact, then the full sets; only confirmed pairs link.
 
     Columns: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id). Words are
     runs without white space, A-Z lower-cased; fewer words than `size` are one shingle; a null text or one without words
@@ -152,7 +172,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     seen = stored(sketches(docs, id_col, text_col, size), "sketches")
     # stored once: the row numbers stay what they are
-    classes = stored(seen.where("n > 0").groupBy("digest").agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd"))
+    classes = stored(seen.where("n > 0").groupBy("digest").agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd"), F.first("parity").alias("parity"))
                      .withColumn("node", F.monotonically_increasing_id()), "classes")
     members = classes.select("node", F.explode("bands").alias("key"))
     # what is joined by bucket is written first: only then can Spark split the exchange of a hot bucket
@@ -175,36 +195,48 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
     """Confirmed links (a, b) that connect what is similar; None if no two classes share a bucket."""
     if buckets.limit(1).count() == 0:
         return None
-    sketch = classes.select("node", "n", "odd")
-    wanted = buckets.select("node").distinct().join(classes.select("node", "low", F.col("digest").alias("want")), "node")
+    sketch = classes.select("node", "n", "odd", "parity")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = stored(shingle_sets(wanted.join(texts, F.col("id").eqNullSafe(F.col("low"))), size).dropDuplicates(["node"]), "sets")
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        wanted = nodes.join(classes.select("node", "low", F.col("digest").alias("want")), "node")
+        return stored(shingle_sets(wanted.join(texts, F.col("id").eqNullSafe(F.col("low"))), size).dropDuplicates(["node"]), "sets")
+
     limit, far_limit = most_odd_bits(percent / 100, 5.0), most_odd_bits(max(0.0, 2 * percent / 100 - 1), 5.0)
     # a text that others were copied from shares more bands with more of them than the copies do with each other
     degree = stored(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
     open_ = stored(buckets.join(degree, "node").select("key", "node", "degree", F.lit(0).alias("level"), F.col("node").alias("comp")), "open")
-    links, rest, first, turn = None, FIRST_REST, True, 0
+    links, sets, rest, proposals, turn = None, None, FIRST_REST, PROPOSALS, 0
     while True:
         # the largest component of a bucket, how many members are outside it, and the pivot: the member with most company
         pivot = F.max(F.struct("degree", "node", "comp")).alias("pivot")
-        if first:  # all components are single members
-            whole = open_.groupBy("key").agg(F.count(F.lit(1)).alias("all"), pivot).select("key", F.col("pivot.node").alias("main"), (F.col("all") - 1).alias("outside"), "pivot")
+        if turn == 0:  # all components are single members
+            whole = open_.groupBy("key").agg(F.count(F.lit(1)).alias("all"), pivot).select("key", "all", F.col("pivot.node").alias("main"), (F.col("all") - 1).alias("outside"), "pivot")
         else:
             sizes = open_.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), pivot)
             whole = sizes.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("main"), F.max("pivot").alias("pivot")).select(
-                "key", F.col("main.comp").alias("main"), (F.col("all") - F.col("main.c")).alias("outside"), "pivot")
-        whole = stored(whole.where("outside > 0").select("key", "main", "outside", F.col("pivot.node").alias("pivot"), F.col("pivot.comp").alias("pivot_comp")), "whole")
+                "key", "all", F.col("main.comp").alias("main"), (F.col("all") - F.col("main.c")).alias("outside"), "pivot")
+        whole = stored(whole.where("outside > 0").select("key", "all", "main", "outside", F.col("pivot.node").alias("pivot"), F.col("pivot.comp").alias("pivot_comp")), "whole")
         placed = stored(open_.join(whole, "key"), "placed")
         few = F.col("outside") <= rest
         others = placed.where(~few & (F.col("node") != F.col("pivot")))
         # what is in the component of the pivot already needs no comparison with it
         star = stored(_scored(others.where(F.col("comp") != F.col("pivot_comp")).select("key", "node", "degree", "level", F.col("pivot").alias("other")), sketch, percent), "star")
-        outside = placed.where(few & (F.col("comp") != F.col("main"))).select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
-        inside = placed.where(few).select("key", "node", "comp", "main")
-        # a pair of two outside members comes from its smaller one only
-        by_rest = inside.join(outside, "key").where((F.col("comp") != F.col("other_comp")) & ((F.col("comp") == F.col("main")) | (F.col("node") < F.col("other"))))
-        likely = _pairs(star.where(F.col("odd") <= limit)).unionByName(_pairs(_scored(_pairs(by_rest).select(F.col("a").alias("node"), F.col("b").alias("other")), sketch, percent).where(F.col("odd") <= limit)))
-        confirmed = stored(_confirm(likely.distinct(), sketch, sets, percent), "confirmed")
+        likely = _pairs(star.where(F.col("odd") <= limit))
+        inside = placed.where(few).select("key", "node", "comp", "main", "all")
+        if turn == 0:  # buckets of two or three members
+            second = inside.select("key", F.col("node").alias("other"))
+            small = _pairs(inside.select("key", "node").join(second, "key").where(F.col("node") < F.col("other")))
+            likely = likely.unionByName(_pairs(_scored(small.select(F.col("a").alias("node"), F.col("b").alias("other")), sketch, percent).where(F.col("odd") <= limit)))
+            likely, unfinished = _possible(likely.distinct(), sketch, percent), None
+        else:
+            proposed = stored(_proposals(inside, sketch, limit, percent, proposals), "proposed")
+            likely = _possible(likely, sketch, percent).unionByName(proposed.where("a IS NOT NULL").select("a", "b")).distinct()
+            unfinished = placed.join(proposed.where("more").select("key").distinct(), "key", "left_semi").select("key", "node", "degree", "level")
+        likely = stored(likely, "likely")
+        nodes = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+        sets = sets_of(nodes) if sets is None else sets.unionByName(sets_of(nodes.join(sets.select("node"), "node", "left_anti")))
+        confirmed = stored(_confirm(likely, sketch, sets, percent), "confirmed")
         links = confirmed if links is None else links.unionByName(confirmed)
         # Jaccard distance is a metric: what is twice the distance of a link away from the pivot links to nothing that the pivot
         # links to. It leaves the bucket and goes on in a bucket with all that has no link of its own to the pivot, members of the
@@ -215,18 +247,86 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
         moved = unlinked.join(links.select("a", "b").distinct(), ["a", "b"], "left_anti").select(F.xxhash64("key", F.lit("far"), F.lit(turn)).alias("key"), "node", "degree", F.lit(1).alias("level"))
         moved = stored(moved, "moved")
         again = stored(moved.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared")
-        left = stored(stay.unionByName(moved.join(again, "key", "left_semi")), "left")
+        left = stay.unionByName(moved.join(again, "key", "left_semi"))
+        left = stored(left if unfinished is None else left.unionByName(unfinished), "left")
         if left.limit(1).count() == 0:
             return links
         comps = components(links)
         open_ = stored(left.join(comps, "node", "left").select("key", "node", "degree", "level", F.coalesce("comp", "node").alias("comp")), "open")
-        rest, first, turn = rest * 2, False, turn + 1
+        rest, proposals, turn = max(REST, rest * 2), proposals * (4 if turn else 1), turn + 1
+
+
+def _proposals(inside: DataFrame, sketch: DataFrame, limit: int, percent: int, most: int) -> DataFrame:
+    """key, a, b, more: pairs of a member outside the main component of its bucket with its best partners in other components.
+
+    inside: key, node, comp, main, all (members of the bucket). A bucket is dealt out in blocks of bounded size, and each member
+    outside the main component is held against every member of every block, as arrays: first odd sketches, then the exact
+    bound of parity bitmaps, which rules out all but borderline cases. Of what passes, a member proposes the best `most` of each of
+    the best `most` components; `more` (a and b null) marks a bucket where others were left for the next visit.
+    """
+    blocks = F.ceil(F.col("all") / BLOCK).cast("int")
+    members = inside.select("key", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), "node", "comp", "main", F.lit(False).alias("asks"))
+    asking = inside.where("comp <> main").select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", "comp", "main", F.lit(True).alias("asks"))
+    schema = "key long, a long, b long, more boolean"
+
+    def compare(table: pa.Table) -> pa.Table:
+        t = table.combine_chunks()
+        node, comp, main, n, asks = (t[c].to_numpy() for c in ("node", "comp", "main", "n", "asks"))
+        odd = t["odd"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_WORDS)
+        maps = [x.values.to_numpy() for x in t["parity"]]
+        held = np.flatnonzero(~asks)
+        pairs, more = [], False
+        for o in np.flatnonzero(asks):
+            m = held[(comp[held] != comp[o]) & ((comp[held] == main[o]) | (node[held] < node[o]))]  # two outside members meet once
+            m = m[100 * np.minimum(n[m], n[o]) >= percent * np.maximum(n[m], n[o])]
+            m = m[np.bitwise_count(odd[m] ^ odd[o]).sum(1, dtype=np.int64) <= limit]
+            if not len(m):
+                continue
+            differ = np.array([differing(maps[i], maps[o]) for i in m])
+            near = (100 + percent) * differ <= (100 - percent) * (n[m] + n[o])
+            m, differ = m[near], differ[near]
+            if not len(m):
+                continue
+            order = np.lexsort((node[m], differ))
+            _, first, group = np.unique(comp[m][order], return_index=True, return_inverse=True)
+            by_best = np.argsort(np.argsort(first))[group]  # components in the order of their best partner
+            kept = np.flatnonzero(by_best < most)
+            kept = kept[_rank(group[kept]) < most]
+            more |= len(kept) < len(m)
+            pairs += [(int(min(node[o], node[i])), int(max(node[o], node[i]))) for i in m[order[kept]]]
+        rows = [(a, b, False) for a, b in pairs] + [(None, None, True)] * more
+        key = t["key"][0].as_py()
+        columns = list(zip(*[(key, *r) for r in rows])) or [[], [], [], []]
+        return pa.table([pa.array(c, x) for c, x in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))], names=["key", "a", "b", "more"])
+
+    return members.unionByName(asking).join(sketch, "node").groupBy("key", "block").applyInArrow(compare, schema)
+
+
+def _rank(groups: np.ndarray) -> np.ndarray:
+    """How many equal values stand before each."""
+    order = np.argsort(groups, kind="stable")
+    sizes = np.unique(groups, return_counts=True)[1]
+    out = np.empty(len(groups), np.int64)
+    out[order] = np.arange(len(groups)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return out
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """Bits in which two parity bitmaps differ, the larger one folded to the size of the smaller."""
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum(dtype=np.int64))  # of signed numbers it would count the bits of the absolute value
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
+def _side(df: DataFrame, name: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in df.columns])
+
+
 def _scored(rows: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     """rows (node, other, ...) with odd: the population count of the XOR of the sketches, the largest where set sizes alone rule the link out."""
     def side(name: str, column: str) -> DataFrame:
@@ -239,15 +339,27 @@ def _scored(rows: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     return joined.select(*kept, F.when(ruled_out, F.lit(64 * SKETCH_WORDS)).otherwise(bits).alias("odd"))
 
 
+def _possible(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that neither the sizes of their sets nor the exact bound of their parity bitmaps rule out."""
+    rows = sketch.select("node", "n", "parity")
+    sized = pairs.join(_side(rows, "a"), "a").join(_side(rows, "b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+
+    def folded(own: str, other: str):
+        half = F.size(own) / 2  # sets of similar sizes have bitmaps of one size, or of twice that; others are not judged
+        return F.when(F.size(own) <= F.size(other), F.col(own)).otherwise(F.transform(F.slice(own, F.lit(1), half.cast("int")), lambda x, i: x.bitwiseXOR(F.get(F.col(own), i + half.cast("int")))))
+
+    each = F.zip_with(folded("parity_a", "parity_b"), folded("parity_b", "parity_a"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(each, F.lit(0).cast("long"), lambda s, x: s + F.coalesce(x, F.lit(0)))
+    unequal = F.greatest(F.size("parity_a"), F.size("parity_b")) > 2 * F.least(F.size("parity_a"), F.size("parity_b"))
+    return sized.where(unequal | ((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b")))).select("a", "b")
+
+
 def _confirm(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough."""
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in df.columns])
-
     n = sketch.select("node", "n")
-    possible = pairs.join(side(n, "a"), "a").join(side(n, "b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    possible = pairs.join(_side(n, "a"), "a").join(_side(n, "b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     met = F.size(F.array_intersect("items_a", "items_b"))
-    return possible.join(side(sets, "a"), "a").join(side(sets, "b"), "b").where(100 * met >= percent * (F.col("n_a") + F.col("n_b") - met)).select("a", "b")
+    return possible.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").where(100 * met >= percent * (F.col("n_a") + F.col("n_b") - met)).select("a", "b")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:

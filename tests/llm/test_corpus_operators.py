@@ -145,6 +145,33 @@ def test_near_groups_of_a_chain_of_growing_copies(spark):
     assert got == near_brute(rows, 1, 80)
 
 
+def test_near_groups_of_a_hot_bucket(spark, monkeypatch):
+    """Copies of one text with few to many changes: some link to others only by way of a third, some to none; and a second family."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "PROPOSALS", 1)
+    rnd = random.Random(12)
+    rows = []
+    for family in range(2):
+        base = [f"f{family}w{i}" for i in range(120 + 200 * family)]
+        for i in range(60):
+            words = [f"x{rnd.randint(0, 60)}" if rnd.random() < (i % 15) / 100 else w for w in base]
+            rows.append((family * 100 + i, " ".join(words[:len(words) - rnd.randint(0, 6)])))
+    want = near_brute(rows, 2, 80)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()}
+    assert got == want and 4 < len({c for _, c in want.values()}) < 100
+
+
+def test_parity_bitmaps_bound_the_difference():
+    rnd = np.random.default_rng(3)
+    for n in (1, 7, 100, 300, 40_000):
+        a = rnd.integers(0, 2**63, n).astype(np.uint64)
+        for changed in (0, 1, n // 5, n):
+            b = np.concatenate([a[changed:], rnd.integers(0, 2**63, changed + n // 4).astype(np.uint64)])
+            differ = minhash.differing(minhash.parity_bitmap(a), minhash.parity_bitmap(b))
+            apart = len(np.setxor1d(a, b))
+            assert differ <= apart and (differ - apart) % 2 == 0 and (apart > n or n > 1000 or differ >= 0.7 * apart)
+
+
 def test_near_groups_odd_rows(spark):
     got = minhash.near_groups(odd_docs(spark)).collect()
     assert len(got) == 12 and all(r.component_id == r.doc_id for r in got if r.n_shingles == 0)
