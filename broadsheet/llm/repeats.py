@@ -10,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from broadsheet.llm.common import spread, stored, text_of
-from broadsheet.llm.decontaminate import Filter
+from broadsheet.llm.decontaminate import MOST_BITS, Filter
 from broadsheet.llm.minhash import parts
 from broadsheet.llm.shingles import mix, run_hashes, seeds, words_in_place
 
@@ -141,6 +141,17 @@ def unit_counts(texts: DataFrame, least: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
+def filter_of(hashes: DataFrame) -> Filter:
+    """The bit table of the column hash; Spark gathers it in pages of 4 kB, at most 2**MOST_BITS bits come back."""
+    bits = min(MOST_BITS, max(16, int(hashes.count() * BITS_EACH).bit_length()))
+    slots = hashes.select(F.explode(F.array(F.shiftrightunsigned("hash", 64 - bits), F.col("hash").bitwiseAND(F.lit((1 << bits) - 1)))).alias("slot"))
+    pages = slots.groupBy(F.shiftright("slot", 15).alias("page")).agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(32767))).alias("set"))
+    table = np.zeros((1 << bits - 15, 4096), dtype=np.uint8)
+    for row in pages.collect():
+        table[row.page] = np.frombuffer(row.set, np.uint8)
+    return Filter(table.reshape(-1).view(np.uint64), bits)
+
+
 def units(texts: DataFrame, wanted: Broadcast, least: int) -> DataFrame:
     """key, doc_id, start, end, words, hi, lo: the units of all texts that the filter lets pass."""
     schema = T.StructType([texts.schema["key"], texts.schema["doc_id"], *T._parse_datatype_string("start int, end int, words int, hi long, lo long").fields])
@@ -175,7 +186,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     texts = texts_of(docs, id_col, text_col)
     twice = stored(unit_counts(texts, least).where("n > 1").select("hash"), "unit-hashes")
-    wanted = docs.sparkSession.sparkContext.broadcast(Filter.of(twice, BITS_EACH))
+    wanted = docs.sparkSession.sparkContext.broadcast(filter_of(twice))
     found = stored(units(texts, wanted, least), "units")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", "end", "key")
     groups = stored(found.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("first")).where("copies > 1"), "unit-groups")
