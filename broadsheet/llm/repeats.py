@@ -24,6 +24,9 @@ RUN, NEAR = 12, 12
 #: Bits of the filter for each digest that occurs twice.
 BITS_EACH = 16
 
+#: Bytes of text cut into units at once.
+PART = 1 << 21
+
 _ENDS = np.frombuffer(b".!?", np.uint8)
 
 
@@ -134,7 +137,7 @@ def unit_counts(texts: DataFrame, least: int) -> DataFrame:
     """hash, n: how often the units with the first half of a digest occur; counted in each batch, then by Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts(batch):
+            for part in parts(batch, PART):
                 hashes, n = np.unique(unit_ranges(part.column("text"), least)[4], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["hash", "n"])
 
@@ -158,7 +161,7 @@ def units(texts: DataFrame, wanted: Broadcast, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts(batch):
+            for part in parts(batch, PART):
                 found = unit_ranges(part.column("text"), least)
                 text, start, end, words, hi, lo = (x[wanted.value.passing(found[4])] for x in found)
                 at = pa.array(text)
