@@ -21,7 +21,8 @@ def fresh(spark):
 
 
 def stream(spark, sf, name):
-    return fd.article_stream(spark, sf, table(spark, sf, name).schema, pattern=f"{name}.parquet")
+    # a glob, as the file source takes a plain path for a folder: a table may be one file or a folder of parts
+    return fd.article_stream(spark, f"{sf}/{{{name}}}.parquet", table(spark, sf, name).schema)
 
 
 def written(spark, df, totals=False):

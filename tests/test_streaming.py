@@ -148,3 +148,19 @@ def test_progress_counts_a_trigger_once(spark):
         table.flush()
     r = rates(table.table()).first()
     assert (r.rows, r.dropped_rows, r.running_seconds, r.rows_per_minute) == (10, 1, 3.0, 200.0)
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_catalogue_streams_read_a_table_of_one_file_or_many(spark, tmp_path, parts):
+    from broadsheet.catalog import feeds
+
+    rows = [(i, f"{'a good market ' * (i + 1)}", "en", f"src{i % 2}", 14 * (i + 1)) for i in range(9)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(parts).write.parquet(f"{tmp_path}/w")
+    if parts == 1:
+        next((tmp_path / "w").glob("part-*.parquet")).rename(tmp_path / "documents.parquet")
+    else:
+        (tmp_path / "w").rename(tmp_path / "documents.parquet")
+    sf = str(tmp_path)
+    assert {(r.doc_id, r.lang) for r in feeds.r01(spark, sf).collect()} == {(i, "en") for i in range(9)}
+    assert {(r.source, r.processed) for r in feeds.r07(spark, sf).collect()} == {("src0", 5), ("src1", 4)}
+    assert {r.event: r.n for r in feeds.r12(spark, sf).collect()} == {"ok": 6, "error": 3}
