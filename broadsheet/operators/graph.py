@@ -48,10 +48,12 @@ class Buckets:
 
 
 def _meet(plain: DataFrame, many: DataFrame, hubs: DataFrame, values: DataFrame, key: str) -> DataFrame:
-    """Edges beside the values (id, ...) of their `key`: bucket by bucket, and hub values sent to hub edges, which are few by the choice of hubs."""
+    """Edges beside the values (id, ...) of their `key`: bucket by bucket, and hub values sent to hub edges, which are few by the choice of hubs.
+
+    The hint keeps the values of all nodes, whose files are small beside their rows, from being sent through the driver."""
     values = values.withColumnRenamed("id", key)
     few = values.join(F.broadcast(hubs.select(key)), key, "left_semi")
-    return plain.join(values, key).unionByName(many.join(F.broadcast(few), key))
+    return plain.join(values.hint("merge"), key).unionByName(many.join(F.broadcast(few), key))
 
 
 def pagerank(edges: DataFrame, rounds: int = 20, damping: float = 0.85, residual: float = 0.0, hub_edges: int | None = None) -> DataFrame:
@@ -159,25 +161,23 @@ def components(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
 
 # ---- communities ---------------------------------------------------------------------------------------------
 
-def spread_join(edges: DataFrame, nodes: DataFrame, key: str, other: str) -> DataFrame:
-    """Join node values to edges; a hub's edges are spread over salted copies of the hub's row."""
-    e = edges.withColumn("_salt", salt([other]))
-    v = nodes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return e.join(v, [key, "_salt"]).drop("_salt")
-
-
-def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
+def communities(edges: DataFrame, rounds: int = 10, hub_edges: int | None = None) -> DataFrame:
     """Label propagation with fixed ties: most frequent label among the neighbours, then the smallest. The cheap form."""
+    spark = edges.sparkSession
+    edges = written(edges.select("src", "dst"))
     both = written(both_ways(edges))
-    labels = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct().withColumn("community", F.col("id"))
-    for _ in range(rounds):
-        votes = spread_join(both, labels.withColumnRenamed("id", "a"), "a", "b").groupBy(F.col("b").alias("id"), "community").agg(count_all().alias("n"))
-        best = votes.groupBy("id").agg(F.max("n").alias("n")).join(votes, ["id", "n"]).groupBy("id").agg(F.min("community").alias("_best"))
-        new = written(labels.join(best, "id", "left").select("id", F.coalesce("_best", "community").alias("community"), F.col("community").alias("_old")))
-        labels = new.select("id", "community")
-        if new.where("community <> _old").isEmpty():
-            break
-    return labels
+    nodes = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
+    with Buckets(spark) as b:
+        plain, many, hubs = b.split(both, "a", both.groupBy("a").agg(count_all().alias("n")), hub_edges)
+        labels = b.write(nodes.withColumn("community", F.col("id")), "id")
+        for _ in range(rounds):
+            votes = _meet(plain, many, hubs, labels, "a").groupBy(F.col("b").alias("id"), "community").agg(count_all().alias("n"))
+            best = votes.groupBy("id").agg(F.min_by("community", F.struct((-F.col("n")).alias("n"), "community")).alias("_best"))
+            new = b.write(labels.join(best.hint("merge"), "id", "left").select("id", F.coalesce("_best", "community").alias("community"), F.col("community").alias("_old")), "id")
+            labels = new.select("id", "community")
+            if new.where("community <> _old").isEmpty():
+                break
+        return written(labels)
 
 
 def weighted_both_ways(edges: DataFrame) -> DataFrame:
@@ -196,15 +196,29 @@ def modularity(both: DataFrame, labels: DataFrame) -> DataFrame:
     return per.agg((F.sum("inside") / all_weight - F.sum(F.col("total") * F.col("total")) / (all_weight * all_weight)).alias("modularity"), count_all().alias("communities"))
 
 
-def _moved_once(both: DataFrame, labels: DataFrame, degrees: DataFrame, weight: float, turn: int) -> DataFrame:
+def _near(plain: DataFrame, many: DataFrame, hubs: DataFrame, labels: DataFrame) -> DataFrame:
+    """id, community, to: the weight that leads from each node into each neighbouring community."""
+    return _meet(plain, many, hubs, labels, "a").groupBy(F.col("b").alias("id"), "community").agg(F.sum("w").alias("to"))
+
+
+def _reached(near: DataFrame, labels: DataFrame, degrees: DataFrame) -> float:
+    """The modularity of a labelling, from the weights between nodes and communities and the nodes' degrees and loops."""
+    own = labels.join(degrees.hint("merge"), "id").select("community", F.col("k").alias("total"), F.col("loop").alias("inside"))
+    inner = near.join(labels.hint("merge"), ["id", "community"]).select("community", F.lit(0.0).alias("total"), F.col("to").alias("inside"))
+    per = own.unionByName(inner).groupBy("community").agg(F.sum("total").alias("total"), F.sum("inside").alias("inside"))
+    weight = F.sum("total")
+    return per.agg(F.sum("inside") / weight - F.sum(F.col("total") * F.col("total")) / (weight * weight)).first()[0]
+
+
+def _moved_once(near: DataFrame, labels: DataFrame, degrees: DataFrame, weight: float, turn: int) -> DataFrame:
     """id, community, old: nodes whose turn it is go to the neighbouring community with the largest gain in modularity, if any gains.
 
     Half of the nodes stand still in each turn, so that neighbours do not swap."""
-    near = attach(both.where("a <> b"), labels.withColumnRenamed("id", "b"), ["b"], ["a"]).groupBy(F.col("a").alias("id"), "community").agg(F.sum("w").alias("to"))
-    placed = labels.join(degrees, "id")
-    totals = placed.groupBy("community").agg(F.sum("k").alias("total"))
-    own = placed.select("id", F.col("community").alias("old"), "k")
-    options = attach(near.unionByName(own.select("id", F.col("old").alias("community"), F.lit(0.0).alias("to"))).groupBy("id", "community").agg(F.sum("to").alias("to")), written(totals), ["community"], ["id"]).join(own, "id")
+    own = labels.join(degrees.hint("merge"), "id").select("id", F.col("community").alias("old"), "k")
+    totals = written(own.groupBy(F.col("old").alias("community")).agg(F.sum("k").alias("total")))
+    stay = own.select("id", F.col("old").alias("community"), F.lit(0.0).alias("to"))
+    each = near.unionByName(stay).groupBy("id", "community").agg(F.sum("to").alias("to"))
+    options = attach(each, totals, ["community"], ["id"]).join(own.hint("merge"), "id")
     others = F.col("total") - F.when(F.col("community") == F.col("old"), F.col("k")).otherwise(0.0)
     gain = F.col("to") - F.col("k") * others / weight
     scored = options.select("id", "community", "old", F.round(gain, 9).alias("gain"))
@@ -213,41 +227,53 @@ def _moved_once(both: DataFrame, labels: DataFrame, degrees: DataFrame, weight:
     return best.select("id", F.when(moves, F.col("best")).otherwise(F.col("old")).alias("community"), "old")
 
 
-def communities_by_modularity(edges: DataFrame, levels: int = 10, turns: int = 8, least: float = 1e-3) -> tuple[DataFrame, float]:
+def communities_by_modularity(edges: DataFrame, levels: int = 10, turns: int = 8, least: float = 1e-3, hub_edges: int | None = None) -> tuple[DataFrame, float]:
     """id, community (named by its smallest node), and the modularity of that division.
 
     On each level nodes move between neighbouring communities while modularity rises; then every community becomes one node,
     its inner edges a loop, and the next level works on that smaller graph, until a level brings no more than `least`. A level ends after
-    two turns that brought less than that, and keeps its best labels.
+    two turns that brought less than that, and keeps its best labels. The edges of a level lie in buckets; a turn reads them once, for the weights between
+    nodes and communities, from which the modularity, the next moves and the next level follow.
     """
+    spark = edges.sparkSession
     both = written(weighted_both_ways(edges))
     place = written(both.select(F.col("a").alias("id")).distinct().withColumn("node", F.col("id")))  # the node of the present level that holds each node
     weight = both.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
     if not weight:
         return place.select("id", F.col("node").alias("community")), 0.0
-    reached = modularity(both, place.select("id", F.col("node").alias("community"))).first()[0]
+    reached = None
     for _ in range(levels):
-        degrees = written(both.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k")))
-        labels = degrees.select("id", F.col("id").alias("community"))
-        best, start, still = labels, reached, 0
-        for turn in range(turns):
-            new = written(_moved_once(both, labels, degrees, weight, turn))
-            labels = new.select("id", "community")
-            changed = not new.where("community <> old").isEmpty()
-            value = modularity(both, labels).first()[0] if changed else reached
-            still = still + 1 if value < reached + least else 0  # each half of the nodes had its turn and little came of it
-            if value > reached:
-                best, reached = labels, value
-            if still == 2:
+        with Buckets(spark) as b:
+            loop = F.sum(F.when(F.col("a") == F.col("b"), F.col("w")).otherwise(0.0))
+            degrees = b.write(both.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("k"), loop.alias("loop")), "id")
+            apart = both.where("a <> b")
+            parts = b.split(apart, "a", apart.groupBy("a").agg(count_all().alias("n")), hub_edges)
+            labels = b.write(degrees.select("id", F.col("id").alias("community")), "id")
+            near = written(_near(*parts, labels))
+            if reached is None:
+                reached = _reached(near, labels, degrees)
+            best, start, still = labels, reached, 0
+            for turn in range(turns):
+                new = b.write(_moved_once(near, labels, degrees, weight, turn), "id")
+                labels = new.select("id", "community")
+                changed = not new.where("community <> old").isEmpty()
+                if changed:
+                    near = written(_near(*parts, labels))
+                value = _reached(near, labels, degrees) if changed else reached
+                still = still + 1 if value < reached + least else 0  # each half of the nodes had its turn and little came of it
+                if value > reached:
+                    best, reached = labels, value
+                if still == 2:
+                    break
+            if reached <= start + least:
                 break
-        if reached <= start + least:
-            break
-        names = written(best.groupBy("community").agg(F.min("id").alias("name")))
-        best = written(attach(best, names, ["community"], ["id"]).select("id", "name"))
-        place = written(attach(place, best.withColumnRenamed("id", "node"), ["node"], ["id"]).select("id", F.col("name").alias("node")))
-        ends = attach(both, best.select(F.col("id").alias("a"), F.col("name").alias("na")), ["a"], ["b"])
-        ends = attach(ends, best.select(F.col("id").alias("b"), F.col("name").alias("nb")), ["b"], ["a"])
-        both = written(ends.groupBy(F.col("na").alias("a"), F.col("nb").alias("b")).agg(F.sum("w").alias("w")))
+            names = written(best.groupBy("community").agg(F.min("id").alias("name")))
+            named = b.write(attach(best, names, ["community"], ["id"]).select("id", F.col("name").alias("community")), "id")
+            place = written(attach(place, written(named.select(F.col("id").alias("node"), F.col("community").alias("name"))), ["node"], ["id"]).select("id", F.col("name").alias("node")))
+            placed = named.withColumnRenamed("community", "name").hint("merge")
+            ends = _near(*parts, named).join(placed, "id").select(F.col("community").alias("a"), F.col("name").alias("b"), F.col("to").alias("w"))
+            loops = degrees.where("loop > 0").join(placed, "id").select(F.col("name").alias("a"), F.col("name").alias("b"), F.col("loop").alias("w"))
+            both = written(ends.unionByName(loops).groupBy("a", "b").agg(F.sum("w").alias("w")))
     smallest = written(place.groupBy("node").agg(F.min("id").alias("community")))
     return attach(place, smallest, ["node"], ["id"]).select("id", "community"), reached
 

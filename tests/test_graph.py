@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.operators import entities, graph
+from broadsheet.session import written
 
 EDGE = "src string, dst string, type string, confidence double"
 
@@ -99,6 +100,21 @@ def test_communities_by_modularity_recover_known_groups(spark):
     assert abs(row.modularity - value) < 1e-9 and row.communities == 4
     cheap = {r.id: r.community for r in graph.communities(frame(spark, pairs)).collect()}
     assert value >= modularity(pairs, cheap) - 1e-12
+    hubs, again = graph.communities_by_modularity(frame(spark, pairs), hub_edges=5)
+    assert {r.id: r.community for r in hubs.collect()} == label and again == value
+    assert {r.id: r.community for r in graph.communities(frame(spark, pairs), hub_edges=5).collect()} == cheap
+
+
+def test_values_of_all_nodes_are_not_sent_through_the_driver(spark):
+    """Rows that are repeated per sub-key, and values of all nodes, look small to Spark."""
+    from broadsheet.plans.sized import salted_join
+    big, small = (written(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias(c))) for c in ("x", "y"))
+    hubs = written(spark.createDataFrame([], "a string, n bigint"))
+    edges = written(spark.createDataFrame([("a", "b", 1.0)], "a string, b string, w double"))
+    labels = written(spark.createDataFrame([("a", "a")], "id string, community string"))
+    salted = salted_join(big, small, ["k"], ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in salted and "BroadcastHashJoin" not in salted
+    assert "SortMergeJoin [a" in graph._meet(edges, edges.limit(0), hubs, labels, "a")._jdf.queryExecution().executedPlan().toString()
 
 
 def simple_paths(pairs, a, b, most):
