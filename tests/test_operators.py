@@ -284,6 +284,37 @@ def test_cells_find_what_the_scan_finds_and_leave_far_cells_out(spark, monkeypat
     assert semantic.similar_items(items, items.limit(0), "id", "v", 3).count() == 0
 
 
+def test_a_query_is_repeated_per_block_not_per_cell(spark, monkeypatch):
+    from broadsheet.plans import cells
+    rng = random.Random(9)
+    rows = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(300)], "id bigint, vec array<double>")
+    index = cells.build_cells(rows, 30)
+    share = spark.sparkContext.broadcast(cells._Bounds(index))
+    asked = cells._probes(share, rows.selectExpr("id", "vec", "CAST(NULL AS DOUBLE) AS kth"), 0, 31, None)
+    assert asked.count() == 300 and asked.agg(F.sum("cells")).first()[0] == 300 * int((index.rows > 0).sum())
+    first, blocks = cells._shelves(index.rows, 100)
+    sizes = [sum(index.rows[first == b]) for b in range(int(first.max()) + 1)]
+    assert set(blocks) == {1} and max(sizes) <= 100 and len(sizes) < 8
+    first, blocks = cells._shelves([5, 250, 3, 0, 90, 10], 100)
+    assert list(first) == [0, 1, 4, 4, 4, 5] and list(blocks) == [1, 3, 1, 1, 1, 1]
+
+
+def test_approximate_pairs_share_a_bucket(spark):
+    """All pairs above the threshold that share a bucket of some table, found once, whatever the blocks."""
+    import numpy as np
+    rng = random.Random(8)
+    rows = clustered(rng, 120, 12, 6) + [(500, [0.5] * 6), (501, [0.5] * 6)]
+    u = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if i != 501}
+    good = {(a, b) for a in u for b in u if a < b and float(u[a] @ u[b]) > 0.4}
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    small = semantic.approximate_pairs(df, "id", "v", 0.4, bucket=0.2, block_rows=16).collect()
+    got = {(r.id_1, r.id_2): r.score for r in small}
+    assert len(got) == len(small) and set(got) < good and all(abs(s - float(u[a] @ u[b])) < 1e-9 for (a, b), s in got.items())
+    wide = semantic.approximate_pairs(df, "id", "v", 0.4, bucket=2.0, tables=40, block_rows=16).collect()
+    assert {(r.id_1, r.id_2) for r in wide} == good and len(wide) == len(good)
+    assert {r.copies_1 for r in wide} | {r.copies_2 for r in wide} == {1, 2}
+
+
 def test_pairs_of_two_sets_equal_brute_force(spark):
     import numpy as np
     rng = random.Random(4)
