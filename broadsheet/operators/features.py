@@ -182,6 +182,10 @@ def tfidf_within(df: DataFrame, doc_col: str, pos_col: str, tokens_col: str, max
 
 def count_model(df: DataFrame, tokens_col: str, out: str = "features", vocab_size: int = 1000, min_df: float = 2,
                 max_df: float = 0.95) -> CountVectorizerModel:
+    """Vocabulary by total count. Shares of the rows become numbers here: with a share the estimator keeps all tokens in memory to count the rows."""
+    if min_df < 1 or max_df < 1:
+        n = df.count()
+        min_df, max_df = (x if x >= 1 else x * n for x in (min_df, max_df))
     return CountVectorizer(inputCol=tokens_col, outputCol=out, vocabSize=vocab_size, minDF=min_df, maxDF=max_df).fit(df)
 
 

@@ -69,3 +69,18 @@ def test_models_of_windows_follow_planted_themes(spark):
         per.setdefault(r.window_id, []).append((r.p, r.rows))
     count = {w: len({i for i, x in windows if x == w}) for w in range(4)}
     assert all(abs(sum(p for p, _ in v) - 1) < 1e-6 and {n for _, n in v} == {count[w]} for w, v in per.items())
+
+
+def test_shares_of_rows_do_not_keep_the_tokens_in_memory(spark, monkeypatch):
+    from broadsheet.operators import features
+    seen, made = [], features.CountVectorizer
+
+    def estimator(**options):
+        seen.append((options["minDF"], options["maxDF"]))
+        return made(**options)
+
+    monkeypatch.setattr(features, "CountVectorizer", estimator)
+    rows = spark.createDataFrame([(["all", "some"],)] * 15 + [(["all", "some", "once"],)] + [(["all", "few"],)] * 4, "tokens array<string>")
+    assert features.count_model(rows, "tokens").vocabulary == ["some", "few"]  # all is in more than 95 of 100 rows
+    assert features.count_model(rows, "tokens", min_df=0.5).vocabulary == ["some"]
+    assert all(least >= 1 and most >= 1 for least, most in seen)  # below 1 the estimator persists its input
