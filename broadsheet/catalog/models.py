@@ -19,22 +19,26 @@ _CACHE = {}
 
 
 def prepared(spark, sf):
-    """Split table with feature vectors, the vocabulary model and the long weights."""
+    """Split table with feature vectors, the vocabulary model, the fitted models, and the split texts. Texts are split, as their tokens are several times larger."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
-        d = articles(spark, sf, "lang").select("doc_id", "lang", tx.word_tokens("text").alias("tokens"))
-        split = r.stratified_split(d, "lang", "doc_id")
+        texts = materialize(r.stratified_split(table(spark, sf, "documents").select("doc_id", "lang", "text"), "lang", "doc_id"))
+        split = tokenized(texts)
         train = split.where("split = 'train'")
         tfidf = ft.fit_tfidf(train, "doc_id", "tokens", max_features=500, lo=1, hi=1, sub=False)  # counts x idf, as the vectors have it
         from pyspark.ml import Pipeline
         stages = Pipeline(stages=ft.vector_stages(tfidf, "tokens")).fit(train)
-        data = materialize(stages.transform(split).select("doc_id", "lang", "split", "tokens", "features"))
-        _CACHE[key] = (data, tfidf, {})
+        data = materialize(stages.transform(split).select("doc_id", "lang", "split", "features"))
+        _CACHE[key] = (data, tfidf, {}, texts)
     return _CACHE[key]
 
 
+def tokenized(texts):
+    return texts.withColumn("tokens", tx.word_tokens("text")).drop("text")
+
+
 def trained(spark, sf, names):
-    data, _, models = prepared(spark, sf)
+    data, _, models, _ = prepared(spark, sf)
     missing = [n for n in names if n not in models]
     if missing:
         models.update(c.train_classifiers(data.where("split = 'train'"), data.where("split = 'validation'"), "lang", missing, trees=20, iterations=20))
@@ -55,20 +59,20 @@ def c01(spark, sf):
 
 @query("C02_tune")
 def c02(spark, sf):
-    data, _, _ = prepared(spark, sf)
+    data, *_ = prepared(spark, sf)
     _, mean, std = c.tune(data, "lang", {"regParam": [0.01, 0.1]}, 3)
     return data.agg(F.count(F.lit(1)).alias("rows"), F.lit(float(mean)).alias("accuracy"), F.lit(float(std)).alias("std"))
 
 
 @query("C04_ensemble_predict")
 def c04(spark, sf):
-    data, _, _ = prepared(spark, sf)
+    data, *_ = prepared(spark, sf)
     models = {n: m for n, (m, _) in trained(spark, sf, ["logistic_regression", "naive_bayes", "random_forest"]).items()}
     return c.ensemble_predict(models, data, "doc_id", ["lang"])
 
 
 def predictions(spark, sf):
-    data, _, _ = prepared(spark, sf)
+    data, *_ = prepared(spark, sf)
     return c.predict_with_confidence(trained(spark, sf, ["logistic_regression"])["logistic_regression"][0], data, "doc_id", keep=["lang"])
 
 
@@ -79,15 +83,15 @@ def c05(spark, sf):
 
 @query("C06_explain_prediction")
 def c06(spark, sf):
-    data, tfidf, _ = prepared(spark, sf)
+    _, tfidf, _, texts = prepared(spark, sf)
     model = trained(spark, sf, ["logistic_regression"])["logistic_regression"][0]
-    weights = tfidf.transform(data, "doc_id", "tokens").withColumnRenamed("tfidf", "value")
+    weights = tfidf.transform(tokenized(texts), "doc_id", "tokens").withColumnRenamed("tfidf", "value")
     return c.explain_prediction(predictions(spark, sf), weights, c.coefficient_table(model, ft.vocabulary_list(tfidf), spark), "doc_id")
 
 
 @query("C06_forest_importances")
 def c06b(spark, sf):
-    _, tfidf, _ = prepared(spark, sf)
+    _, tfidf, *_ = prepared(spark, sf)
     return c.forest_importances(trained(spark, sf, ["random_forest"])["random_forest"][0], ft.vocabulary_list(tfidf), spark)
 
 

@@ -57,3 +57,15 @@ def test_shuffle_free_scoring(spark):
     from broadsheet.operators.sentiment import lexicon_sentiment
     d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", word_tokens("text").alias("tokens"))
     assert "Exchange" not in plan(lexicon_sentiment(d, "tokens"))
+
+
+def test_classifiers_carry_features_but_no_tokens(spark, tmp_path):
+    from broadsheet.catalog import models
+    texts = ["the cat sat on the mat", "a dog and the cat", "", "the mat", "le chat est la", "la vie est belle", "le chien et la vie", "le chat"]
+    rows = [(i % 30 if i % 17 else None, t, "en" if i % 8 < 4 else "fr", "s", 1) for i, t in enumerate(texts * 5)]  # keys repeat and are null
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    data, tfidf, _, split = models.prepared(spark, str(tmp_path))
+    assert data.columns == ["doc_id", "lang", "split", "features"] and "tokens" not in split.columns
+    assert data.count() == len(rows) and data.where("split = 'train'").count() == 32
+    terms = models.tokenized(split)
+    assert sorted(map(str, terms.select("doc_id", "tokens").collect())) == sorted(map(str, spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").select("doc_id", models.tx.word_tokens("text").alias("tokens")).collect()))
