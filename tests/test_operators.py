@@ -259,6 +259,33 @@ def test_pair_candidates_bound_their_products(spark):
         assert {(r.id_1, r.id_2) for r in semantic.similar_pairs(rows, "id", 0.6, cell).collect()} == good
 
 
+def test_candidates_of_a_frequent_term_are_multiplied_inside_tasks(spark):
+    rng = random.Random(6)  # one term in every row: the join of its postings made a row for each of their products
+    vecs = {f"d{i:03}": {"all": 0.7, f"t{i % 40}": 0.5, f"u{rng.randrange(60)}": 0.5} for i in range(120)}
+    rows = spark.createDataFrame([(i, t, x) for i, v in vecs.items() for t, x in v.items()] + [("d000", None, 0.5), (None, "all", 0.9), ("d001", "t2", None)], "id string, term string, tfidf double")
+    dot = {(a, b): sum(x * vecs[b].get(t, 0) for t, x in vecs[a].items()) for a in vecs for b in vecs if a < b}
+    for least in (0.7, 0.0):
+        found = semantic.pair_candidates(rows, "id", least, 50)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "SortMergeJoin" not in plan and "HashAggregate" not in plan
+        assert {(r.id_1, r.id_2): round(r.part + r.rest, 9) for r in found.collect()} == {k: round(d, 9) for k, d in dot.items() if d >= least}
+
+
+def test_terms_beyond_a_broadcast_are_neither_salted_nor_repeated(spark, monkeypatch):
+    from broadsheet.operators import features
+    from broadsheet.plans import sized
+
+    rng = random.Random(8)
+    df = spark.createDataFrame([(i % 50, [f"t{int(rng.random() ** 3 * 80)}" for _ in range(rng.randrange(30))]) for i in range(60)], "id int, tokens array<string>").cache()
+    options = {"max_features": None, "min_df": 1, "max_df": 1.0, "lo": 1, "hi": 1}
+    want = sorted((r.id, r.term, r.tf, round(r.tfidf, 9)) for r in features.tfidf_long(df, "id", "tokens", **options).collect())
+    monkeypatch.setattr(features, "SMALL_ROWS", 10)
+    monkeypatch.setattr(features, "fits", lambda words: sized.fits(words, 10))
+    got = features.tfidf_long(df, "id", "tokens", **options)
+    assert "_salt" not in got._jdf.queryExecution().analyzed().toString()
+    assert sorted((r.id, r.term, r.tf, round(r.tfidf, 9)) for r in got.collect()) == want and len(want) > 200
+
+
 def clustered(rng, n, centres, width):
     mids = [[rng.gauss(0, 1) for _ in range(width)] for _ in range(centres)]
     return [(i, [c + rng.gauss(0, 0.05) for c in mids[i % centres]]) for i in range(n)]
