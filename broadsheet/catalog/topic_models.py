@@ -55,10 +55,11 @@ LONG = f"SELECT doc_id, lang, source, t AS topic, [p0, p1, p2, p3, p4][t + 1] AS
 
 
 def mix(df):
-    low = F.lower("text")
-    counts = [tx.occurrences(low, c) for c in LETTERS]
+    # pinned, as every use of a share would lower and search the text again for all letters
+    df = tx.pin(tx.pin(df, {"_low": F.lower("text")}), {"_counts": F.array(*[tx.occurrences(F.col("_low"), c) for c in LETTERS])})
+    counts = [F.get("_counts", F.lit(i)) for i in range(len(LETTERS))]
     total = tx.at_least_one(sum(counts[1:], counts[0]))
-    return df.withColumn("topics", F.array(*[c.cast("double") / total for c in counts]))
+    return df.withColumn("topics", F.array(*[c.cast("double") / total for c in counts])).drop("_low", "_counts")
 
 
 def docs(spark, sf):

@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from broadsheet.functions import temporal as tm
+from broadsheet.functions import text as tx
 from broadsheet.operators.features import MAX_FEATURES, count_model
 from broadsheet.operators.relational import (count_all, direction, emerging_declining, jaccard, period_shares, top_k_per_group,
                                              topic_evolution_stats, topic_stability)
@@ -343,10 +344,12 @@ def name_topics(words: DataFrame, rules: Sequence[tuple[str, Sequence[str]]], de
 
 def topic_usage(dist: DataFrame, k: int, topics_col: str = "topics") -> DataFrame:
     """Documents per dominant topic and mean probability per topic, every topic listed."""
-    means = dist.select(F.posexplode(topics_col).alias("topic", "p")).groupBy("topic").agg(F.avg("p").alias("mean_probability"))
-    counts = dominant_topics(dist, topics_col).groupBy("topic").agg(count_all().alias("documents"))
+    # the topics are pinned and read once: one row per document and topic says whether it is the dominant one
+    own = tx.pin(dist.select(topics_col), {"_topics": F.col(topics_col)}).select("_topics")
+    each = dominant_topics(own, "_topics").select(F.col("topic").alias("_top"), F.posexplode("_topics").alias("topic", "p"))
+    found = each.groupBy("topic").agg(F.avg("p").alias("mean_probability"), F.count_if(F.col("topic") == F.col("_top")).alias("documents"))
     every = dist.sparkSession.range(k).select(F.col("id").cast("int").alias("topic"))
-    return every.join(means, "topic", "left").join(counts, "topic", "left").na.fill(0)
+    return every.join(found, "topic", "left").na.fill(0)
 
 
 # ---- over time -----------------------------------------------------------------------------------------------

@@ -511,3 +511,47 @@ def test_weights_within_documents_equal_brute_force(spark, monkeypatch):
             assert all(got[k].tf == n and abs(got[k].tfidf - x) < 1e-9 and abs(got[k].centre - c) < 1e-9 for k, (n, x, c) in want.items())
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_topic_usage_reads_the_topics_once(spark):
+    from broadsheet.operators import topics
+    rows = [(1, [0.5, 0.5, 0.0]), (2, [0.1, 0.2, 0.7]), (3, None), (4, [None, None, None]), (5, [0.0, 0.0, 1.0])]
+    out = topics.topic_usage(spark.createDataFrame(rows, "id int, topics array<double>").withColumn("topics", F.reverse("topics")), 4)
+    assert {r.topic: (round(r.mean_probability, 9), r.documents) for r in out.collect()} == {0: (round(1.7 / 3, 9), 2), 1: (round(0.7 / 3, 9), 1), 2: (0.2, 0), 3: (0.0, 0)}
+    assert optimized(out).count("reverse(") == 1
+
+
+def test_vowel_shares_search_a_text_once_per_letter(spark):
+    from broadsheet.catalog.topic_models import mix
+    df = mix(spark.createDataFrame([(1, "Aeea x"), (2, "xyz"), (3, None)], "doc_id int, text string"))
+    assert [tuple(r.topics) for r in df.orderBy("doc_id").collect()] == [(0.5, 0.5, 0.0, 0.0, 0.0), (0.0,) * 5, (None,) * 5]
+    assert optimized(df.select(F.array_max("topics"), F.array_position("topics", F.array_max("topics")))).count("lower(text") == 1
+
+
+def test_bias_scores_cut_a_text_into_words_once_per_score(spark):
+    from broadsheet.operators import bias
+    from broadsheet.operators.sentiment import compound_of, valences
+    df = spark.createDataFrame([(1, "Great great awful plain words here"), (2, ""), (3, None)], "doc_id int, text string")
+    out = bias.lexical_bias(df, "text", ["great"], ["awful"])
+    assert [(r.emotional_ratio, round(r.sentiment_skew, 9)) for r in out.where("text <> ''").collect()] == [(0.5, round(1 / 6, 9))]
+    assert optimized(out.select("lexical_score")).count("split(") == 1
+    assert optimized(bias.linguistic_bias(df, "text").select("linguistic_score")).count("split(") == 1
+    tokens = df.where("doc_id = 1").select(F.split(F.lower("text"), " ").alias("t"))
+    scored = tokens.select(compound_of(valences(F.reverse("t"), {"great": 2.0, "awful": -3.0}, [])).alias("c"))
+    assert optimized(tokens.select(compound_of(F.reverse("t").cast("array<double>")).alias("c"))).count("reverse(") == 1
+    total, p, n, z = 1.0, 6.0, 4.0, 3.0
+    assert [round(x, 9) for x in scored.first().c] == [round(x, 9) for x in (total / (total + 15) ** 0.5, p / (p + n + z), n / (p + n + z), z / (p + n + z))]
+
+
+def test_extraction_stats_find_mentions_and_relations_once(spark):
+    from broadsheet.operators import entities
+    texts = spark.range(4)
+    mentions = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "x string").select(F.reverse("x").alias("label"))
+    none = spark.createDataFrame([], "type string")
+    out = entities.extraction_stats(texts, mentions, none)
+    assert sorted((r.metric or "", r.value) for r in out.collect()) == [("", 1.0), ("entities", 4.0), ("entities_per_text", 1.0), ("entity:a", 2.0), ("entity:b", 1.0), ("relations", 0.0), ("relations_per_text", 0.0), ("texts", 4.0)]
+    assert "reverse(" not in optimized(out)  # only kept counts are read
