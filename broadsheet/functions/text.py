@@ -225,15 +225,16 @@ def dot_pieces(c):
     return F.filter(F.split(col(c), r"\."), lambda s: s.rlike(r"\S"))
 
 
-def complex_share(c):
-    w = words(c)
+def complex_share(c, w: Column | None = None):
+    """w: the words of c, where they are at hand."""
+    w = words(c) if w is None else w
     return ratio(F.size(F.filter(w, lambda x: F.length(x) > 6)), F.size(w))
 
 
-def bias_readability(c):
-    w = F.size(words(c))
+def bias_readability(c, w: Column | None = None):
+    w = words(c) if w is None else w
     s = at_least_one(F.size(dot_pieces(c)))
-    return F.lit(206.835) - F.lit(1.015) * (w.cast("double") / s) - F.lit(84.6) * complex_share(c)
+    return F.lit(206.835) - F.lit(1.015) * (F.size(w).cast("double") / s) - F.lit(84.6) * complex_share(c, w)
 
 
 def banded(score: Column, bands: Sequence[tuple[float, str]], otherwise: str) -> Column:

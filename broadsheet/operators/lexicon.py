@@ -85,11 +85,11 @@ def theme_tags(df: DataFrame, text_col: str, lang_col: str,
 
 def attribution_counts(df: DataFrame, text_col: str, patterns: Sequence[str] = wl.ATTRIBUTION_PATTERNS,
                        opinion: Sequence[str] = wl.BIAS_OPINION, fact: Sequence[str] = wl.BIAS_FACT) -> DataFrame:
-    low = F.lower(text_col)
+    df, low = tx.pin(df, {"_low": F.lower(text_col)}), F.col("_low")
     total = F.lit(0)
     for p in patterns:
         total = total + F.regexp_count(low, F.lit(p))
-    return df.withColumns({"attributions": total, "opinion_words": tx.hit_count(low, opinion), "fact_words": tx.hit_count(low, fact)})
+    return df.withColumns({"attributions": total, "opinion_words": tx.hit_count(low, opinion), "fact_words": tx.hit_count(low, fact)}).drop("_low")
 
 
 def breaking_score(df: DataFrame, title_col: str, body_col: str, words: Sequence[str] = wl.BREAKING, needed: int = 2) -> DataFrame:

@@ -52,17 +52,17 @@ def valences(tokens: Column, lexicon: Mapping[str, float], negations: Sequence[s
 def compound_of(values: Column) -> Column:
     """struct<compound, pos, neg, neu> of an array of token valences."""
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("p"), F.lit(0.0).alias("n"))
-    hits = F.filter(values, lambda v: v != 0)
-    z = (F.size(values) - F.size(hits)).cast("double")
 
     def add(acc, v):
         return F.struct((acc["s"] + v).alias("s"), (acc["p"] + F.greatest(v + F.signum(v), F.lit(0.0))).alias("p"),
                         (acc["n"] + F.greatest(-v - F.signum(v), F.lit(0.0))).alias("n"))
 
-    def finish(acc):
-        return F.struct(acc["s"].alias("s"), acc["p"].alias("p"), acc["n"].alias("n"), z.alias("z"))
+    # an array of one element binds the valences, and what differs from zero, to a name: each is computed once
+    bound = F.transform(F.array(values), lambda v: F.struct(F.size(v).alias("size"), F.filter(v, lambda x: x != 0).alias("hits")))
 
-    sums = F.aggregate(hits, zero, add, finish)
+    def sums(b):
+        z = (b["size"] - F.size(b["hits"])).cast("double")
+        return F.aggregate(b["hits"], zero, add, lambda acc: F.struct(acc["s"].alias("s"), acc["p"].alias("p"), acc["n"].alias("n"), z.alias("z")))
 
     def shares(acc):
         total = acc["p"] + acc["n"] + acc["z"]
@@ -70,7 +70,7 @@ def compound_of(values: Column) -> Column:
         return F.struct((acc["s"] / F.sqrt(acc["s"] * acc["s"] + NORMALIZER)).alias("compound"),
                         share(acc["p"]).alias("pos"), share(acc["n"]).alias("neg"), share(acc["z"]).alias("neu"))
 
-    return F.get(F.transform(F.array(sums), shares), F.lit(0))
+    return F.get(F.transform(F.transform(bound, sums), shares), F.lit(0))
 
 
 def lexicon_sentiment(df: DataFrame, tokens_col: str, lexicon: Mapping[str, float] = wl.VALENCE,
