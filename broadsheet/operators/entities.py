@@ -14,7 +14,7 @@ from broadsheet.functions import wordlists as wl
 from broadsheet.operators.graph import components
 from broadsheet.operators.relational import count_all, entity_pairs
 from broadsheet.plans.sized import with_scalars
-from broadsheet.session import written
+from broadsheet.session import materialize, written
 
 MENTION_PATTERNS = {
     "MONEY": r"[$€£]\s?\d[\d,.]*(?:\s(?:million|billion))?",
@@ -240,14 +240,14 @@ def dedup_relations(relations: DataFrame) -> DataFrame:
 
 def extraction_stats(texts: DataFrame, mentions: DataFrame, relations: DataFrame) -> DataFrame:
     """Long table metric, value: totals, per-text means and counts per type."""
+    # mentions and relations are found once: their totals are those of the kept counts per type
+    labels, types = (materialize(df.groupBy(c).agg(count_all().cast("double").alias("value"))) for df, c in ((mentions, "label"), (relations, "type")))
     n = texts.agg(count_all().cast("double").alias("texts"))
-    m = mentions.agg(count_all().cast("double").alias("entities"))
-    r = relations.agg(count_all().cast("double").alias("relations"))
+    m, r = (counts.agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias(name)) for counts, name in ((labels, "entities"), (types, "relations")))
     totals = with_scalars(with_scalars(n, m), r).withColumns({
         "entities_per_text": tx.ratio(F.col("entities"), F.col("texts")), "relations_per_text": tx.ratio(F.col("relations"), F.col("texts"))})
     out = totals.unpivot([], totals.columns, "metric", "value")
-    by_label = mentions.groupBy(F.concat(F.lit("entity:"), F.col("label")).alias("metric")).agg(count_all().cast("double").alias("value"))
-    by_type = relations.groupBy(F.concat(F.lit("relation:"), F.col("type")).alias("metric")).agg(count_all().cast("double").alias("value"))
+    by_label, by_type = (counts.select(F.concat(F.lit(f"{name}:"), F.col(c)).alias("metric"), "value") for counts, name, c in ((labels, "entity", "label"), (types, "relation", "type")))
     return out.unionByName(by_label).unionByName(by_type)
 
 
