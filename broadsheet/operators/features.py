@@ -157,16 +157,90 @@ def tfidf_long(df: DataFrame, id_col: str, tokens_col: str, **options) -> DataFr
     return fit_tfidf(df, id_col, tokens_col, **options).transform(df, id_col, tokens_col)
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """Sorted rows (corpus, id, tokens) in runs of about `most` tokens that end with the last row of a (corpus, id)."""
+    held, n = [], 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        n += len(batch.column(2).flatten())
+        if n >= most:
+            rows = pa.Table.from_batches(held)
+            same = np.ones(len(rows), bool)
+            for i in range(2):
+                of, last = rows.column(i), batch.column(i)[-1]
+                same &= (pc.fill_null(pc.equal(of, last), False) if last.is_valid else pc.is_null(of)).to_numpy()
+            cut = int(np.argmax(same))  # the last (corpus, id) may go on
+            if cut:
+                yield rows.slice(0, cut)
+            held = rows.slice(cut).to_batches()
+            n = sum(len(b.column(2).flatten()) for b in held)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _term_counts(rows: pa.Table, lo: int, hi: int, vocabulary: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Per (corpus, id) and term of sorted rows: the first row of the pair, the number of the term, all terms, and how often it is there.
+
+    With a vocabulary other terms are left out. N-grams lie inside one row."""
+    corpora, ids, lists = (rows.column(i).combine_chunks() for i in range(3))
+    codes = [x.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False) for x in (corpora, ids)]
+    new = np.concatenate([[True], (codes[0][1:] != codes[0][:-1]) | (codes[1][1:] != codes[1][:-1])])
+    group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    tokens, row = lists.flatten(), np.repeat(np.arange(len(lists)), lengths)
+    parts = [_grams(tokens, row, n) for n in range(lo, hi + 1) if len(tokens) >= n]
+    grams, of = pa.concat_arrays([g for g, _ in parts] or [pa.array([], pa.string())]), np.concatenate([r for _, r in parts] or [np.zeros(0, np.int64)])
+    if vocabulary is None:
+        coded = grams.dictionary_encode()
+        terms, number = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    else:
+        at = pc.index_in(grams, value_set=vocabulary)
+        terms, of, number = vocabulary, of[at.is_valid().to_numpy(zero_copy_only=False)], at.drop_null().to_numpy().astype(np.int64)
+    size = max(1, len(terms))
+    key, tf = np.unique(group[of] * size + number, return_counts=True)
+    return first[key // size], key % size, terms, tf.astype(np.int64)
+
+
 def tfidf_by_corpus(df: DataFrame, corpus: str, id_col: str, tokens_col: str, max_features: int = 50, min_df: int = 2,
                     max_df: float = 0.8, lo: int = 1, hi: int = 2, sub: bool = False) -> DataFrame:
-    """One vocabulary per corpus value (language, cluster, ...), each cut to its max_features terms."""
-    tf = materialize(_tf(df, [corpus, id_col], tokens_col, lo, hi))
+    """One vocabulary per corpus value (language, cluster, ...), each cut to its max_features terms.
+
+    Tokens are dealt out by (corpus, id) and written once. A first pass counts the terms inside the tasks and shuffles one row per term,
+    corpus and run of CHUNK_TOKENS tokens; a second one hands on only terms of the vocabularies, if these were counted small."""
+    kinds = df.schema
+    corpus_type, id_type = kinds[corpus].dataType, kinds[id_col].dataType
+    dealt = materialize(df.select(F.col(corpus).alias("c"), F.col(id_col).alias("i"), F.col(tokens_col).alias("t")).repartition("c", "i").sortWithinPartitions("c", "i"))
+
+    def per_corpus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, CHUNK_TOKENS):
+            at, number, terms, tf = _term_counts(rows, lo, hi)
+            coded = rows.column(0).combine_chunks().dictionary_encode(null_encoding="encode")
+            size = max(1, len(terms))
+            key, group, n_docs = np.unique(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[at] * size + number, return_inverse=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(key // size)), terms.take(pa.array(key % size)), pa.array(n_docs.astype(np.int64)),
+                                              pa.array(np.bincount(group, tf, minlength=len(key)).astype(np.int64))], names=["c", "term", "n_docs", "total"])
+
+    counted = dealt.mapInArrow(per_corpus, T.StructType([T.StructField("c", corpus_type), *T._parse_datatype_string("term string, n_docs long, total long").fields]))
+    stats = counted.groupBy(F.col("c").alias(corpus), "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("total").alias("total"))
     sizes = df.groupBy(corpus).agg(count_all().alias("_n"))
-    stats = tf.groupBy(corpus, "term").agg(count_all().alias("n_docs"), F.sum("tf").alias("total"))
     kept = attach(stats, sizes, [corpus], ["term"]).where(
         (F.col("n_docs") >= min_df) & (F.col("n_docs") <= max_df * F.col("_n")))
-    vocabulary = top_k_per_group(kept, [corpus], "total", max_features, "term").select(
-        corpus, "term", smooth_idf(F.col("_n"), F.col("n_docs")).alias("idf"))
+    vocabulary = materialize(top_k_per_group(kept, [corpus], "total", max_features, "term").select(
+        corpus, "term", smooth_idf(F.col("_n"), F.col("n_docs")).alias("idf")))
+    known = None
+    if fits(vocabulary):
+        known = df.sparkSession.sparkContext.broadcast(pa.array(sorted({r["term"] for r in vocabulary.select("term").distinct().collect()}), pa.string()))
+
+    def per_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, CHUNK_TOKENS):
+            at, number, terms, tf = _term_counts(rows, lo, hi, known and known.value)
+            first = pa.array(at)
+            yield pa.RecordBatch.from_arrays([rows.column(0).combine_chunks().take(first), rows.column(1).combine_chunks().take(first), terms.take(pa.array(number)), pa.array(tf)],
+                                             names=[corpus, id_col, "term", "tf"])
+
+    tf = dealt.mapInArrow(per_row, T.StructType([T.StructField(corpus, corpus_type), T.StructField(id_col, id_type), *T._parse_datatype_string("term string, tf long").fields]))
     weight = (sublinear(F.col("tf")) if sub else F.col("tf").cast("double")) * F.col("idf")
     raw = attach(tf, vocabulary, [corpus, "term"], [id_col]).withColumn("_w", weight)
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(corpus, id_col)))  # one document

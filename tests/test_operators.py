@@ -480,6 +480,44 @@ def test_cooccurrence_of_all_names_equals_brute_force(spark):
     assert got == {pair: n for pair, n in want.items() if n >= 2} and any(len(a) < 8 for a, _ in got) and 2 in got.values()
 
 
+def test_weights_by_corpus_equal_brute_force_without_a_row_per_document_and_term(spark, monkeypatch):
+    from collections import Counter
+
+    from broadsheet.operators import features
+
+    monkeypatch.setattr(features, "CHUNK_TOKENS", 40)  # rows are met in many runs
+    sizes = []
+    keep = features.materialize
+    monkeypatch.setattr(features, "materialize", lambda df: sizes.append((out := keep(df)).count()) or out)
+    rng = random.Random(5)
+    rows = [(rng.choice(["en", "de", None]), rng.choice([None, *range(25)]), [rng.choice("abcdefghij") for _ in range(rng.randrange(30))]) for _ in range(60)] + [("en", 3, None), ("en", 99, [])]
+    for fits in (True, False):
+        if not fits:
+            monkeypatch.setattr(features, "fits", lambda df: False)
+        sizes.clear()
+        got = features.tfidf_by_corpus(spark.createDataFrame(rows, "lang string, id int, tokens array<string>").repartition(5), "lang", "id", "tokens", 12)
+        got = {(r.lang, r.id, r.term): (r.tf, round(r.tfidf, 9)) for r in got.collect()}
+        assert max(sizes) == len(rows)
+        tf, n = Counter(), Counter()
+        for lang, i, t in rows:
+            n[lang] += 1
+            for term in [*(t or []), *(f"{a} {b}" for a, b in zip(t or [], (t or [])[1:]))]:
+                tf[lang, i, term] += 1
+        want = {}
+        for lang in ("en", "de"):
+            own = {k[1:]: c for k, c in tf.items() if k[0] == lang}
+            df, total = Counter(t for _, t in own), Counter()
+            for (_, t), c in own.items():
+                total[t] += c
+            best = sorted((t for t in df if 2 <= df[t] <= 0.8 * n[lang]), key=lambda t: (-total[t], t))[:12]
+            w = {(i, t): c * (math.log((1 + n[lang]) / (1 + df[t])) + 1) for (i, t), c in own.items() if t in best}
+            norm = Counter()
+            for (i, _), x in w.items():
+                norm[i] += x * x
+            want |= {(lang, i, t): (own[i, t], round(x / math.sqrt(norm[i]), 9)) for (i, t), x in w.items()}
+        assert got == want and any(i is None for _, i, _ in got)
+
+
 def test_weights_within_documents_equal_brute_force(spark, monkeypatch):
     import math
     import random
