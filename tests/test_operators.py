@@ -430,6 +430,39 @@ def test_similarity_features_with_a_reference_of_any_size(spark):
         assert got == sorted((i % 39, *(round(float(x), 9) for x in (s[i].max(), s[i].mean(), s[i].std(), np.median(s[i])))) for i in range(40))
 
 
+def test_medians_and_group_similarity_equal_brute_force_in_few_bounded_rounds(spark, monkeypatch):
+    import numpy as np
+    from broadsheet.operators import semantic
+    from broadsheet.plans import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(semantic, "CHUNK_ROWS", 5)
+    for name, value in (("GATHERED", 6), ("GUESS_ROWS", 128)):
+        monkeypatch.setattr(semantic, name, value)
+    rounds, crossed = [], blocks.meet
+    monkeypatch.setattr(semantic, "meet", lambda *a: rounds.append(1) or crossed(*a))
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(300, 6))
+    v[200:240] = v[7]  # copies: many equal cosines
+    v[240:270] = -v[7]
+    v[270:273] = 0
+    df = spark.createDataFrame([(i // 2, x.tolist(), "abc"[i % 3] if i % 10 else None) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>, g string")
+    u = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+    s = u @ u.T
+    got = sorted(tuple(round(x, 8) for x in r) for r in semantic.similarity_features(df, df, "vec_id", "embedding", max_reference=20).collect())
+    want = sorted((i // 2, *(round(float(x), 8) for x in (s[i].max(), s[i].mean(), s[i].std(), np.median(s[i])))) for i in range(300))
+    assert np.abs(np.array(got) - np.array(want)).max() < 3e-8 and len(rounds) < 12
+    rounds.clear()
+    got = {(r.group_1, r.group_2): r for r in semantic.group_similarity(df, "g", "vec_id", "embedding").collect()}
+    group = np.array(["abc"[i % 3] if i % 10 else "" for i in range(300)])
+    assert len(rounds) == 1 and set(got) == {("a", "b"), ("a", "c"), ("b", "c")}
+    for (a, b), r in got.items():
+        x = s[np.ix_(group == a, group == b)].ravel()
+        assert r.pairs == len(x)
+        for name, value in (("min", x.min()), ("max", x.max()), ("mean", x.mean()), ("q25", np.quantile(x, 0.25)), ("median", np.median(x)), ("q75", np.quantile(x, 0.75)), ("std", x.std())):
+            assert abs(r[name] - value) < 2e-6, name
+
+
 @pytest.mark.parametrize("shard", [200_000, 4])
 def test_names_of_any_number_of_words_equal_brute_force(spark, shard):
     import re
