@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.functions.stats import student_two_sided
 from broadsheet.functions.text import banded, ratio
 from broadsheet.plans.ordered import cumulative, percentiles, previous, rolling, with_position
 from broadsheet.plans.sized import attach, fits, salt, with_scalars
+from broadsheet.session import written
 
 
 
@@ -142,17 +145,43 @@ def entity_rollup(mentions: DataFrame, top_k: int = 10) -> DataFrame:
     return top_k_per_group(texts, ["label"], "count", top_k, "text").join(labels, "label")
 
 
+#: Pairs of names that a task holds at once, and names that are broadcast with their codes.
+PAIRS, CODED_NAMES = 1 << 22, 200_000
+
+
 def entity_cooccurrence(mentions: DataFrame, min_weight: int = 2, doc_col: str = "doc_id") -> DataFrame:
     """Pairs of distinct entities named in the same document, with the number of such documents.
 
-    A pair cannot reach min_weight unless both entities are in that many documents, so rarer ones leave first.
+    A pair cannot reach min_weight unless both entities are in that many documents, so rarer ones leave first. The others get codes in
+    their order; each document is one row of codes, whose pairs are made and counted in blocks inside the tasks.
     """
-    names = mentions.select(doc_col, F.col("text").alias("entity")).distinct()
-    common = names.groupBy("entity").agg(count_all().alias("_n")).where(F.col("_n") >= min_weight).select("entity")
-    names = attach(names, common, ["entity"], [doc_col], "left_semi")
-    b = names.select(doc_col, F.col("entity").alias("entity_2"))
-    return (names.withColumnRenamed("entity", "entity_1").join(b, doc_col).where(F.col("entity_1") < F.col("entity_2"))
-            .groupBy("entity_1", "entity_2").agg(count_all().alias("weight")).where(F.col("weight") >= min_weight))
+    names = written(mentions.select(doc_col, F.col("text").alias("entity")).where(F.col(doc_col).isNotNull() & F.col("text").isNotNull()).distinct())
+    common = names.groupBy("entity").agg(count_all().alias("_n")).where(F.col("_n") >= min_weight)
+    codes = written(common.orderBy("entity").select("entity", F.monotonically_increasing_id().alias("code")))
+    docs = attach(names, codes, ["entity"], [doc_col], max_rows=CODED_NAMES).groupBy(doc_col).agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    most = PAIRS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            known, code = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+            later = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(code)) - 1  # names of the document that follow
+            upto = np.cumsum(later)
+            first = done = 0
+            while first < len(code):
+                last = max(first + 1, int(np.searchsorted(upto, done + most, "right")))
+                n = later[first:last]
+                left = np.repeat(np.arange(first, last), n)
+                right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+                key, weight = np.unique(code[left] * len(known) + code[right], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(known[key // len(known)]), pa.array(known[key % len(known)]), pa.array(weight.astype(np.int64))], names=["code_1", "code_2", "weight"])
+                first, done = last, int(upto[last - 1])
+
+    weights = docs.select("codes").mapInArrow(count, "code_1 bigint, code_2 bigint, weight bigint").groupBy("code_1", "code_2").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= min_weight)
+    for k, other in ((1, "code_2"), (2, "entity_1")):
+        weights = attach(weights, codes.select(F.col("code").alias(f"code_{k}"), F.col("entity").alias(f"entity_{k}")), [f"code_{k}"], [other], max_rows=CODED_NAMES)
+    return weights.select("entity_1", "entity_2", "weight")
 
 
 # ---- statistics ----------------------------------------------------------------------------------------------

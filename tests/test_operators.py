@@ -513,6 +513,28 @@ def test_cooccurrence_of_all_names_equals_brute_force(spark):
     assert got == {pair: n for pair, n in want.items() if n >= 2} and any(len(a) < 8 for a, _ in got) and 2 in got.values()
 
 
+def test_cooccurrence_in_blocks_equals_brute_force(spark, monkeypatch):
+    from collections import Counter
+    from itertools import combinations
+
+    rng = random.Random(4)
+    rows = [(rng.choice([None, *range(30)]), rng.choice([None, "Ä", "ä", "z", "Zürich", *(f"n{i}" for i in range(15))])) for _ in range(600)]
+    names = {}
+    for doc, name in rows:
+        if doc is not None and name is not None:
+            names.setdefault(doc, set()).add(name)
+    counts = Counter(p for x in names.values() for p in combinations(sorted(x, key=str.encode), 2))
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    for most, coded in ((7, 0), (1 << 22, 200_000)):  # pairs in small blocks, codes joined by shuffles; all at once, codes broadcast
+        monkeypatch.setattr(relational, "PAIRS", most)
+        monkeypatch.setattr(relational, "CODED_NAMES", coded)
+        for least in (1, 12):
+            got = relational.entity_cooccurrence(df, least)
+            assert got.columns == ["entity_1", "entity_2", "weight"]
+            assert sorted(tuple(r) for r in got.collect()) == sorted((*p, n) for p, n in counts.items() if n >= least) and max(counts.values()) >= 12
+    assert relational.entity_cooccurrence(df.where("false")).collect() == []
+
+
 def test_weights_by_corpus_equal_brute_force_without_a_row_per_document_and_term(spark, monkeypatch):
     from collections import Counter
 
