@@ -24,6 +24,8 @@ MOST_BITS = 1 << 16
 FIRST_REST, REST = 2, 1024
 #: Members of a bucket in one block.
 BLOCK = 4096
+#: Slots of the table that tells which rows a join may need.
+SLOTS = 1 << 21
 #: Components in which a member proposes partners at once, and partners in each; four times as many from visit to visit.
 PROPOSALS = 4
 
@@ -154,6 +156,16 @@ def components(links: DataFrame) -> DataFrame:
             return state
 
 
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links: only links between different components are followed, each pair of components once."""
+    own = comps.select(F.col("node").alias("end"), F.col("comp").alias("found"))
+    for side in ("a", "b"):
+        links = links.join(own, F.col(side) == F.col("end"), "left").select(F.coalesce("found", side).alias(side), "b" if side == "a" else F.col("a"))
+    joined = components(stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "between"))
+    kept = comps.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("low")), "comp", "left").select("node", F.coalesce("low", "comp").alias("comp"))
+    return stored(kept.unionByName(joined.join(comps.select("node"), "node", "left_anti")), "labels")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Connected components of the texts whose shingle sets have a Jaccard similarity of `percent` / 100 or more.
 
@@ -178,10 +190,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # what is joined by bucket is written first: only then can Spark split the exchange of a hot bucket
     shared = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     buckets = stored(members.join(shared, "key"), "buckets")
-    links = _links(docs, classes, buckets, id_col, text_col, size, percent)
+    comps = _links(docs, classes, buckets, id_col, text_col, size, percent)
     named = classes.select("node", "digest", "low")
-    if links is not None:
-        labels = components(links).join(named.select("node", "low"), "node")
+    if comps is not None:
+        labels = comps.join(named.select("node", "low"), "node")
         lowest = labels.groupBy("comp").agg(F.min("low").alias("lowest"))
         named = named.join(labels.join(lowest, "comp").select("node", "lowest"), "node", "left").select("digest", F.coalesce("lowest", "low").alias("component_id"))
     else:
@@ -192,21 +204,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame | None:
-    """Confirmed links (a, b) that connect what is similar; None if no two classes share a bucket."""
+    """node, comp of the classes that confirmed links connect to others; None if no two classes share a bucket."""
     if buckets.limit(1).count() == 0:
         return None
     sketch = classes.select("node", "n", "odd", "parity")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        wanted = nodes.join(classes.select("node", "low", F.col("digest").alias("want")), "node")
-        return stored(shingle_sets(wanted.join(texts, F.col("id").eqNullSafe(F.col("low"))), size).dropDuplicates(["node"]), "sets")
+        wanted = stored(nodes.join(classes.select("node", "low", F.col("digest").alias("want")), "node"), "wanted")
+        return stored(shingle_sets(wanted.join(_among(texts, "id", wanted.select("low")), F.col("id").eqNullSafe(F.col("low"))), size).dropDuplicates(["node"]), "sets")
 
     limit, far_limit = most_odd_bits(percent / 100, 5.0), most_odd_bits(max(0.0, 2 * percent / 100 - 1), 5.0)
     # a text that others were copied from shares more bands with more of them than the copies do with each other
     degree = stored(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
     open_ = stored(buckets.join(degree, "node").select("key", "node", "degree", F.lit(0).alias("level"), F.col("node").alias("comp")), "open")
-    links, sets, rest, proposals, turn = None, None, FIRST_REST, PROPOSALS, 0
+    links, sets, comps, rest, proposals, turn = None, None, None, FIRST_REST, PROPOSALS, 0
     while True:
         # the largest component of a bucket, how many members are outside it, and the pivot: the member with most company
         pivot = F.max(F.struct("degree", "node", "comp")).alias("pivot")
@@ -228,16 +240,17 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
             second = inside.select("key", F.col("node").alias("other"))
             small = _pairs(inside.select("key", "node").join(second, "key").where(F.col("node") < F.col("other")))
             likely = likely.unionByName(_pairs(_scored(small.select(F.col("a").alias("node"), F.col("b").alias("other")), sketch, percent).where(F.col("odd") <= limit)))
-            likely, unfinished = _possible(likely.distinct(), sketch, percent), None
+            likely, unfinished = _possible(stored(likely.distinct(), "near"), sketch, percent), None
         else:
             proposed = stored(_proposals(inside, sketch, limit, percent, proposals), "proposed")
             likely = _possible(likely, sketch, percent).unionByName(proposed.where("a IS NOT NULL").select("a", "b")).distinct()
             unfinished = placed.join(proposed.where("more").select("key").distinct(), "key", "left_semi").select("key", "node", "degree", "level")
         likely = stored(likely, "likely")
-        nodes = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+        nodes = _nodes(likely)
         sets = sets_of(nodes) if sets is None else sets.unionByName(sets_of(nodes.join(sets.select("node"), "node", "left_anti")))
-        confirmed = stored(_confirm(likely, sketch, sets, percent), "confirmed")
+        confirmed = stored(_confirm(likely, sets, percent), "confirmed")
         links = confirmed if links is None else links.unionByName(confirmed)
+        comps = components(confirmed) if comps is None else _merged(comps, confirmed)
         # Jaccard distance is a metric: what is twice the distance of a link away from the pivot links to nothing that the pivot
         # links to. It leaves the bucket and goes on in a bucket with all that has no link of its own to the pivot, members of the
         # pivot's component included; from there none leaves, so every two of them are compared or in one component.
@@ -250,8 +263,7 @@ def _links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, id_col: str,
         left = stay.unionByName(moved.join(again, "key", "left_semi"))
         left = stored(left if unfinished is None else left.unionByName(unfinished), "left")
         if left.limit(1).count() == 0:
-            return links
-        comps = components(links)
+            return comps
         open_ = stored(left.join(comps, "node", "left").select("key", "node", "degree", "level", F.coalesce("comp", "node").alias("comp")), "open")
         rest, proposals, turn = max(REST, rest * 2), proposals * (4 if turn else 1), turn + 1
 
@@ -323,6 +335,20 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def _among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """All rows whose `column` equals one of the keys (one column), nulls too, and few others: what a join with few keys needs not shuffle stays out.
+
+    Keys are hashed to SLOTS slots, so what is broadcast is bounded; with many more keys than slots the rows pass as they are."""
+    def slot(name: str):
+        return F.pmod(F.xxhash64(name), F.lit(SLOTS)).alias("slot")
+
+    return rows.select("*", slot(column)).join(F.broadcast(keys.select(slot(keys.columns[0])).distinct()), "slot", "left_semi").drop("slot")
+
+
 def _side(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in df.columns])
 
@@ -341,7 +367,7 @@ def _scored(rows: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
 
 def _possible(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that neither the sizes of their sets nor the exact bound of their parity bitmaps rule out."""
-    rows = sketch.select("node", "n", "parity")
+    rows = _among(sketch.select("node", "n", "parity"), "node", _nodes(pairs))
     sized = pairs.join(_side(rows, "a"), "a").join(_side(rows, "b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
     def folded(own: str, other: str):
@@ -354,12 +380,12 @@ def _possible(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     return sized.where(unequal | ((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b")))).select("a", "b")
 
 
-def _confirm(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough."""
-    n = sketch.select("node", "n")
-    possible = pairs.join(_side(n, "a"), "a").join(_side(n, "b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    met = F.size(F.array_intersect("items_a", "items_b"))
-    return possible.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").where(100 * met >= percent * (F.col("n_a") + F.col("n_b") - met)).select("a", "b")
+    own = _among(sets, "node", _nodes(pairs))
+    met, items = F.size(F.array_intersect("items_a", "items_b")), F.size("items_a") + F.size("items_b")
+    return pairs.join(_side(own, "a"), "a").join(_side(own, "b"), "b").where(
+        (100 * F.least(F.size("items_a"), F.size("items_b")) >= percent * F.greatest(F.size("items_a"), F.size("items_b"))) & (100 * met >= percent * (items - met))).select("a", "b")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
