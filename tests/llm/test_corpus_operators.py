@@ -172,6 +172,22 @@ def test_parity_bitmaps_bound_the_difference():
             assert differ <= apart and (differ - apart) % 2 == 0 and (apart > n or n > 1000 or differ >= 0.7 * apart)
 
 
+def test_only_rows_that_a_join_may_need_are_shuffled_and_components_merge(spark):
+    texts = spark.createDataFrame([(i, "x" * 50) for i in range(5000)] + [(None, "none")], "id long, text string")
+    wanted = spark.createDataFrame([(7,), (4000,), (None,), (9999,)], "low long")
+    few = minhash._among(texts, "id", wanted)
+    assert few.columns == ["id", "text"] and {7, 4000, None} <= {r.id for r in few.collect()} and few.count() < 20
+    rng = random.Random(6)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)]
+    links = [(min(x), max(x)) for x in links if x[0] != x[1]]
+    frame = lambda x: spark.createDataFrame(x, "a long, b long")
+    want = {r.node: r.comp for r in minhash.components(frame(links)).collect()}
+    comps = minhash.components(frame(links[:15]))
+    for part in (links[15:30], [], links[30:]):
+        comps = minhash._merged(comps, frame(part))
+    assert sorted((r.node, r.comp) for r in comps.collect()) == sorted(want.items())
+
+
 def test_near_groups_odd_rows(spark):
     got = minhash.near_groups(odd_docs(spark)).collect()
     assert len(got) == 12 and all(r.component_id == r.doc_id for r in got if r.n_shingles == 0)
