@@ -342,6 +342,22 @@ def test_approximate_pairs_share_a_bucket(spark):
     assert {r.copies_1 for r in wide} | {r.copies_2 for r in wide} == {1, 2}
 
 
+def test_whole_pairs_share_no_bucket_and_are_found(spark):
+    import numpy as np
+    rng = random.Random(8)
+    rows = clustered(rng, 120, 12, 6) + [(500, [0.5] * 6), (501, [0.5] * 6), (None, [1.0, 0.1, 0.0, 0.0, 0.0, 0.0])]
+    u = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if i not in (501, None)}
+    good = {(a, b): float(u[a] @ u[b]) for a in u for b in u if a < b and float(u[a] @ u[b]) > 0.4} | {(500, 500): 1.0}
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    for bucket, block_rows in ((0.2, 16), (1.0, None), (0.05, 5)):
+        found = semantic.approximate_pairs(df, "id", "v", 0.4, bucket=bucket, block_rows=block_rows, whole=True).collect()
+        got = {(r.id_1, r.id_2): r.score for r in found}
+        assert len(got) == len(found) and set(got) == set(good) and all(abs(s - good[k]) < 1e-9 for k, s in got.items())
+        assert {(r.id_1, r.id_2): (r.copies_1, r.copies_2) for r in found if r.id_1 == 500} == {k: (2, 2 if k[1] == 500 else 1) for k in good if k[0] == 500}
+    names = semantic.approximate_pairs(df.selectExpr("'d' || id AS id", "v"), "id", "v", 0.4, bucket=0.2, whole=True).collect()
+    assert {(r.id_1, r.id_2) for r in names} == {tuple(sorted((f"d{a}", f"d{b}"))) for a, b in good}
+
+
 def test_pairs_of_two_sets_equal_brute_force(spark):
     import numpy as np
     rng = random.Random(4)
