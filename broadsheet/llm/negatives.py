@@ -87,20 +87,20 @@ def _in_windows(score: np.ndarray, ids: np.ndarray, positives: list[int], most:
     return np.unique(np.concatenate(taken))
 
 
-def _met(blocks: DataFrame, anchors: DataFrame, salts: int) -> RDD:
-    """Every block of rows beside every block of anchors; the rows' blocks are dealt over `salts` sub-keys of each part of the anchors.
+def _met(blocks: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Every block of rows beside every block of anchors, by a Cartesian product of blocks that are written once: none is repeated in a shuffle or sent by the driver.
 
-    An RDD, as its batches for Python go by bytes: a batch of many blocks would not be bounded."""
-    n_parts = anchors.agg(F.max("part")).first()[0] + 1
-    left = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1)))).withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
-    right = anchors.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, ["part", "salt"]).drop("part", "salt", "block").rdd
+    A task reads one block of anchors and a share of the rows' blocks, whose number follows from the cores, as each task hands on rows of every anchor."""
+    n_rows, n_anchors = (max(1, df.count()) for df in (blocks, anchors))
+    left = blocks.drop("block").repartition(min(n_rows, 4 * blocks.sparkSession.sparkContext.defaultParallelism))
+    return left.hint("shuffle_replicate_nl").crossJoin(anchors.repartition(n_anchors))
 
 
-def _chosen(met: RDD, same: bool, choose: Callable[[np.ndarray, np.ndarray, list[int]], np.ndarray]) -> RDD:
+def _chosen(met: DataFrame, same: bool, choose: Callable[[np.ndarray, np.ndarray, list[int]], np.ndarray]) -> RDD:
     """(anchor, block, place, score, id): of each anchor and task, the rows that `choose(scores, ids, positives)` takes of those of the same label, or of others.
 
-    A task chooses again from what it has and each further block, so it hands on a bounded number of rows per anchor."""
+    A task chooses again from what it has and each further block, so it hands on a bounded number of rows per anchor. The pairs of blocks
+    are read as an RDD, as its batches for Python go by bytes: a batch of many blocks would not be bounded."""
     def run(pairs: Iterator[Row]) -> Iterator[tuple]:
         held: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]] = {}
 
@@ -126,7 +126,7 @@ def _chosen(met: RDD, same: bool, choose: Callable[[np.ndarray, np.ndarray, list
                 yield from handed()
         yield from handed()
 
-    return met.mapPartitions(run)
+    return met.rdd.mapPartitions(run)
 
 
 def _windows(most: int, percent: int) -> Callable[[Iterator[tuple]], Iterator[tuple]]:
@@ -173,15 +173,14 @@ def mine(rows: DataFrame, anchors: Column, id_col: str = "vec_id", label_col: st
         return spark.createDataFrame([], RESULT)
     blocks = stored(_packed(used, scale).withColumn("block", F.monotonically_increasing_id()), "row-blocks")
     dealt = _packed(used.where("anchor").repartition(-(-n * max(1, width) // BLOCK)), scale)
-    parted = stored(dealt.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("a_block"), *[F.col(c).alias(f"a_{c}") for c in dealt.columns]), "anchor-blocks")
-    salts = shuffle_partitions(spark)
+    parted = stored(dealt.select(F.monotonically_increasing_id().alias("a_block"), *[F.col(c).alias(f"a_{c}") for c in dealt.columns]), "anchor-blocks")
 
-    near = spark.createDataFrame(_chosen(_met(blocks, parted, salts), True, lambda s, i, _: _first(s, i, positives)), SCORED, verifySchema=False)
+    near = spark.createDataFrame(_chosen(_met(blocks, parted), True, lambda s, i, _: _first(s, i, positives)), SCORED, verifySchema=False)
     order = Window.partitionBy("a_block", "place").orderBy(F.desc("score"), "id")  # a few rows of each task
     best = stored(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= positives).drop("rank"), "positives")
-    known = parted.join(best.groupBy("a_block").agg(F.collect_list(F.struct("place", "score")).alias("best")), "a_block")
-    others = _chosen(_met(blocks, stored(known, "anchor-blocks"), salts), False, lambda s, i, p: _in_windows(s, i, p, negatives, percent))
+    known = parted.join(best.groupBy("a_block").agg(F.collect_list(F.struct("place", "score")).alias("best")).hint("merge"), "a_block")
+    others = _chosen(_met(blocks, stored(known, "anchor-blocks")), False, lambda s, i, p: _in_windows(s, i, p, negatives, percent))
 
     keyed = spark.sparkContext.union([best.rdd.map(lambda r: ((r[0], r[1], r[2], -r[3], POSITIVE, r[4]), None)), others.map(lambda r: ((r[0], r[1], r[2], -r[3], NEGATIVE, r[4]), None))])
-    sorted_keys = keyed.repartitionAndSortWithinPartitions(salts, lambda key: hash(key[:3]))
+    sorted_keys = keyed.repartitionAndSortWithinPartitions(shuffle_partitions(spark), lambda key: hash(key[:3]))
     return spark.createDataFrame(sorted_keys.mapPartitions(_windows(negatives, percent)), RESULT, verifySchema=False)

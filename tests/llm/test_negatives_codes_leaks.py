@@ -66,6 +66,17 @@ def test_hard_negatives_with_blocks_of_few_rows(spark, monkeypatch):
     assert sorted(map(tuple, negatives.mine(vector_rows(spark, rows), F.col("vec_id") % 100 == 0).collect())) == mined(rows)
 
 
+def test_anchors_are_neither_repeated_nor_broadcast(spark):
+    rows = vector_rows(spark, random_vectors(400, 4)).selectExpr("vec_id AS id", "CAST(label AS long) AS label", "embedding AS vector")
+    blocks = negatives._packed(rows, 256).withColumn("block", F.monotonically_increasing_id()).cache()
+    anchors = negatives._packed(rows.where("id % 100 = 0").repartition(3), 256).selectExpr("ids AS a_ids", "n AS a_n").cache()
+    met = negatives._met(blocks, anchors)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and not re.search("Broadcast|Generate|SortMergeJoin", plan)
+    assert anchors.count() > 1 and met.count() == met.rdd.getNumPartitions() == blocks.count() * anchors.count()
+    assert met.select("ids", "a_ids").distinct().count() == met.count()
+
+
 def test_hard_negatives_of_odd_rows(spark):
     rows = [(0, 1, [1.0, 0.5]), (1, 1, [1.0, 0.25]), (2, 2, [0.9, 0.5]), (3, 2, [0.9, 0.5]), (2, 2, [0.9, 0.5]), (4, None, [1.0, 1.0]), (5, 2, None), (6, 2, [NAN, 1.0]), (7, 2, [INF, 1.0]), (8, 2, [None, 1.0]),
             (None, 2, [1.0, 0.4]), (9, 3, [0.8]), (10, 3, []), (100, 7, [1.0, 1.0]), (200, 2, [-1.0, -1.0]), (300, 4, [0.0, 0.0]), (301, 4, [0.0, 0.0]), (302, 5, [0.0, 0.0])]
