@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import statistics
 
 import pytest
@@ -326,6 +327,33 @@ def test_a_query_is_repeated_per_block_not_per_cell(spark, monkeypatch):
     assert list(first) == [0, 1, 4, 4, 4, 5] and list(blocks) == [1, 3, 1, 1, 1, 1]
 
 
+def test_searches_repeat_no_vector_in_a_shuffle(spark, monkeypatch):
+    import numpy as np
+    from broadsheet.plans import cells
+    rng = random.Random(3)
+    rows = [(None if i in (7, 70) else i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(300)] + [(400 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(90)]
+    items = spark.createDataFrame(rows, "id bigint, vec array<float>")
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(cells, "QUERY_ROWS", 40)
+    index, plans, meet = cells.build_cells(items, 9), [], cells.meet
+    monkeypatch.setattr(cells, "meet", lambda *a: plans.append(out := meet(*a)) or out)
+    best = cells.search_cells(index, items, 2, skip_self=True)[0]
+    near = cells.pairs_above(index, items, 0.9)
+    assert len(plans) == 3 and index.kind == "float32"
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and not re.search("Generate|CoGroup|Broadcast|SortMergeJoin|hashpartitioning", plan)
+    u = np.array([np.float32(v).astype(float) / np.linalg.norm(np.float32(v).astype(float)) for _, v in rows])
+    s = np.round(u @ u.T, 9)
+    ids = [i for i, _ in rows]
+    assert sorted((r.query_id or -1, r.item_id or -1) for r in near.collect()) == sorted((ids[i] or -1, ids[j] or -1) for i, j in zip(*np.nonzero(s >= 0.9)))
+    got = {}
+    for r in best.collect():
+        got.setdefault(r.query_id, set()).add(r.item_id)
+    want = {q: {i for _, i in sorted((-s[a, b], -1 if i is None else i) for b, i in enumerate(ids) if i != q)[:2]} for a, q in enumerate(ids) if q is not None}
+    assert {q: {-1 if i is None else i for i in x} for q, x in got.items() if q is not None} == want
+
+
 def test_approximate_pairs_share_a_bucket(spark):
     """All pairs above the threshold that share a bucket of some table, found once, whatever the blocks."""
     import numpy as np
