@@ -56,7 +56,8 @@ def r05(spark, sf):
     return spiked(spark, sf, delay=240)[0]
 
 
-SLICES, DELAY_HOURS = 4, 1
+#: A slice of the feed is one file, and of larger tables one per so many rows; a trigger takes the files of a slice.
+SLICES, DELAY_HOURS, FILE_ROWS = 4, 1, 500_000
 
 
 def labelled(spark, sf):
@@ -69,8 +70,9 @@ def spiked(spark, sf, late=None, delay=DELAY_HOURS):
     base, e = fresh(spark), labelled(spark, sf)
     behind = e.where(late) if late is not None else None
     feed = e.where(~late) if late is not None else e
-    sp.replay(feed, "ts", f"{base}/feed", SLICES, behind, jitter="0 hours" if late is not None else f"{delay // 2} hours")
-    rows = fd.event_time(fd.article_stream(spark, f"{base}/feed", feed.schema, max_files=1), "ts", f"{delay} hours")
+    files = 1 if late is not None else max(1, feed.count() // (SLICES * FILE_ROWS))
+    sp.replay(feed, "ts", f"{base}/feed", SLICES, behind, files, jitter="0 hours" if late is not None else f"{delay // 2} hours")
+    rows = fd.event_time(fd.article_stream(spark, f"{base}/feed", feed.schema, max_files=files), "ts", f"{delay} hours")
     with ProgressTable(spark, f"{base}/progress") as seen:
         q = fd.export_stream(sp.sentiment_spikes(rows, "user_id", "event_id", "ts", "label", 10, 0.6), f"{base}/out", f"{base}/state")
         q.awaitTermination()

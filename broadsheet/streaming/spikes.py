@@ -1,7 +1,8 @@
 """Sentiment spikes of live feeds in event-time order, whatever the order of arrival.
 
-Rows wait in the state of their feed until the watermark has passed them; a timer then hands them on in order. The state of
-a feed is its waiting rows and its last labels. It lies in RocksDB, so it may outgrow the memory of an executor.
+Rows wait in state until the watermark has passed them; a timer then hands them on in order. The state of
+a feed is its waiting rows and its last labels. Feeds share shelves, a fixed number of state keys: their rows are kept as packed columns and all
+feeds of a shelf are computed at once, so the calls to the state follow the shelves and triggers, not feeds and rows. State lies in RocksDB, so it may outgrow the memory of an executor.
 """
 
 from __future__ import annotations
@@ -10,10 +11,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 SPIKE = "key string, id bigint, ts timestamp, spike string"
+#: Keys of the state. A checkpoint depends on the number.
+SHELVES = 512
+#: Labels that count, by code; others are code 0.
+KINDS = ("negative", "positive")
+ROWS = pa.schema([("key", pa.dictionary(pa.int32(), pa.string())), ("micros", pa.int64()), ("id", pa.int64()), ("kind", pa.int8())])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -22,29 +29,59 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def codes(labels: pd.Series) -> np.ndarray:
+    """The code of each label."""
+    return sum((k * (labels == kind).to_numpy(bool) for k, kind in enumerate(KINDS, 1)), np.zeros(len(labels), np.int8)).astype(np.int8)
+
+
+def spikes_at(kind: np.ndarray, place: np.ndarray, last: int, share: float) -> np.ndarray:
+    """Code of the spike at each row of feeds that lie one after the other, from the `last` rows up to it; `place` counts the rows of its feed before it."""
+    out = np.zeros(len(kind), np.int8)
+    end = np.flatnonzero(place >= last - 1) + 1
+    for k in range(1, len(KINDS) + 1):  # where both reach the share, positive counts
+        counts = np.concatenate([[0], np.cumsum(kind == k)])
+        out[end[(counts[end] - counts[end - last]) / last >= share] - 1] = k
+    return out
+
+
+def _spike_names(spikes: np.ndarray) -> np.ndarray:
+    return np.array([None, *[f"{kind}_spike" for kind in KINDS]], dtype=object)[spikes]
+
+
 def spikes_of(before: list[str], labels: list[str], last: int, share: float) -> list[str | None]:
     """Spike of each label, from the `last` labels up to it; `before` holds those that came earlier."""
-    both = np.array([*before, *labels], dtype=object)
-    out: list[str | None] = [None] * len(labels)
-    for kind in ("negative", "positive"):  # where both reach the share, positive counts
-        counts = np.concatenate([[0], np.cumsum(both == kind)])
-        for i in range(len(labels)):
-            end = len(before) + i + 1
-            if end >= last and (counts[end] - counts[end - last]) / last >= share:
-                out[i] = f"{kind}_spike"
-    return out
+    kind = codes(pd.Series([*before, *labels], dtype=object))
+    return list(_spike_names(spikes_at(kind, np.arange(len(kind)), last, share))[len(before):])
+
+
+def _packed(rows: pa.RecordBatch) -> tuple[bytes]:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, ROWS) as out:
+        out.write_batch(rows)
+    return (sink.getvalue().to_pybytes(),)
+
+
+def _batch(key: np.ndarray, micros: np.ndarray, ids: pd.arrays.IntegerArray, kind: np.ndarray) -> pa.RecordBatch:
+    names = pa.array(key, pa.string()).dictionary_encode()
+    return pa.RecordBatch.from_arrays([names, pa.array(micros, pa.int64()), pa.array(ids, pa.int64()), pa.array(kind, pa.int8())], schema=ROWS)
+
+
+def _unpacked(parts: Iterator[tuple]) -> pd.DataFrame:
+    tables = [pa.ipc.open_stream(part[0]).read_all() for part in parts]
+    table = pa.concat_tables([t.set_column(0, "key", t["key"].cast(pa.string())) for t in tables]) if tables else pa.schema([("key", pa.string()), *list(ROWS)[1:]]).empty_table()
+    return pd.DataFrame({"key": table["key"].to_numpy(zero_copy_only=False).astype(object), "micros": table["micros"].to_numpy(), "id": table["id"].to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get), "kind": table["kind"].to_numpy()})
 
 
 class InOrder(StatefulProcessor):
-    """Holds a feed's rows until the watermark passes them; one timer per feed, at its earliest waiting row or at its expiry."""
+    """Holds the rows of a shelf of feeds until the watermark passes them; one timer per shelf, at its earliest waiting row or at the expiry of a feed."""
 
     def __init__(self, last: int, share: float, idle_ms: int | None, batch: int = 10_000):
         self.last, self.share, self.idle_ms, self.batch = last, share, idle_ms, batch
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "micros bigint, id bigint, label string")
-        self.recent = handle.getListState("recent", "micros bigint, label string")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.recent = handle.getValueState("recent", "rows binary")
         self.due = handle.getValueState("due", "ms bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -52,56 +89,70 @@ class InOrder(StatefulProcessor):
         for pdf in rows:
             pdf = pdf[pdf["micros"].notna()]
             if len(pdf):
-                self.waiting.appendList([(int(m), None if pd.isna(i) else int(i), None if pd.isna(x) else x) for m, i, x in zip(pdf["micros"], pdf["id"], pdf["label"])])
-                low = -(-int(pdf["micros"].min()) // 1000)
+                micros = pdf["micros"].to_numpy(np.int64)
+                self.waiting.appendValue(_packed(_batch(pdf["key"].to_numpy(object), micros, pd.array(pdf["id"], "Int64"), codes(pdf["label"]))))
+                low = -(-int(micros.min()) // 1000)
                 first = low if first is None else min(first, low)
         if first is not None:
             self._wake(first)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        ready, wait = [], []
-        for row in self.waiting.get() if self.waiting.exists() else ():
-            (ready if row[0] <= passed * 1000 else wait).append(tuple(row))
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = _unpacked(self.waiting.get() if self.waiting.exists() else ())
+        ready = (rows["micros"] <= passed).to_numpy()
         self.due.clear()
-        if not ready and not wait:  # nothing came for the idle time
+        wait = rows[~ready]
+        before = _unpacked([self.recent.get()] if self.recent.exists() else ())
+        both = self._in_order(before, rows[ready])
+        feed, micros = both["feed"].to_numpy(), both["micros"].to_numpy()
+        fresh = np.ones(len(both), bool)
+        fresh[1:] = feed[1:] != feed[:-1]
+        starts = np.flatnonzero(fresh)
+        ends = np.append(starts[1:], len(both)) if len(both) else starts
+        if self.idle_ms is not None:  # what comes after an idle time starts anew
+            fresh[1:] |= micros[1:] - micros[:-1] > self.idle_ms * 1000
+        at = np.arange(len(both))
+        spikes = spikes_at(both["kind"].to_numpy(), at - np.maximum.accumulate(np.where(fresh, at, 0)), self.last, self.share)
+        due = both["due"].to_numpy()
+        out, spikes = both[due], spikes[due]
+        for i in range(0, len(out), self.batch):
+            part = out.iloc[i:i + self.batch]
+            yield pd.DataFrame({"key": part["key"].to_numpy(object), "id": part["id"].array, "ts": pd.to_datetime(part["micros"].to_numpy(), unit="us"), "spike": _spike_names(spikes[i:i + self.batch])})
+        self._keep(both, np.repeat(ends, ends - starts) - at, micros[ends - 1], ends - starts, wait, passed)
+
+    def _in_order(self, before: pd.DataFrame, ready: pd.DataFrame) -> pd.DataFrame:
+        """The rows of each feed one after the other: those handed on before, then those that are due, by time and id, nulls last."""
+        both = pd.concat([before, ready], ignore_index=True)
+        due, ids = np.arange(len(both)) >= len(before), both["id"]
+        both["feed"], both["due"] = pd.factorize(both["key"])[0], due
+        order = np.lexsort((np.where(due, ids.fillna(0).to_numpy(np.int64), 0), due & ids.isna().to_numpy(bool), np.where(due, both["micros"], 0), due, both["feed"]))
+        return both.iloc[order]
+
+    def _keep(self, both: pd.DataFrame, left: np.ndarray, latest: np.ndarray, sizes: np.ndarray, wait: pd.DataFrame, passed: int) -> None:
+        """Keep the last rows of each feed, unless nothing came for the idle time, and those that wait; `left` counts the rows of a feed from each on."""
+        stay, wakes = left <= self.last, []
+        if self.idle_ms is not None:
+            live = latest + self.idle_ms * 1000 > passed
+            stay &= np.repeat(live, sizes)
+            wakes += [-(-int(latest[live].min()) // 1000) + self.idle_ms] if live.any() else []
+        tail = both[stay]
+        if len(tail):
+            self.recent.update(_packed(_batch(*(tail[c].array if c == "id" else tail[c].to_numpy() for c in ("key", "micros", "id", "kind")))))
+        else:
             self.recent.clear()
-            return
-        ready.sort(key=lambda r: (r[0], r[1] is None, r[1] or 0))
-        recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
-        for part in self._stretches(recent[-1][0] if recent else None, ready):
-            if self.idle_ms is not None and recent and part[0][0] - recent[-1][0] > self.idle_ms * 1000:
-                recent = []
-            labels = [r[2] for r in part]
-            yield pd.DataFrame({"key": key[0], "id": pd.array([r[1] for r in part], "Int64"), "ts": pd.to_datetime([r[0] for r in part], unit="us"), "spike": spikes_of([r[1] for r in recent], labels, self.last, self.share)})
-            recent = [*recent, *((r[0], r[2]) for r in part)][-self.last:]
-        if recent:
-            self.recent.put(recent)
-        if wait:
-            self.waiting.put(wait)
-            self._wake(-(-min(r[0] for r in wait) // 1000))
+        if len(wait):
+            self.waiting.put([_packed(_batch(*(wait[c].array if c == "id" else wait[c].to_numpy() for c in ("key", "micros", "id", "kind"))))])
+            wakes.append(-(-int(wait["micros"].min()) // 1000))
         else:
             self.waiting.clear()
-            if self.idle_ms is not None:
-                self._wake(-(-ready[-1][0] // 1000) + self.idle_ms)
-
-    def _stretches(self, before: int | None, rows: list[tuple]) -> Iterator[list[tuple]]:
-        """The rows in parts of bounded size, none of which spans an idle time."""
-        part: list[tuple] = []
-        for row in rows:
-            if part and (len(part) == self.batch or self.idle_ms is not None and row[0] - before > self.idle_ms * 1000):
-                yield part
-                part = []
-            part.append(row)
-            before = row[0]
-        if part:
-            yield part
+        if wakes:
+            self._wake(min(wakes))
 
     def _wake(self, at: int) -> None:
-        """The feed's timer, moved forward if it stands later."""
+        """The shelf's timer, moved forward if it stands later."""
         held = self.due.get()[0] if self.due.exists() else None
-        if held is not None and held <= at and self.waiting.exists():
+        if held is not None and held <= at:
             return
         if held is not None:
             self.handle.deleteTimer(held)
@@ -124,7 +175,8 @@ def sentiment_spikes(df: DataFrame, key_col: str, id_col: str, ts_col: str, labe
     use_rocksdb(spark)
     idle_ms = None if idle is None else int(spark.sql(f"SELECT CAST(unix_millis(TIMESTAMP '1970-01-01 00:00:00' + INTERVAL {idle}) - unix_millis(TIMESTAMP '1970-01-01 00:00:00') AS BIGINT)").first()[0])
     keyed = df.select(F.col(key_col).cast("string").alias("key"), F.col(id_col).cast("bigint").alias("id"), F.col(ts_col), F.unix_micros(F.col(ts_col)).alias("micros"), F.col(label_col).cast("string").alias("label"))
-    return keyed.groupBy("key").transformWithStateInPandas(InOrder(last, share, idle_ms), SPIKE, "Append", "EventTime")
+    keyed = keyed.withColumn("shelf", F.pmod(F.xxhash64("key"), F.lit(SHELVES)).cast("int"))
+    return keyed.groupBy("shelf").transformWithStateInPandas(InOrder(last, share, idle_ms), SPIKE, "Append", "EventTime")
 
 
 def replay(df: DataFrame, ts_col: str, path: str, slices: int, late: DataFrame | None = None, files: int = 1, jitter: str = "0 seconds") -> None:

@@ -112,6 +112,86 @@ def test_spikes_of_equals_brute_force():
         assert sp.spikes_of(labels[:cut][-5:], labels[cut:], 5, 0.6) == [whole["f", i] for i in range(cut, len(labels))]
 
 
+def test_feeds_of_a_shelf_are_computed_together(spark, monkeypatch):
+    monkeypatch.setattr(sp, "SHELVES", 2)
+    base, rnd = folder(spark), random.Random(4)
+    rows = [(f"f{rnd.randrange(60)}" if i % 9 else None, i, START + dt.timedelta(minutes=rnd.randrange(900)), rnd.choice(["positive", "negative", "positive", None])) for i in range(900)]
+    for part in (rows[:400], rows[400:], end()):
+        put(spark, f"{base}/in", part)
+    state = spiked(spark, base, "900 minutes").recentProgress
+    got = results(spark, base)
+    assert len(got) == 900 and {(k, i): s for k, i, s in got} == spikes_brute(rows, 4, 0.75)
+    held = [o.numRowsTotal for p in state for o in p.stateOperators]
+    assert held and max(held) < 30  # a few values of two shelves, not of 61 feeds or 900 rows
+
+
+def test_state_keeps_the_last_rows_of_each_feed_and_drops_idle_ones(spark):
+    class State:
+        def __init__(self):
+            self.held = []
+
+        def exists(self):
+            return bool(self.held)
+
+        def get(self):
+            return iter(self.held) if self.many else self.held[0]
+
+        def put(self, rows):
+            self.held = list(rows)
+
+        def appendValue(self, row):
+            self.held.append(row)
+
+        def update(self, row):
+            self.held = [row]
+
+        def clear(self):
+            self.held = []
+
+    class Handle:
+        timers = set()
+
+        def getListState(self, name, _):
+            s = State()
+            s.many = True
+            return s
+
+        def getValueState(self, name, _):
+            s = State()
+            s.many = False
+            return s
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Now:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+    import pandas as pd
+    shelf, handle = sp.InOrder(2, 1.0, 1000, batch=2), Handle()
+    shelf.init(handle)
+    rows = pd.DataFrame({"key": ["a", "a", "b", None, "a", "b"], "micros": [3000, 1000, 2000, 2000, 900_000, 5_000_000], "id": [1, 2, 3, None, 4, 5], "label": ["positive"] * 5 + ["negative"]})
+    list(shelf.handleInputRows((0,), iter([rows]), None))
+    assert handle.timers == {1}
+    handle.timers.clear()
+    first = pd.concat(shelf.handleExpiredTimer((0,), Now(950), None))
+    assert [(k, None if pd.isna(i) else i, s) for k, i, s in zip(first["key"], first["id"], first["spike"])] == [
+        (None, None, None), ("a", 2, None), ("a", 1, "positive_spike"), ("a", 4, "positive_spike"), ("b", 3, None)]
+    assert handle.timers == {1002}  # the expiry of b and of the feed without a name
+    handle.timers.clear()
+    assert not list(shelf.handleExpiredTimer((0,), Now(1500), None)) and handle.timers == {1900}
+    handle.timers.clear()
+    last = pd.concat(shelf.handleExpiredTimer((0,), Now(9000), None))
+    assert list(last["id"]) == [5] and not shelf.recent.exists() and not shelf.waiting.exists() and not handle.timers
+
+
 def test_replay_of_an_empty_table_writes_nothing(spark):
     base = folder(spark)
     sp.replay(spark.createDataFrame([], SCHEMA), "ts", f"{base}/in", 3)
