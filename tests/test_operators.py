@@ -373,7 +373,7 @@ def test_approximate_pairs_share_a_bucket(spark):
 def test_whole_pairs_share_no_bucket_and_are_found(spark):
     import numpy as np
     rng = random.Random(8)
-    rows = clustered(rng, 120, 12, 6) + [(500, [0.5] * 6), (501, [0.5] * 6), (None, [1.0, 0.1, 0.0, 0.0, 0.0, 0.0])]
+    rows = clustered(rng, 120, 12, 6) + [(500, [0.5] * 6), (501, [0.5] * 6), (None, [1.0, 0.1, 0.0, 0.0, 0.0, 0.0]), (502, [-1.0] * 6), (502, [-1.0] * 6)]
     u = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if i not in (501, None)}
     good = {(a, b): float(u[a] @ u[b]) for a in u for b in u if a < b and float(u[a] @ u[b]) > 0.4} | {(500, 500): 1.0}
     df = spark.createDataFrame(rows, "id bigint, v array<double>")
